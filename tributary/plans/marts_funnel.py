@@ -137,19 +137,21 @@ class Funnel:
         return joined.join(_search_side(self.silver), "search_guid")
 
     def clicked(self) -> DataFrame:
-        """Cells of the funnel rows with a click id, one per distinct click time."""
+        """Cells with a click, one per distinct click time.
+
+        `times` counts the funnel rows with a click time, `clicks` those with a
+        click id, `timed_clicks` those with both. All joins are inner, so only
+        pairs that were clicked travel.
+        """
         if self.stored is not None:
-            found = self.stored.filter("clicks > 0")
+            found = self.stored.filter("clicks > 0 OR times > 0")
         else:
-            clicked = tally(
-                self.silver.clicks.filter("event_id IS NOT NULL"),
-                [*PAIR, "time_to_click_secs"],
-                click_ids=F.count("event_id"),
-            )
+            clicked = _click_totals(self.silver, by_time=True)
             shown = tally(self.silver.impressions, PAIR, shown_rows=F.count(F.lit(1)))
             found = (
                 clicked.join(shown, PAIR)
                 .withColumn("clicks", F.col("shown_rows") * F.col("click_ids"))
+                .withColumn("times", F.col("shown_rows") * F.col("times"))
                 .join(_search_side(self.silver), "search_guid")
             )
         timed = F.col("time_to_click_secs").isNotNull()
@@ -160,8 +162,8 @@ class Funnel:
             "sublocation",
             "time_to_click_secs",
             "clicks",
-            F.when(timed, F.col("clicks")).otherwise(0).alias("times"),
-            (F.col("clicks") * F.col("time_to_click_secs")).alias("time_total"),
+            "times",
+            F.when(timed, F.col("clicks")).otherwise(0).alias("timed_clicks"),
         )
 
 
@@ -169,6 +171,12 @@ def _mean_time(digits: int) -> Column:
     return places(ratio(F.sum("time_total"), F.sum("times")), digits)
 
 
+def _mean_click_time(digits: int) -> Column:
+    """Mean click time over rows of `Funnel.clicked` that have a click id."""
+    total = F.sum(F.col("timed_clicks") * F.col("time_to_click_secs"))
+    return places(ratio(total, F.sum("timed_clicks")), digits)
+
+
 def _mean_position() -> Column:
     return places(ratio(F.sum("position_total"), F.sum("rows")), 1)
 
@@ -187,7 +195,7 @@ def _with_ctr(df: DataFrame) -> DataFrame:
 
 def job_performance_ctr(funnel: Funnel, distinct: Distinct = exact) -> DataFrame:
     """Funnel of every job shown; the NULL job stands for searches that showed none."""
-    cells = funnel.cells(by_time=True)
+    cells = funnel.cells()
     if distinct is exact:
         # One row per job and visitor makes both distinct counts plain counts.
         per_visitor = tally(
@@ -213,7 +221,7 @@ def job_performance_ctr(funnel: Funnel, distinct: Distinct = exact) -> DataFrame
         avg_click_time=_mean_time(1),
     )
     quantiles = weighted_quantiles(
-        cells, "opening_uid", "time_to_click_secs", F.col("times"), QUARTILES, "click_time_quantiles"
+        funnel.clicked(), "opening_uid", "time_to_click_secs", F.col("times"), QUARTILES, "click_time_quantiles"
     )
     jobs = dim_job_openings(funnel.silver).select("opening_uid", "title", "client_uid")
     no_job = tally(
@@ -415,16 +423,16 @@ def visitor_engagement(funnel: Funnel, distinct: Distinct = exact) -> DataFrame:
 
 def job_click_engagement(funnel: Funnel, distinct: Distinct = exact) -> DataFrame:
     """Click depth of every clicked job."""
-    clicked = funnel.clicked()
+    clicked = funnel.clicked().filter("clicks > 0")
     totals = tally(
         clicked,
         "opening_uid",
         total_clicks=F.sum("clicks"),
         unique_clickers=distinct("visitor_id"),
-        avg_time_to_click=_mean_time(2),
+        avg_time_to_click=_mean_click_time(2),
     )
     quantiles = weighted_quantiles(
-        clicked, "opening_uid", "time_to_click_secs", F.col("times"), QUARTILES, "click_time_quantiles"
+        clicked, "opening_uid", "time_to_click_secs", F.col("timed_clicks"), QUARTILES, "click_time_quantiles"
     )
     return totals.join(quantiles, "opening_uid", "left")
 
@@ -432,11 +440,11 @@ def job_click_engagement(funnel: Funnel, distinct: Distinct = exact) -> DataFram
 def search_to_click_conversion(funnel: Funnel) -> DataFrame:
     """Which terms and placements lead to clicks."""
     return tally(
-        funnel.clicked(),
+        funnel.clicked().filter("clicks > 0"),
         ["search_query", "sublocation"],
         searches_with_clicks=F.countDistinct("search_guid"),
         total_clicks=F.sum("clicks"),
-        avg_time_to_click=_mean_time(2),
+        avg_time_to_click=_mean_click_time(2),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.labels import POSTING_LABELS
@@ -176,19 +176,19 @@ def clients_at_risk(portfolio: MetricView, low_ctr: float) -> DataFrame:
 def demand_against_posting_mix(postings: DataFrame, client_uid) -> DataFrame:
     """Per category: share of all impressions less share of the client's postings.
 
-    Both shares come from one pass; the totals are two numbers joined as a
-    scalar subquery.
+    The postings are read once; the totals are taken over the one row per category.
     """
     own = F.col("client_uid") == F.lit(client_uid)
     per_category = tally(
         postings, "category", impressions=F.sum("impressions"), client_jobs=count_when(own)
     )
-    totals = postings.agg(
-        F.sum("impressions").alias("impressions"), count_when(own).alias("client_jobs")
+    everything = Window.partitionBy(F.lit(1))
+    shares = per_category.withColumns(
+        {
+            "demand_pct": percent(F.col("impressions"), F.sum("impressions").over(everything)),
+            "posting_pct": percent(F.col("client_jobs"), F.sum("client_jobs").over(everything)),
+        }
     )
-    demand = percent(F.col("impressions"), totals.select("impressions").scalar())
-    mix = percent(F.col("client_jobs"), totals.select("client_jobs").scalar())
-    shares = per_category.withColumns({"demand_pct": demand, "posting_pct": mix})
     mismatch = places(F.coalesce("demand_pct", F.lit(0.0)) - F.coalesce("posting_pct", F.lit(0.0)), 2)
     return shares.withColumn("mismatch_pct", mismatch).orderBy(F.desc("mismatch_pct"), "category")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.labels import opportunity_type, posting_labels
-from tributary.functions.scalars import count_when, places, ratio, zero
+from tributary.functions.scalars import count_when, percent, places, ratio, zero
 from tributary.operators.rollup import tally
 
 
@@ -46,6 +46,18 @@ def client_posting_performance(job_performance: DataFrame, clients: DataFrame) -
     )
 
 
+def marketplace_categories(job_performance: DataFrame) -> DataFrame:
+    """What the benchmark needs of every category, added up from the per-job mart."""
+    return tally(
+        job_performance,
+        "category",
+        impressions=F.sum("impressions"),
+        clicks=F.sum("clicks"),
+        ctr_pct=percent(F.sum("clicks"), F.sum("impressions")),
+        avg_budget_amount=places(F.avg("numeric_budget_amount"), 2),
+    )
+
+
 def client_category_benchmark(
     job_performance: DataFrame, category_performance: DataFrame, clients: DataFrame
 ) -> DataFrame:

@@ -72,18 +72,24 @@ class Market:
     def job_ctr(self) -> DataFrame:
         return marts_funnel.job_performance_ctr(self.funnel)
 
+    @cached_property
+    def stored_jobs(self) -> DataFrame:
+        """The per-job mart as a stored table, for reports that read it more than once."""
+        return self.lake("jobs").materialize(self.job_performance, "gold", "p_job_performance")
+
     @cached_property
     def postings(self) -> DataFrame:
         return reports.client_posting_performance(self.job_performance, self.silver.clients)
 
     @cached_property
     def benchmark(self) -> DataFrame:
-        category = marts_exact.category_performance(self.silver)
-        return reports.client_category_benchmark(self.job_performance, category, self.silver.clients)
+        categories = reports.marketplace_categories(self.stored_jobs)
+        return reports.client_category_benchmark(self.stored_jobs, categories, self.silver.clients)
 
     @cached_property
     def opportunities(self) -> DataFrame:
-        return reports.client_opportunities(self.postings, self.benchmark)
+        postings = reports.client_posting_performance(self.stored_jobs, self.silver.clients)
+        return reports.client_opportunities(postings, self.benchmark)
 
     @cached_property
     def clickstream(self):

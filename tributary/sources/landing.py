@@ -17,6 +17,9 @@ DEFAULT_ROOT = "/data/landing"
 ROOT_SETTING = "raw_data_path"
 _LINE = "_line"
 
+# Files a stream takes in per micro-batch; a backlog is worked off in several.
+FILES_PER_BATCH = 10_000
+
 
 def landing_root(spark: SparkSession, root: str | None = None) -> str:
     """The landing folder: the argument, else the session setting, else the default."""
@@ -69,13 +72,11 @@ def read_stream(
     name: str,
     root: str | None = None,
     schema: StructType | None = None,
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """The files of a dataset as a stream; the checkpoint of the query knows which are done."""
     schema = schema or RAW[name]
-    reader = _options(spark.readStream, schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = _options(spark.readStream, schema).option("maxFilesPerTrigger", files_per_batch)
     return _convert(reader.csv(f"{landing_root(spark, root)}/{name}"), schema)
 
 

@@ -36,10 +36,15 @@ class Lake:
         return self.spark.readStream.schema(schema).parquet(self.path(layer, table))
 
     def materialize(self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None) -> DataFrame:
-        """Recompute a derived table and return it as read from storage."""
-        writer = df.write.mode("overwrite")
+        """Recompute a derived table and return it as read from storage.
+
+        Rows of a partitioned table are brought together per partition first, to
+        write few files; a partition that holds a great share of them is split.
+        """
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+        else:
+            writer = df.write.mode("overwrite")
         writer.parquet(self.path(layer, table))
         return self.read(layer, table)
 

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType, TimestampType
 
 from tributary.schemas import INGESTED_AT, RAW, RESCUED, SOURCE_FILE
-from tributary.sources.landing import read_stream
+from tributary.sources.landing import FILES_PER_BATCH, read_stream
 from tributary.sources.tables import Lake
 
 
@@ -20,7 +20,7 @@ def bronze_schema(name: str) -> StructType:
     )
 
 
-def start(lake: Lake, name: str, root: str | None = None, files_per_batch: int | None = None) -> StreamingQuery:
+def start(lake: Lake, name: str, root: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> StreamingQuery:
     """Start taking in the files that are new since the last run."""
     rows = read_stream(lake.spark, name, root, files_per_batch=files_per_batch)
     return (
@@ -33,7 +33,7 @@ def start(lake: Lake, name: str, root: str | None = None, files_per_batch: int |
     )
 
 
-def ingest(lake: Lake, names: list[str], root: str | None = None, files_per_batch: int | None = None) -> None:
+def ingest(lake: Lake, names: list[str], root: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> None:
     """Take in all new files of some datasets; the streams run side by side."""
     for query in [start(lake, name, root, files_per_batch) for name in names]:
         query.awaitTermination()

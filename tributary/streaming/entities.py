@@ -59,6 +59,8 @@ class CurrentState:
         bases, deltas = self._folders("base"), self._folders("delta")
         through = max(bases, default=-1)
         paths = [p for n, p in sorted(deltas.items()) if n > through]
+        if bases and not paths:
+            return self.spark.read.parquet(bases[through])
         if bases:
             paths.append(bases[through])
         if not paths:

@@ -16,6 +16,9 @@ MART_RULES: dict[str, list[Rule]] = {
     "p_daily_metrics": DAILY_MART_RULES,
 }
 
+# Questions about a period read the days they need of the impression fact.
+PARTITIONS = {"fact_search_events": ["event_date"]}
+
 
 def refresh_silver(lake: Lake, root: str | None = None) -> SilverTables:
     """Take in new files, validate new events and update the entities."""
@@ -26,9 +29,7 @@ def refresh_silver(lake: Lake, root: str | None = None) -> SilverTables:
     for query in running:
         query.awaitTermination()
     for name in entities.ENTITY_FLOWS:
-        changes = entities.state(lake, name)
-        changes.compact()
-        lake.materialize(changes.current(), "silver", name)
+        entities.state(lake, name).compact()
     return silver_tables(lake)
 
 
@@ -38,18 +39,18 @@ def silver_tables(lake: Lake) -> SilverTables:
         events.read_events(lake, "search_events"),
         events.read_events(lake, "impression_events"),
         events.read_events(lake, "click_events"),
-        lake.read("silver", "job_openings"),
-        lake.read("silver", "clients"),
-        lake.read("silver", "freelancers"),
+        entities.state(lake, "job_openings").current(),
+        entities.state(lake, "clients").current(),
+        entities.state(lake, "freelancers").current(),
     )
 
 
 def _store(lake: Lake, table: str, df: DataFrame, run: int) -> DataFrame:
-    rules = MART_RULES.get(table)
+    rules, partition_by = MART_RULES.get(table), PARTITIONS.get(table)
     if not rules:
-        return lake.materialize(df, "gold", table)
+        return lake.materialize(df, "gold", table, partition_by)
     seen = Observation()
-    stored = lake.materialize(enforce(df, rules, seen), "gold", table)
+    stored = lake.materialize(enforce(df, rules, seen), "gold", table, partition_by)
     events.write_log(lake, f"gold.{table}", run, rules, seen.get)
     return stored
 
