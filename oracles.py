@@ -556,6 +556,8 @@ _QUALITY = {
 _TABLES = {
     "materialized_mart": "SELECT * FROM p_position_ctr",
     "published_table": "SELECT * FROM dim_category",
+    "persistent_view": "SELECT client_uid, company_name, opening_uid, title, impressions, clicks "
+    "FROM client_posting_performance WHERE is_active",
     "sql_view": f"SELECT opportunity_segment, COUNT(*) AS postings, {total('impressions')} AS impressions "
     "FROM client_posting_performance GROUP BY 1",
     "medallion_job_performance": f"SELECT * REPLACE ({_text('opening_uid client_uid')}, "

@@ -132,7 +132,7 @@ def test_marts_over_cells_equal_marts_over_rows(skewed, lake, stored):
     fact = marts_funnel.funnel_fact(skewed).cache()
     funnel = Funnel(skewed)
     if stored:
-        funnel = Funnel(skewed, lake.materialize(funnel.cells(by_time=True), "gold", "cells"))
+        funnel = Funnel(skewed, lake.materialize(funnel.cells(by_time=True, by_position=True), "gold", "cells"))
 
     def close(a, b, digits):
         return (a is None and b is None) or abs(a - b) <= 0.5 * 10**-digits + 1e-9

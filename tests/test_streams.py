@@ -188,14 +188,20 @@ def test_whole_run_and_second_run_with_changes(lake, spark, landed):
 
 
 def test_published_tables_carry_comment_and_quality(lake, spark, landed):
-    bronze.ingest(lake, list(RAW), str(landed))
-    names = refresh.publish_bronze(lake, "test_")
-    assert spark.table(names[0]).count() == 5
-    properties = {r["key"]: r["value"] for r in rows(spark.sql(f"SHOW TBLPROPERTIES {names[0]}"))}
-    assert properties["quality"] == "bronze"
-    described = {r["col_name"]: r["data_type"] for r in rows(spark.sql(f"DESCRIBE EXTENDED {names[0]}"))}
-    assert described["Comment"].startswith("Searches")
-    spark.sql("DROP DATABASE test_bronze CASCADE")
+    refresh.refresh(lake, str(landed))
+    names = refresh.publish(lake, "test_")
+    assert spark.table("test_bronze.search_events").count() == 5
+    assert len(names) == len(set(names)) and spark.table("test_gold.fact_search_events").count() == 2
+    for name, quality, comment in (
+        ("test_bronze.search_events", "bronze", "Searches"),
+        ("test_gold.p_daily_metrics", "gold", "Funnel per day"),
+    ):
+        properties = {r["key"]: r["value"] for r in rows(spark.sql(f"SHOW TBLPROPERTIES {name}"))}
+        assert properties["quality"] == quality
+        described = {r["col_name"]: r["data_type"] for r in rows(spark.sql(f"DESCRIBE EXTENDED {name}"))}
+        assert described["Comment"].startswith(comment)
+    for database in ("test_bronze", "test_gold"):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def test_schema_text():

@@ -26,3 +26,18 @@ def latest_per_key(df: DataFrame, keys: list[str], sequence: str, ties: list[str
         ties = [c for c in df.columns if c not in keys and c != sequence]
     order = [F.col(c).desc_nulls_last() for c in [sequence, *ties]]
     return first_per_key(df, keys, order)
+
+
+def join_grouped(rows: DataFrame, grouped: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join rows to a table that was grouped by the same keys, ready for hot keys.
+
+    AQE splits a hot partition only when both inputs of the join come straight
+    from a shuffle. A table grouped by the join keys is not shuffled again, so
+    its partner's hot key would stay in one task. The hash as a further join key
+    gives the (small) grouped table a shuffle of its own.
+    """
+    spread = F.xxhash64(*keys)
+    joined = rows.withColumn("_spread", spread).join(
+        grouped.withColumn("_spread", spread), [*keys, "_spread"], how
+    )
+    return joined.drop("_spread")

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tributary.functions.scalars import percent
 
 
-def tally(df: DataFrame, by: str | list[str], **measures: Column) -> DataFrame:
+def tally(df: DataFrame, by: str | Column | list[str], **measures: Column) -> DataFrame:
     """Aggregate with named measures: `tally(df, "day", clicks=F.count("id"))`."""
-    keys = [by] if isinstance(by, str) else by
+    keys = by if isinstance(by, list) else [by]
     return df.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
 
 
@@ -27,16 +27,3 @@ def same_key(left: DataFrame, right: DataFrame, key: str, how: str = "left") ->
     """Join on a key where NULL equals NULL; the key is kept once."""
     other = right.withColumnRenamed(key, "_other_key")
     return left.join(other, F.col(key).eqNullSafe(F.col("_other_key")), how).drop("_other_key")
-
-
-def weighted_quantiles(
-    df: DataFrame, by: str, value: str, weight: Column, probabilities: list[float], name: str
-) -> DataFrame:
-    """Exact interpolated quantiles of `value` repeated `weight` times, as an array.
-
-    Equal values are added up before the shuffle, so the rows of a hot group are
-    spread over its values and its state is its distinct values.
-    """
-    counts = tally(df.filter(F.col(value).isNotNull()), [by, value], _weight=F.sum(weight))
-    points = F.array(*[F.lit(p) for p in probabilities])
-    return tally(counts, by, **{name: F.percentile(value, points, F.col("_weight"))})

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.scalars import count_when, day, places
-from tributary.operators.rollup import tally, with_ctr
+from tributary.functions.scalars import count_when, day, places, ratio
+from tributary.operators.rollup import same_key, tally, with_ctr
 from tributary.plans.silver import SilverTables
 
 JOB_COLUMNS = [
@@ -37,6 +37,36 @@ def _search_attribute(silver: SilverTables, name: str) -> DataFrame:
     return silver.searches.select("search_guid", name)
 
 
+def _shown_by(silver: SilverTables, attribute: DataFrame, name: str) -> DataFrame:
+    """Impression side of a mart whose groups are an attribute of the search.
+
+    Impressions are first added up per search and visitor. Visitors and sessions
+    are then counted over these few rows; only the distinct jobs need the single
+    impressions, and they alone, so no row is multiplied per distinct count.
+    """
+    per_search = tally(
+        silver.impressions,
+        ["search_guid", "visitor_id"],
+        events=_events(),
+        placed=F.count("position"),
+        positions=F.sum("position"),
+    )
+    visits = tally(
+        per_search.join(attribute, "search_guid", "left"),
+        name,
+        impressions=F.sum("events"),
+        unique_visitors=F.countDistinct("visitor_id"),
+        search_sessions=F.countDistinct("search_guid"),
+        avg_position=places(ratio(F.sum("positions"), F.sum("placed")), 1),
+    )
+    jobs = tally(
+        silver.impressions.select("search_guid", "opening_uid").join(attribute, "search_guid", "left"),
+        name,
+        unique_jobs=F.countDistinct("opening_uid"),
+    )
+    return same_key(visits, jobs, name)
+
+
 def job_performance(silver: SilverTables) -> DataFrame:
     """Funnel of every job, also of jobs that were never shown."""
     shown = tally(
@@ -82,13 +112,12 @@ def job_performance(silver: SilverTables) -> DataFrame:
 def search_query_performance(silver: SilverTables) -> DataFrame:
     """Funnel of every search term."""
     queries = _search_attribute(silver, "search_query")
-    shown = tally(
-        silver.impressions.join(queries, "search_guid", "left"),
+    shown = _shown_by(silver, queries, "search_query").select(
         "search_query",
-        impressions=_events(),
-        unique_visitors=F.countDistinct("visitor_id"),
-        unique_jobs_shown=F.countDistinct("opening_uid"),
-        search_sessions=F.countDistinct("search_guid"),
+        "impressions",
+        "unique_visitors",
+        F.col("unique_jobs").alias("unique_jobs_shown"),
+        "search_sessions",
     )
     clicked = tally(
         _job_clicks(silver.clicks).join(queries.distinct(), "search_guid", "left"),
@@ -142,13 +171,8 @@ def category_performance(silver: SilverTables) -> DataFrame:
 def sublocation_performance(silver: SilverTables) -> DataFrame:
     """Featured placement against organic results."""
     placement = _search_attribute(silver, "sublocation")
-    shown = tally(
-        silver.impressions.join(placement, "search_guid", "left"),
-        "sublocation",
-        impressions=_events(),
-        unique_visitors=F.countDistinct("visitor_id"),
-        unique_jobs=F.countDistinct("opening_uid"),
-        avg_position=_mean("position"),
+    shown = _shown_by(silver, placement, "sublocation").select(
+        "sublocation", "impressions", "unique_visitors", "unique_jobs", "avg_position"
     )
     clicked = tally(
         _job_clicks(silver.clicks).join(placement.distinct(), "search_guid", "left"),
@@ -162,14 +186,12 @@ def sublocation_performance(silver: SilverTables) -> DataFrame:
 def daily_metrics(silver: SilverTables) -> DataFrame:
     """Funnel per day; all clicks count here, also those without a job."""
     days = silver.searches.select("search_guid", day("event_ts").alias("event_date"))
-    events = silver.impressions.select("event_id", "search_guid", "visitor_id", "opening_uid")
-    shown = tally(
-        events.join(days, "search_guid", "left"),
+    shown = _shown_by(silver, days, "event_date").select(
         "event_date",
-        impressions=_events(),
-        unique_visitors=F.countDistinct("visitor_id"),
-        search_sessions=F.countDistinct("search_guid"),
-        unique_jobs_shown=F.countDistinct("opening_uid"),
+        "impressions",
+        "unique_visitors",
+        "search_sessions",
+        F.col("unique_jobs").alias("unique_jobs_shown"),
     )
     clicked = tally(
         silver.clicks.withColumn("event_date", day("event_ts")),

@@ -13,12 +13,14 @@ Distinct counts are exact or approximate: each mart takes `distinct`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.scalars import count_when, day, percent, places, ratio, zero
-from tributary.operators.rollup import same_key, tally, weighted_quantiles
+from tributary.operators.quantiles import has_few_values, weighted_quantiles
+from tributary.operators.rollup import same_key, tally
 from tributary.plans.silver import SilverTables
 
 Distinct = Callable[[str], Column]
@@ -103,7 +105,7 @@ class Funnel:
     In a cell, `impressions` and `clicks` count the funnel rows with an impression
     id or a click id, `rows` all of them; `position_total` and `time_total` are
     sums over the funnel rows, `times` the rows with a click time. With `by_time`
-    there is a cell per distinct click time.
+    there is a cell per distinct click time, with `by_position` one per position.
 
     A run that builds all marts stores the cells once and passes them as `stored`.
     """
@@ -112,12 +114,30 @@ class Funnel:
         self.silver = silver
         self.stored = stored
 
-    def cells(self, by_time: bool = False) -> DataFrame:
+    @cached_property
+    def few_click_times(self) -> bool:
+        """Whether any group's click times fit into one task; looked up once."""
+        rows = self.silver.clicks if self.stored is None else self.stored
+        return has_few_values(rows, "time_to_click_secs")
+
+    def quartiles(self, clicked: DataFrame, by: str, weight: str) -> DataFrame:
+        """Exact quartiles of the click time per group, as `click_time_quantiles`."""
+        return weighted_quantiles(
+            clicked,
+            by,
+            "time_to_click_secs",
+            F.col(weight),
+            QUARTILES,
+            "click_time_quantiles",
+            few_values=self.few_click_times,
+        )
+
+    def cells(self, by_time: bool = False, by_position: bool = False) -> DataFrame:
         if self.stored is not None:
             return self.stored
         shown = tally(
             self.silver.impressions,
-            PAIR,
+            [*PAIR, "position"] if by_position else PAIR,
             shown_rows=F.count(F.lit(1)),
             shown_ids=F.count("event_id"),
             positions=F.sum(F.col("position").cast("bigint")),
@@ -133,6 +153,7 @@ class Funnel:
             (F.col("shown_rows") * zero(F.col("times"))).alias("times"),
             (F.col("shown_rows") * F.col("time_total")).alias("time_total"),
             *(["time_to_click_secs"] if by_time else []),
+            *(["position"] if by_position else []),
         )
         return joined.join(_search_side(self.silver), "search_guid")
 
@@ -193,8 +214,11 @@ def _with_ctr(df: DataFrame) -> DataFrame:
     return df.withColumn("ctr_pct", percent(F.col("clicks"), F.col("impressions")))
 
 
-def job_performance_ctr(funnel: Funnel, distinct: Distinct = exact) -> DataFrame:
-    """Funnel of every job shown; the NULL job stands for searches that showed none."""
+def job_performance_ctr(funnel: Funnel, distinct: Distinct = exact, quartiles: bool = True) -> DataFrame:
+    """Funnel of every job shown; the NULL job stands for searches that showed none.
+
+    Without `quartiles` their column is left out, and with it the work for it.
+    """
     cells = funnel.cells()
     if distinct is exact:
         # One row per job and visitor makes both distinct counts plain counts.
@@ -220,9 +244,8 @@ def job_performance_ctr(funnel: Funnel, distinct: Distinct = exact) -> DataFrame
         unique_click_visitors=clickers,
         avg_click_time=_mean_time(1),
     )
-    quantiles = weighted_quantiles(
-        funnel.clicked(), "opening_uid", "time_to_click_secs", F.col("times"), QUARTILES, "click_time_quantiles"
-    )
+    if quartiles:
+        shown = shown.join(funnel.quartiles(funnel.clicked(), "opening_uid", "times"), "opening_uid", "left")
     jobs = dim_job_openings(funnel.silver).select("opening_uid", "title", "client_uid")
     no_job = tally(
         unshown_searches(funnel.silver).withColumn("opening_uid", F.lit(None).cast(jobs.schema[0].dataType)),
@@ -232,7 +255,7 @@ def job_performance_ctr(funnel: Funnel, distinct: Distinct = exact) -> DataFrame
         clicks=F.lit(0).cast("bigint"),
         unique_click_visitors=F.lit(0).cast("bigint"),
     )
-    per_job = shown.join(quantiles, "opening_uid", "left").join(jobs, "opening_uid", "left")
+    per_job = shown.join(jobs, "opening_uid", "left")
     return _with_ctr(per_job.unionByName(no_job, allowMissingColumns=True)).select(
         "opening_uid",
         "title",
@@ -243,43 +266,22 @@ def job_performance_ctr(funnel: Funnel, distinct: Distinct = exact) -> DataFrame
         "clicks",
         "unique_click_visitors",
         "avg_click_time",
-        "click_time_quantiles",
+        *(["click_time_quantiles"] if quartiles else []),
         "ctr_pct",
     )
 
 
 def impression_position_ctr(funnel: Funnel) -> DataFrame:
-    """Position bias over the funnel.
-
-    Clicks are totals per search and job here, so a pair adds one row per
-    impression, not one per impression and click.
-    """
-    clicked = _click_totals(funnel.silver)
-    searches = tally(funnel.silver.searches, "search_guid", searches=F.count(F.lit(1)))
-    copies = F.coalesce(F.col("click_rows"), F.lit(1)) * F.col("searches")
-    rows = (
-        funnel.silver.impressions.filter("position IS NOT NULL")
-        .select(*PAIR, "event_id", "position")
-        .join(clicked, PAIR, "left")
-        .join(searches, "search_guid")
-    )
+    """Position bias over the funnel."""
     per_position = tally(
-        rows,
-        "position",
-        impressions=F.sum(F.when(F.col("event_id").isNotNull(), copies).otherwise(0)),
-        clicks=F.sum(zero(F.col("click_ids")) * F.col("searches")),
-        times=F.sum(zero(F.col("times")) * F.col("searches")),
-        time_total=F.sum(F.col("time_total") * F.col("searches")),
+        funnel.cells(by_position=True).filter("position IS NOT NULL"),
+        F.col("position").alias("page_position"),
+        avg_click_time=_mean_time(1),
+        **_counts(),
     )
     return (
         _with_ctr(per_position)
-        .select(
-            F.col("position").alias("page_position"),
-            "impressions",
-            "clicks",
-            "ctr_pct",
-            places(ratio(F.col("time_total"), F.col("times")), 1).alias("avg_click_time"),
-        )
+        .select("page_position", "impressions", "clicks", "ctr_pct", "avg_click_time")
         .orderBy("page_position")
     )
 
@@ -431,9 +433,7 @@ def job_click_engagement(funnel: Funnel, distinct: Distinct = exact) -> DataFram
         unique_clickers=distinct("visitor_id"),
         avg_time_to_click=_mean_click_time(2),
     )
-    quantiles = weighted_quantiles(
-        clicked, "opening_uid", "time_to_click_secs", F.col("timed_clicks"), QUARTILES, "click_time_quantiles"
-    )
+    quantiles = funnel.quartiles(clicked, "opening_uid", "timed_clicks")
     return totals.join(quantiles, "opening_uid", "left")
 
 

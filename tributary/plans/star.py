@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.scalars import day, places
-from tributary.operators.keyed import first_per_key
+from tributary.operators.keyed import first_per_key, join_grouped
 from tributary.operators.rollup import tally
 from tributary.plans.marts_exact import JOB_COLUMNS
 from tributary.plans.silver import SilverTables
@@ -19,6 +19,7 @@ FREELANCER_COLUMNS = [
     "visitor_id", "name", "country", "primary_skill", "numeric_hourly_rate",
     "numeric_job_success_score", "member_since", "top_rated", "is_verified",
 ]
+CLICK_KEYS = ["visitor_id", "opening_uid", "search_guid"]
 SEARCH_COLUMNS = ["search_guid", "visitor_id", "search_query", "sublocation", "sort", "page", "event_ts"]
 
 
@@ -73,13 +74,12 @@ def dim_search(silver: SilverTables) -> DataFrame:
 
 def first_clicks(silver: SilverTables) -> DataFrame:
     """The earliest click per visitor, job and search."""
-    keys = ["visitor_id", "opening_uid", "search_guid"]
     clicks = silver.clicks.filter("opening_uid IS NOT NULL").select(
-        *keys, "time_to_click_secs", "event_ts", "event_id"
+        *CLICK_KEYS, "time_to_click_secs", "event_ts", "event_id"
     )
     order = [F.col("event_ts").asc_nulls_last(), F.col("event_id").asc_nulls_last()]
-    return first_per_key(clicks, keys, order).select(
-        *keys, "time_to_click_secs", F.lit(True).alias("matched")
+    return first_per_key(clicks, CLICK_KEYS, order).select(
+        *CLICK_KEYS, "time_to_click_secs", F.lit(True).alias("matched")
     )
 
 
@@ -89,23 +89,20 @@ def fact_search_events(silver: SilverTables) -> DataFrame:
         "event_id", "opening_uid", "visitor_id", "search_guid", "position", "collector_ts"
     )
     searches = silver.searches.select("search_guid", "search_query", "sublocation", "event_ts")
-    return (
-        impressions.join(searches, "search_guid", "left")
-        .join(first_clicks(silver), ["visitor_id", "opening_uid", "search_guid"], "left")
-        .select(
-            "event_id",
-            day("event_ts").alias("event_date"),
-            "opening_uid",
-            "visitor_id",
-            "search_guid",
-            "search_query",
-            "position",
-            "sublocation",
-            "event_ts",
-            "collector_ts",
-            F.col("matched").isNotNull().alias("was_clicked"),
-            "time_to_click_secs",
-        )
+    enriched = impressions.join(searches, "search_guid", "left")
+    return join_grouped(enriched, first_clicks(silver), CLICK_KEYS).select(
+        "event_id",
+        day("event_ts").alias("event_date"),
+        "opening_uid",
+        "visitor_id",
+        "search_guid",
+        "search_query",
+        "position",
+        "sublocation",
+        "event_ts",
+        "collector_ts",
+        F.col("matched").isNotNull().alias("was_clicked"),
+        "time_to_click_secs",
     )
 
 

@@ -70,7 +70,8 @@ class Market:
 
     @cached_property
     def job_ctr(self) -> DataFrame:
-        return marts_funnel.job_performance_ctr(self.funnel)
+        """The per-job mart without the quartiles, which no dashboard shows."""
+        return marts_funnel.job_performance_ctr(self.funnel, quartiles=False)
 
     @cached_property
     def stored_jobs(self) -> DataFrame:
@@ -456,6 +457,21 @@ def _published_table(m: Market) -> DataFrame:
     return m.spark.table(name)
 
 
+@_register("persistent_view")
+def _persistent_view(m: Market) -> DataFrame:
+    """A view kept in the catalog over a stored report."""
+    lake = m.lake("views")
+    lake.materialize(m.postings, "gold", "client_posting_performance")
+    table = lake.publish("gold", "client_posting_performance", "One row per posting", prefix="tributary_")
+    view = lake.publish_view(
+        "gold",
+        "active_postings",
+        f"SELECT client_uid, company_name, opening_uid, title, impressions, clicks FROM {table} WHERE is_active",
+        prefix="tributary_",
+    )
+    return m.spark.table(view)
+
+
 @_register("sql_view")
 def _sql_view(m: Market) -> DataFrame:
     """A report registered as a view and queried with SQL."""

@@ -66,8 +66,8 @@ RAW = {
     ),
 }
 
-# Comment shown for each bronze table.
-COMMENTS = {
+# Comment shown for each table.
+BRONZE_COMMENTS = {
     "search_events": "Searches as they arrived, one row per search",
     "impression_events": "Impressions as they arrived, one row per job shown",
     "click_events": "Clicks as they arrived, one row per click",
@@ -75,3 +75,23 @@ COMMENTS = {
     "clients": "Client profiles as they arrived",
     "freelancers": "Freelancer profiles as they arrived",
 }
+
+GOLD_COMMENTS = {
+    "p_job_performance": "Funnel per job, NULL where nothing was clicked",
+    "p_search_query_performance": "Funnel per search term",
+    "p_position_ctr": "Click-through rate per position",
+    "p_category_performance": "Funnel and budget per job category",
+    "p_sublocation_performance": "Featured placement against organic results",
+    "p_daily_metrics": "Funnel per day",
+    "dim_job": "One row per job",
+    "dim_client": "One row per client with its posting activity",
+    "dim_category": "One row per job category",
+    "dim_freelancer": "One row per freelancer",
+    "dim_date": "One row per day with a search",
+    "dim_search": "One row per search",
+    "fact_search_events": "One row per impression with its search and click outcome",
+    "s_fact_search_funnel": "Searches with their impressions and clicks",
+    "client_posting_performance": "One row per posting with segment and action",
+    "client_category_benchmark": "Each client beside the marketplace, per category",
+    "client_opportunities": "Active postings with the lever that promises most",
+}

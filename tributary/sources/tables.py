@@ -48,16 +48,26 @@ class Lake:
         writer.parquet(self.path(layer, table))
         return self.read(layer, table)
 
+    def _database(self, layer: str, prefix: str) -> str:
+        database = f"{prefix}{layer}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/_databases/{database}'")
+        return database
+
     def publish(self, layer: str, table: str, comment: str, prefix: str = "") -> str:
         """Name a stored table `layer.table` with a comment and its quality level."""
-        database = f"{prefix}{layer}"
-        name = f"{database}.{table}"
-        location = self.path(layer, table)
+        name = f"{self._database(layer, prefix)}.{table}"
         text = comment.replace("'", "''")
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/_databases/{database}'")
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.spark.sql(
-            f"CREATE TABLE {name} USING parquet LOCATION '{location}' COMMENT '{text}' "
+            f"CREATE TABLE {name} USING parquet LOCATION '{self.path(layer, table)}' COMMENT '{text}' "
             f"TBLPROPERTIES ('quality' = '{layer}')"
         )
+        if any(column.isPartition for column in self.spark.catalog.listColumns(name)):
+            self.spark.catalog.recoverPartitions(name)
+        return name
+
+    def publish_view(self, layer: str, view: str, query: str, prefix: str = "") -> str:
+        """Keep a SQL query over published tables as the view `layer.view`."""
+        name = f"{self._database(layer, prefix)}.{view}"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
         return name

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation
 from tributary.operators.expectations import Rule, enforce
 from tributary.plans import marts_exact, marts_funnel, reports, star
 from tributary.plans.silver import DAILY_MART_RULES, JOB_MART_RULES, SilverTables
-from tributary.schemas import COMMENTS, RAW
+from tributary.schemas import BRONZE_COMMENTS, GOLD_COMMENTS, RAW
 from tributary.sources.tables import Lake
 from tributary.streaming import bronze, entities, events
 
@@ -66,7 +66,7 @@ def refresh_gold(lake: Lake, silver: SilverTables, run: int = 0) -> dict[str, Da
     }
     for table, build in per_silver.items():
         gold[table] = _store(lake, table, build(silver), run)
-    cells = marts_funnel.Funnel(silver).cells(by_time=True)
+    cells = marts_funnel.Funnel(silver).cells(by_time=True, by_position=True)
     funnel = marts_funnel.Funnel(silver, _store(lake, "funnel_cells", cells, run))
     for table, build in marts_funnel.EXACT_ONLY.items():
         gold[table] = _store(lake, table, build(funnel), run)
@@ -90,6 +90,7 @@ def refresh(lake: Lake, root: str | None = None, run: int = 0) -> dict[str, Data
     return refresh_gold(lake, refresh_silver(lake, root), run)
 
 
-def publish_bronze(lake: Lake, prefix: str = "") -> list[str]:
-    """Name the bronze tables in the catalog with their comments."""
-    return [lake.publish("bronze", name, COMMENTS[name], prefix) for name in RAW]
+def publish(lake: Lake, prefix: str = "") -> list[str]:
+    """Name the bronze and gold tables in the catalog with their comments."""
+    layers = (("bronze", BRONZE_COMMENTS), ("gold", GOLD_COMMENTS))
+    return [lake.publish(layer, name, text, prefix) for layer, texts in layers for name, text in texts.items()]
