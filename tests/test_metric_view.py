@@ -70,6 +70,32 @@ def test_nested_names_and_literals(view):
     assert got == {"Acme jobs.x", None}
 
 
+def test_adding_up_first_changes_no_result(spark, view):
+    spec = load_spec(SPEC)
+    spec["measures"] = [
+        {
+            "name": "shown",
+            "expr": "COUNT(source.shown)",
+            "parts": {"n": "COUNT(source.shown)"},
+            "combine": "COALESCE(SUM(source.n), 0)",
+        },
+        {
+            "name": "ctr",
+            "expr": "try_divide(COUNT(source.clicked), COUNT(source.shown))",
+            "parts": {"n": "COUNT(source.shown)", "c": "COUNT(source.clicked)"},
+            "combine": "try_divide(SUM(source.c), SUM(source.n))",
+        },
+    ]
+    adding = MetricView(spec, view.tables)
+    for dimensions in ([], ["day"], ["category"], ["day", "company"]):
+        for where in (None, "source.day = 2", "jobs.category = 'Data' AND source.day = 1", "source.day = 9"):
+            got, want = (v.query(dimensions, ["shown", "ctr"], where) for v in (adding, view))
+            assert sorted(map(str, rows(got))) == sorted(map(str, rows(want))), (dimensions, where)
+    assert {r["category"] for r in rows(adding.query(["category"]))} == {"Data", "Design", None}
+    plan = adding.query(["category"], ["ctr"])._jdf.queryExecution().analyzed().toString()
+    assert plan.index("Join ") < plan.rindex("Aggregate ")
+
+
 def test_where_and_metadata(view):
     df = view.query(["day"], ["shown"], where="jobs.category = 'Data'")
     assert sorted((r["day"], r["shown"]) for r in rows(df)) == [(1, 1), (2, 1)]

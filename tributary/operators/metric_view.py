@@ -13,11 +13,17 @@ _LITERAL = r"'(?:[^']|'')*'"
 
 @dataclass(frozen=True)
 class Field:
-    """A dimension or a measure: SQL expression and display metadata."""
+    """A dimension or a measure: SQL expression and display metadata.
+
+    A measure that can be added up has `parts`, aggregates over source columns by
+    name, and `combine`, the measure over the sums of these parts.
+    """
 
     name: str
     expr: str
     meta: dict = field(default_factory=dict)
+    parts: dict[str, str] = field(default_factory=dict)
+    combine: str | None = None
 
 
 @dataclass(frozen=True)
@@ -38,7 +44,9 @@ class MetricView:
 
     `tables` gives the DataFrame for each source name of the spec. The joined
     tables must hold one row per join key (`check_keys` tests it); then a join no
-    selected field refers to can be left out, and is.
+    selected field refers to can be left out, and is. Where all measures can be
+    added up, the source is added up to the join keys first, so the joins see
+    one row per key and not every event.
     """
 
     def __init__(self, spec: dict, tables: dict[str, DataFrame]):
@@ -67,19 +75,33 @@ class MetricView:
     def _paths(self) -> list[tuple[str, str]]:
         return [("source", "source")] + [(".".join(j.path), j.alias) for j in self.joins]
 
-    def _joined(self, used: set[str]) -> DataFrame:
-        """The source with the joins in `used` and their parents."""
+    def _needed(self, used: set[str]) -> list[tuple[Join, str]]:
+        """The joins in `used` and their parents, each with its condition over aliases."""
         needed = {
             "__".join(j.path[: depth + 1]) for j in self.joins if j.alias in used for depth in range(len(j.path))
         }
-        df = self.source.alias("source")
+        found = []
         for join in self.joins:
             if join.alias in needed:
                 parents = [(join.path[d], "__".join(join.path[: d + 1])) for d in range(len(join.path))]
-                on, _ = self._localise(join.on, [("source", "source"), *parents])
-                df = df.join(self.tables[join.source].alias(join.alias), F.expr(on), "left")
+                found.append((join, self._localise(join.on, [("source", "source"), *parents])[0]))
+        return found
+
+    def _joined(self, source: DataFrame, joins: list[tuple[Join, str]]) -> DataFrame:
+        df = source.alias("source")
+        for join, on in joins:
+            df = df.join(self.tables[join.source].alias(join.alias), F.expr(on), "left")
         return df
 
+    def _added_up(self, source: DataFrame, texts: list[str], measures: list[Field]) -> DataFrame:
+        """The source per combination of the columns in `texts`, with the parts of the measures."""
+        columns = sorted({c for text in texts for c in _source_columns(text)})
+        parts = {name: expr for m in measures for name, expr in m.parts.items()}
+        keys = [F.col(f"source.{c}").alias(c) for c in columns]
+        if not parts:
+            return source.alias("source").select(*keys).distinct()
+        return source.alias("source").groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in parts.items()])
+
     def query(
         self,
         dimensions: list[str] | None = None,
@@ -99,12 +121,25 @@ class MetricView:
             used.update(names)
             return out
 
-        keys = [F.expr(local(d.expr)).alias(d.name, metadata=d.meta) for d in chosen]
-        values = [F.expr(local(m.expr)).alias(m.name, metadata=m.meta) for m in chosen_measures]
-        condition = local(where) if where else None
-        rows = self._joined(used)
-        if condition:
-            rows = rows.filter(condition)
+        dimension_texts = [local(d.expr) for d in chosen]
+        measure_texts = [local(m.expr) for m in chosen_measures]
+        filter_uses: set[str] = set()
+        if where:
+            where, filter_uses = self._localise(where, self._paths)
+            used.update(filter_uses)
+        joins = self._needed(used)
+        source = self.source
+        additive = all(m.combine for m in chosen_measures)
+        if joins and additive and filter_uses <= {"source"}:
+            if where:
+                source, where = source.alias("source").filter(where), None
+            source = self._added_up(source, [*dimension_texts, *(on for _, on in joins)], chosen_measures)
+            measure_texts = [m.combine for m in chosen_measures]
+        rows = self._joined(source, joins)
+        if where:
+            rows = rows.filter(where)
+        keys = [F.expr(t).alias(d.name, metadata=d.meta) for t, d in zip(dimension_texts, chosen)]
+        values = [F.expr(t).alias(m.name, metadata=m.meta) for t, m in zip(measure_texts, chosen_measures)]
         if not values:
             return rows.select(*keys).distinct()
         return rows.groupBy(*keys).agg(*values) if keys else rows.agg(*values)
@@ -142,9 +177,21 @@ def _flatten(joins: list[dict], parents: tuple[str, ...]):
         yield from _flatten(join.get("joins", []), path)
 
 
+def _source_columns(text: str) -> set[str]:
+    """Columns of the source an expression reads."""
+    return {m.group(1) for m in re.finditer(_LITERAL + r"|(?<![\w.`])source\.(\w+)", text) if m.group(1)}
+
+
 def _fields(items: list[dict]) -> dict[str, Field]:
+    own = ("name", "expr", "parts", "combine")
     return {
-        i["name"]: Field(i["name"], i["expr"], {k: v for k, v in i.items() if k not in ("name", "expr")})
+        i["name"]: Field(
+            i["name"],
+            i["expr"],
+            {k: v for k, v in i.items() if k not in own},
+            i.get("parts", {}),
+            i.get("combine"),
+        )
         for i in items
     }
 

@@ -14,6 +14,13 @@ from tributary.functions.scalars import count_when, percent, places, ratio, zero
 from tributary.operators.rollup import tally
 
 
+# What the reports read of the per-job mart.
+JOB_MART_COLUMNS = [
+    "client_uid", "opening_uid", "title", "category", "budget_type", "numeric_budget_amount", "is_active",
+    "impressions", "clicks", "ctr_pct", "avg_impression_position", "avg_time_to_click_secs",
+]
+
+
 def _named(df: DataFrame, clients: DataFrame) -> DataFrame:
     """Add `company_name`; a client without a profile is shown by its key."""
     names = clients.select("client_uid", F.col("company_name").alias("_name"))

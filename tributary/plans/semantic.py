@@ -69,6 +69,8 @@ CLICKSTREAM = {
         {
             "name": "total_impressions",
             "expr": "COUNT(source.impression_id)",
+            "parts": {"shown": "COUNT(source.impression_id)"},
+            "combine": "COALESCE(SUM(source.shown), 0)",
             "display_name": "Total Impressions",
             "decimal_places": 0,
             "synonyms": ["Total Impressions", "Impressions"],
@@ -76,6 +78,8 @@ CLICKSTREAM = {
         {
             "name": "CTR",
             "expr": "try_divide(COUNT(source.click_id), COUNT(source.impression_id))",
+            "parts": {"shown": "COUNT(source.impression_id)", "clicked": "COUNT(source.click_id)"},
+            "combine": "try_divide(SUM(source.clicked), SUM(source.shown))",
             "display_name": "CTR",
             "decimal_places": 2,
             "synonyms": ["Click-Through Rate", "Click Rate", "Engagement Rate", "Search Effectiveness"],

@@ -75,8 +75,12 @@ class Market:
 
     @cached_property
     def stored_jobs(self) -> DataFrame:
-        """The per-job mart as a stored table, for reports that read it more than once."""
-        return self.lake("jobs").materialize(self.job_performance, "gold", "p_job_performance")
+        """The per-job mart as a stored table, for reports that read it more than once.
+
+        Only the columns the reports read, so the distinct counts are not made.
+        """
+        needed = self.job_performance.select(*reports.JOB_MART_COLUMNS)
+        return self.lake("jobs").materialize(needed, "gold", "p_job_performance")
 
     @cached_property
     def postings(self) -> DataFrame:

@@ -80,13 +80,15 @@ def read_stream(
     return _convert(reader.csv(f"{landing_root(spark, root)}/{name}"), schema)
 
 
-def infer_schema(spark: SparkSession, name: str, root: str | None = None, share: float = 1.0) -> StructType:
-    """Column types found in the files present now, to be kept and given to the stream.
+def infer_schema(spark: SparkSession, name: str, root: str | None = None, files: str = "*") -> StructType:
+    """Column types found in the first files, to be kept and given to the stream.
 
-    `share` is the part of the rows looked at.
+    `files` is a pattern of the file names to look at, such as those of one day: a
+    large landing folder need not be read for its types. Values of later files
+    that do not fit are rescued.
     """
     reader = spark.read.option("header", True).option("nullValue", "").option("inferSchema", True)
-    return reader.option("samplingRatio", share).csv(f"{landing_root(spark, root)}/{name}").schema
+    return reader.option("pathGlobFilter", files).csv(f"{landing_root(spark, root)}/{name}").schema
 
 
 def write_landing(df: DataFrame, name: str, root: str, files: int | None = None) -> None:
