@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, exact_dedup, packing, warc
+from tributary.llm import bpe, exact_dedup, language, packing, quality_model, quality_rules, url_filters, warc
 from tributary.llm.storage import importable
 
 
@@ -42,6 +42,64 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    rows = language.identified(spark, docs, language.train(docs))
+    found = F.col(rows.columns[-1])
+    return rows.select(
+        "doc_id",
+        language.held_out().alias("held_out"),
+        found["lang_pred"].alias("lang_pred"),
+        found["score"].alias("score"),
+        found["rejected"].alias("rejected"),
+    )
+
+
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judged(spark, table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def dated_captures(pages: DataFrame) -> DataFrame:
+    """The pages as captures: the table has no dates, so a page's id gives its day."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int"))
+    return pages.select("page_id", "url", day.alias("fetched_on"))
+
+
+def dated_lists(pages: DataFrame) -> DataFrame:
+    """Lists over the hosts of the pages: blocked hosts that come and go, some domains, some allowed parts."""
+    start = F.lit("2024-01-01").cast("date")
+    hosts = pages.select(url_filters.host_of(F.col("url")).alias("host"), "page_id").filter("host <> ''")
+    first = hosts.groupBy("host").agg(F.min("page_id").alias("m"))
+    domains = first.withColumn("host", F.substring_index("host", ".", -2)).groupBy("host").agg(F.min("m").alias("m"))
+
+    def event(rows: DataFrame, name: str, pattern: F.Column, day: F.Column, action: str) -> DataFrame:
+        at = F.date_add(start, day.cast("int"))
+        return rows.select(F.lit(name).alias("list"), pattern.alias("pattern"), at.alias("at"), F.lit(action).alias("action"))
+
+    m, host = F.col("m"), F.col("host")
+    return (
+        event(first, "block", host, m % 300, "add")
+        .unionAll(event(first, "block", host, m % 300 + 30 + m % 60, "remove"))
+        .unionAll(event(first.filter(m % 3 == 0), "block", host, m % 300 + 200, "add"))
+        .unionAll(event(domains.filter(m % 2 == 0), "block", host, F.lit(250), "add"))
+        .unionAll(event(first.filter(m % 4 == 1), "allow", F.concat(host, F.lit("/en")), F.lit(100), "add"))
+    )
+
+
+def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    rows = url_filters.decided(dated_captures(pages), dated_lists(pages))
+    found = F.col(rows.columns[-1])
+    return rows.select(
+        "page_id", "url", "fetched_on",
+        found["list"].alias("list"), found["pattern"].alias("pattern"), found["since"].alias("since"), found["kept"].alias("kept"),
+    )
+
+
+def op9_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.scored(spark, table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoded(spark, table(spark, folder, "documents"), TOKENIZER)
 
@@ -50,6 +108,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_language": op5_language,
+    "op6_quality_rules": op6_quality_rules,
+    "op8_url_filters": op8_url_filters,
+    "op9_quality_model": op9_quality_model,
     "op10_bpe": op10_bpe,
 }
 
@@ -80,7 +142,36 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY t)
 """
 
+_URLS = r"""
+WITH c AS (
+  SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(page_id % 365 AS INTEGER) AS DATE) AS fetched_on,
+    regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.+$', '') AS host,
+    lower(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1)) AS path
+  FROM pages),
+first AS (SELECT host, min(page_id) AS m FROM c WHERE host <> '' GROUP BY host),
+domains AS (SELECT array_to_string(split(host, '.')[-2:], '.') AS host, min(m) AS m FROM first GROUP BY 1),
+events AS (
+  SELECT 'block' AS list, host AS pattern, m % 300 AS day, 'add' AS action FROM first
+  UNION ALL SELECT 'block', host, m % 300 + 30 + m % 60, 'remove' FROM first
+  UNION ALL SELECT 'block', host, m % 300 + 200, 'add' FROM first WHERE m % 3 = 0
+  UNION ALL SELECT 'block', host, 250, 'add' FROM domains WHERE m % 2 = 0
+  UNION ALL SELECT 'allow', host || '/en', 100, 'add' FROM first WHERE m % 4 = 1),
+single AS (
+  SELECT list, pattern, CAST(DATE '2024-01-01' + CAST(day AS INTEGER) AS DATE) AS since, max(action) AS action
+  FROM events GROUP BY ALL),
+valid AS (
+  SELECT list, pattern, since, action, lead(since) OVER (PARTITION BY list, pattern ORDER BY since) AS until FROM single),
+hits AS (
+  SELECT c.page_id, v.list, v.pattern, v.since,
+    row_number() OVER (PARTITION BY c.page_id ORDER BY length(v.pattern) DESC, v.list <> 'allow', v.list) AS place
+  FROM c JOIN valid v ON v.action = 'add' AND c.fetched_on >= v.since AND (v.until IS NULL OR c.fetched_on < v.until)
+    AND (c.host = v.pattern OR ends_with(c.host, '.' || v.pattern) OR starts_with(c.host || c.path || '/', v.pattern || '/')))
+SELECT c.page_id, c.url, c.fetched_on, h.list, h.pattern, h.since, coalesce(h.list = 'allow', true) AS kept
+FROM c LEFT JOIN hits h ON h.page_id = c.page_id AND h.place = 1
+"""
+
 SQL: dict[str, str] = {
     "op1_warc": _WARC,
     "op3_exact_dedup": _EXACT,
+    "op8_url_filters": _URLS,
 }
