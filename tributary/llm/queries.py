@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, exact_dedup, language, packing, quality_model, quality_rules, url_filters, warc
+from tributary.llm import bpe, exact_dedup, language, packing, quality_model, quality_rules, suffix_dedup, url_filters, warc
 from tributary.llm.storage import importable
 
 
@@ -59,6 +59,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(spark, table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.marked(spark, table(spark, folder, "documents"), length=400).drop("spans")
+
+
 def dated_captures(pages: DataFrame) -> DataFrame:
     """The pages as captures: the table has no dates, so a page's id gives its day."""
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int"))
@@ -110,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_language": op5_language,
     "op6_quality_rules": op6_quality_rules,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_filters": op8_url_filters,
     "op9_quality_model": op9_quality_model,
     "op10_bpe": op10_bpe,
