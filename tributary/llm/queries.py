@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, exact_dedup, language, packing, quality_model, quality_rules, suffix_dedup, url_filters, warc
+from tributary.llm import bpe, exact_dedup, jaccard, language, packing, quality_model, quality_rules, suffix_dedup, url_filters, warc
 from tributary.llm.storage import importable
 
 
@@ -42,6 +42,10 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked(spark, table(spark, folder, "documents"), words=3, percent=90)
+
+
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     rows = language.identified(spark, docs, language.train(docs))
@@ -112,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_jaccard": op4_jaccard,
     "op5_language": op5_language,
     "op6_quality_rules": op6_quality_rules,
     "op7_suffix_dedup": op7_suffix_dedup,
