@@ -20,7 +20,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.storage import importable, join_path, open_folder, stored
@@ -154,17 +154,22 @@ def with_record_types(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         .filter("copies > 1")
         .select("content", "top")
     )
+    # Numbers and digests only: small, read by the check below and by the join.
+    repeated = stored(pages.sparkSession, repeated, "warc-repeated")
     joined = join_grouped(rows, repeated, ["content"])
-    first = F.row_number().over(Window.partitionBy("content").orderBy("url")) > 1
     is_top = F.coalesce("page_id", F.lit(-(1 << 63))) == F.col("top.rank")
-    columns = ["page_id", "url", "payload"]
+    refers = F.when(F.col("top.rank") > -(1 << 63), F.col("top.rank"))
+
+    def typed(rows: DataFrame, revisit: Column) -> DataFrame:
+        return rows.select("page_id", "url", "payload", F.when(revisit, refers).alias("refers_to"), F.coalesce(revisit, F.lit(False)).alias("revisit"))
+
+    if repeated.filter("top.same > 1").isEmpty():
+        return typed(joined, ~is_top)
     # Rows that share both payload and largest id: one of them stays the response.
-    tied = joined.filter(is_top & (F.col("top.same") > 1)).withColumn("later", first)
+    later = F.row_number().over(Window.partitionBy("content").orderBy("url")) > 1
+    tied = joined.filter(is_top & (F.col("top.same") > 1)).withColumn("later", later)
     plain = joined.filter(F.col("top").isNull() | ~is_top | (F.col("top.same") == 1))
-    refers = F.when(F.col("top.rank") > -(1 << 63), F.col("top.rank"))
-    return plain.select(*columns, F.when(~is_top, refers).alias("refers_to"), F.coalesce(~is_top, F.lit(False)).alias("revisit")).unionAll(
-        tied.select(*columns, F.when(F.col("later"), refers).alias("refers_to"), F.col("later").alias("revisit"))
-    )
+    return typed(plain, ~is_top).unionAll(typed(tied, F.col("later")))
 
 
 def write_archives(spark: SparkSession, typed: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -244,7 +249,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, with_pa
 
     importable(spark)
     # An archive is the unit of work; its name is random, so this deals them out evenly.
-    return manifest.select("path", "records").repartition(F.col("path")).mapInArrow(read, READ)
+    return manifest.select("path", "records").repartition(max(1, manifest.count()), "path").mapInArrow(read, READ)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int = 0) -> DataFrame:
