@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.storage import free_name, importable, join_path, open_folder, utf8
+from tributary.llm.storage import free_name, importable, join_path, open_folder, stored, utf8
 from tributary.operators.keyed import join_grouped
 from tributary.session import scratch_dir
 
@@ -198,7 +198,9 @@ def decided(spark: SparkSession, docs: DataFrame, table_bytes: int = TABLE_BYTES
     """`docs` with a struct column: digest, keep_id, size, kept; its name is the last column's."""
     rows = with_digest(docs, free_name(docs, "digest"))
     digest = rows.columns[-1]
-    found = groups(spark, docs, table_bytes, fanout)
+    # Digests and numbers only; the texts were compared once, before this is written.
+    found = stored(spark, groups(spark, docs, table_bytes, fanout), "exact-groups")
+    any_tie = not found.filter("ties > 1").isEmpty()
     group = free_name(rows, "group")
     found = found.select(F.col("digest").alias(digest), F.struct("top", "ties", "size").alias(group))
     joined = join_grouped(rows, found, [digest], "inner")
@@ -209,7 +211,9 @@ def decided(spark: SparkSession, docs: DataFrame, table_bytes: int = TABLE_BYTES
         keep_id = F.when(F.col(group)["top"] > NO_ID, F.col(group)["top"])
         return F.struct(F.col(digest).alias("digest"), keep_id.alias("keep_id"), F.col(group)["size"].alias("size"), kept.alias("kept")).alias(group)
 
-    # Rows that share text and largest id are rare; only they are numbered.
+    if not any_tie:
+        return joined.select(*docs.columns, decision(is_top))
+    # Rows that share text and largest id: only they are numbered.
     first = F.row_number().over(Window.partitionBy(digest).orderBy(F.lit(0))) == 1
     alone = joined.filter(~is_top | (F.col(group)["ties"] == 1))
     tied = joined.filter(is_top & (F.col(group)["ties"] > 1)).withColumn("_first", first)
