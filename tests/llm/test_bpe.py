@@ -41,9 +41,9 @@ def test_chunks_of_a_shared_passage_are_encoded_once():
     own = bpe.Encoder(PATH, 64)
     passage = " ".join(random_texts(40, 1)).encode()
     own.encode([b"first " + passage])
-    known = len(own.chunks.young)
+    known = len(own.chunks)
     own.encode([b"another beginning of some other length " + passage + b" end"])
-    assert len(own.chunks.young) - known < 8 < known
+    assert len(own.chunks) - known < 8 < known
 
 
 def test_cuts_depend_on_content_alone():
@@ -53,12 +53,13 @@ def test_cuts_depend_on_content_alone():
     assert all(data[c] & 0xC0 != 0x80 for c in whole)
 
 
-def test_caches_are_bounded():
-    cache = bpe.TwoGenerations(10)
+def test_caches_are_bounded_and_keep_what_is_used():
+    made = []
+    cache = bpe.TwoGenerations(lambda key: made.append(key) or key, 10)
     for i in range(1000):
-        cache.put(i, i)
-        cache.get(5)
-    assert len(cache.young) + len(cache.old) <= 20 and cache.get(5) == 5
+        assert cache[i] == i and cache[5] == 5
+        assert len(cache) + len(cache.old) <= 20
+    assert made.count(5) == 1 and len(made) == 1000
 
 
 def test_a_tokenizer_that_keeps_white_space_is_refused():

@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -36,6 +37,11 @@ CHUNKS_KEPT = 20_000
 WORDS_KEPT = 400_000
 BLANKS = b" \t\n\r\x0b\x0c"
 
+# How byte-level BPE writes the bytes that are not printable Latin-1 characters: from 256 on, in order.
+BYTE_CHARACTERS = {
+    b: 256 + i for i, b in enumerate(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE))
+}
+
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -52,22 +58,26 @@ def chunk_cuts(data: np.ndarray, mean: int = CHUNK_BYTES) -> np.ndarray:
     return cuts[(data[cuts] & 0xC0) != 0x80]
 
 
-class TwoGenerations:
-    """A cache of bounded size: what is used while one generation fills survives it."""
+class TwoGenerations(dict):
+    """Values made on demand, kept in two generations of bounded size.
 
-    def __init__(self, kept: int) -> None:
-        self.kept, self.young, self.old = kept, {}, {}
+    What is used while one generation fills survives it. `cache[key]` is a plain lookup for
+    keys of the young generation.
+    """
 
-    def get(self, key):
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
-        return found
+    def __init__(self, make: Callable, kept: int) -> None:
+        super().__init__()
+        self.make, self.kept, self.old = make, kept, {}
 
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.kept:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.kept:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class Encoder:
@@ -80,94 +90,90 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model, self.packed = self.tokenizer.model, struct.Struct("<I").pack
         probe = ["one", "two's", "3a", ",."]
-        apart = [i for w in probe for i in self._ids([w])[0]]
-        if any(self._ids([blank.join(probe)])[0] != apart for blank in (" ", "\n \t")):
+        apart = b"".join(map(self._library, probe))
+        if any(self._library(blank.join(probe)) != apart for blank in (" ", "\n \t")):
             raise ValueError("the tokenizer does not drop white space between words")
+        # Shorter ways for plain words, each only if it gives what the library gives.
+        plain = [w for w in ("the", "Largest", "naïve", "ÜNDER", "øre", "A", "é", "straße") if self._plain(w.encode()) is not None]
+        self.direct = all(self._plain(w.encode()) == self._library(w) for w in plain)
+        self.marks = {m.encode(): self._library(m) for m in ".,;:!?" if self._library(f"word{m}") == self._library("word") + self._library(m)}
         self.chunk_bytes = chunk_bytes
-        self.packed = struct.Struct("<I").pack
-        self.chunks = TwoGenerations(CHUNKS_KEPT)
-        self.words = TwoGenerations(WORDS_KEPT)
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _words(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words, each encoded at most once while it is cached."""
-        found = list(map(self.words.young.get, words))
-        if None in found:
-            get = self.words.get
-            unknown = {w for w, f in zip(words, found) if f is None}
-            ids = {w: f for w in unknown if (f := get(w)) is not None}
-            new = [w for w in unknown if w not in ids]
-            for word, own in zip(new, self._ids([w.decode() for w in new])):
-                ids[word] = value = b"".join(map(self.packed, own))
-                self.words.put(word, value)
-            found = [ids[w] if f is None else f for w, f in zip(words, found)]
-        return found
-
-    def learn(self, chunks: list[bytes]) -> list[tuple[bytes, bytes, bytes] | None]:
-        """Per chunk its text before the first blank, the ids between blanks, the text after the last.
-
-        None for a chunk without a blank: it is a part of one word.
+        self.words = TwoGenerations(self._word, WORDS_KEPT)
+        self.chunks = TwoGenerations(self._chunk, CHUNKS_KEPT)
+
+    def _library(self, text: str) -> bytes:
+        return b"".join(map(self.packed, self.tokenizer.encode(text, add_special_tokens=False).ids))
+
+    def _plain(self, word: bytes) -> bytes | None:
+        """Ids of a word of Latin letters, from the library's BPE model; None for any other word.
+
+        The lower case of such letters is a letter each and composed already, and byte-level
+        BPE reads their UTF-8 bytes as characters.
+        """
+        text = word.decode().lower()
+        if not text.isalpha():
+            return None
+        if not text.isascii():
+            if max(text) >= "\u0250":
+                return None
+            text = text.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        return b"".join([self.packed(t.id) for t in self.model.tokenize(text)])
+
+    def _word(self, word: bytes) -> bytes:
+        """Ids of a word (a run without blanks)."""
+        # The closing mark first, so that a word is known with and without it.
+        mark = self.marks.get(word[-1:])
+        if mark and len(word) > 1 and word[-2:-1].isalpha():
+            return self.words[word[:-1]] + mark
+        ids = self._plain(word) if self.direct else None
+        return self._library(word.decode()) if ids is None else ids
+
+    def _chunk(self, chunk: bytes) -> tuple[bytes | None, bytes, bytes]:
+        """The text before the first blank, the ids between blanks, the text after the last.
+
+        A chunk without a blank is a part of one word: None.
         """
-        found = [self.chunks.get(c) for c in chunks]
-        new = list({c for c, f in zip(chunks, found) if f is None})
-        if not new:
-            return found
-        parts, flat = [], []
-        for chunk in new:
-            words = chunk.split()
-            head = tail = b""
-            if words and chunk[0] not in BLANKS:
-                head, words = words[0], words[1:]
-            if words and chunk[-1] not in BLANKS:
-                tail, words = words[-1], words[:-1]
-            whole = len(head) == len(chunk)
-            parts.append((None if whole else head, tail, len(flat), len(flat) + len(words)))
-            flat += words
-        ids = self._words(flat)
-        own = {}
-        for chunk, (head, tail, begin, end) in zip(new, parts):
-            own[chunk] = (head, b"".join(ids[begin:end]), tail)
-            self.chunks.put(chunk, own[chunk])
-        return [own[c] if f is None else f for c, f in zip(chunks, found)]
+        words = chunk.split()
+        head = tail = b""
+        if words and chunk[0] not in BLANKS:
+            head = words.pop(0)
+            if len(head) == len(chunk):
+                return None, b"", b""
+        if words and chunk[-1] not in BLANKS:
+            tail = words.pop()
+        return head, b"".join(map(self.words.__getitem__, words)), tail
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, exactly as the tokenizer gives them for the whole text."""
-        chunks, counts = [], []
-        for text in texts:
-            cuts = chunk_cuts(np.frombuffer(text, np.uint8), self.chunk_bytes) if len(text) > WINDOW else ()
-            begin = 0
-            for cut in cuts:
-                chunks.append(text[begin:cut])
-                begin = cut
-            chunks.append(text[begin:])
-            counts.append(len(cuts) + 1)
-        known = self.learn(chunks)
-        pieces: list[list[bytes | int]] = []
-        joins: list[bytes] = []
-        at = 0
-        for count in counts:
-            out, across = [], b""
-            for i in range(at, at + count):
-                head, inner, tail = known[i]
-                if head is None:
-                    across += chunks[i]
-                    continue
-                # The join: from the last blank so far to the first one in this chunk.
-                if across or head:
-                    out.append(len(joins))
-                    joins.append(across + head)
-                out.append(inner)
-                across = tail
-            if across:
-                out.append(len(joins))
-                joins.append(across)
-            pieces.append(out)
-            at += count
-        again = self._words(joins)
-        return [b"".join(again[p] if isinstance(p, int) else p for p in out) for out in pieces]
+        out = []
+        for begin, end in slices(texts, 1 << 20):
+            part = texts[begin:end]
+            joined = b"".join(part)
+            cuts = chunk_cuts(np.frombuffer(joined, np.uint8), self.chunk_bytes)
+            ends = np.cumsum([len(t) for t in part])
+            first = np.searchsorted(cuts, np.concatenate(([0], ends[:-1])) + WINDOW)
+            last = np.searchsorted(cuts, ends)
+            cuts, at = cuts.tolist(), 0
+            for i, j, stop in zip(first.tolist(), last.tolist(), ends.tolist()):
+                ids, across = [], b""
+                for cut in [*cuts[i:j], stop]:
+                    chunk = joined[at:cut]
+                    at = cut
+                    head, inner, tail = self.chunks[chunk]
+                    if head is None:
+                        across += chunk
+                        continue
+                    # The join: from the last blank so far to the first one in this chunk.
+                    if across or head:
+                        ids.append(self.words[across + head])
+                    ids.append(inner)
+                    across = tail
+                if across:
+                    ids.append(self.words[across])
+                out.append(b"".join(ids))
+        return out
 
     def decode(self, ids: bytes) -> str:
         return self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
