@@ -67,15 +67,22 @@ def test_quarantine_names_the_first_reason(clicks):
     got = rows(silver.quarantine_clicks(clicks))
     reasons = sorted((str(r["event_id"]), r["quarantine_reason"]) for r in got)
     assert reasons == [
+        ("CLK_4", "valid_opening_uid"),
         ("CLK_5", "bot_traffic"),
+        ("CLK_6", "valid_time_to_click_secs"),
         ("CLK_7", "invalid_position"),
-        ("None", "null_event_id"),
+        # The other click without an id breaks no rule of silver and is accepted there.
         ("None", "null_event_id"),
     ]
-    renamed = quarantine(silver.typed_clicks(clicks), [drop("a", "position < 3")], {"a": "far down"})
+    renamed = quarantine(silver.typed_clicks(clicks), [drop("a", "position < 3")], [drop("far down", "position < 3")])
     assert {r["quarantine_reason"] for r in rows(renamed)} == {"far down"}
 
 
+def test_quarantine_and_silver_are_all_clicks(clicks):
+    both = silver.click_events(clicks).unionAll(silver.quarantine_clicks(clicks).drop("quarantine_reason"))
+    assert sorted(map(str, both.collect())) == sorted(map(str, silver.typed_clicks(clicks).collect()))
+
+
 def test_documented_rules_keep_organic_clicks(clicks):
     typed = silver.documented_clicks(clicks)
     rules = silver.documented_rules("2024-02-01 00:00:00")["click_events"]

@@ -78,13 +78,12 @@ def rejected(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.filter(~all_hold([r for r in rules if r.action == DROP]))
 
 
-def quarantine(df: DataFrame, rules: list[Rule], reasons: dict[str, str] | None = None) -> DataFrame:
-    """Rejected rows with `quarantine_reason`, the first violated rule.
+def quarantine(df: DataFrame, rules: list[Rule], reasons: list[Rule] | None = None) -> DataFrame:
+    """Rejected rows with `quarantine_reason`: the name of the first violated rule of `reasons`.
 
-    `reasons` renames rules to the reason to be shown.
+    `reasons` are the rules themselves unless other names or another order are wanted.
     """
-    reasons = reasons or {}
-    reason = F.coalesce(*[F.when(~r.holds, F.lit(reasons.get(r.name, r.name))) for r in rules])
+    reason = F.coalesce(*[F.when(~r.holds, F.lit(r.name)) for r in reasons or rules])
     return rejected(df, rules).withColumn("quarantine_reason", reason)
 
 

@@ -35,11 +35,13 @@ CLICK_RULES = [
 JOB_MART_RULES = [warn("clicks_le_impressions", "clicks <= impressions OR clicks IS NULL")]
 DAILY_MART_RULES = [warn("positive_ctr", "ctr_pct IS NULL OR (ctr_pct >= 0 AND ctr_pct <= 100)")]
 
-# Reasons shown for quarantined clicks.
-CLICK_QUARANTINE_RULES = [
+# Reasons shown for quarantined clicks, the documented ones first; a row that violates several
+# rules is shown with the first of them.
+CLICK_REASONS = [
     drop("bot_traffic", "is_bot = false"),
     drop("null_event_id", "event_id IS NOT NULL"),
     drop("invalid_position", "position IS NOT NULL"),
+    *CLICK_RULES,
 ]
 
 
@@ -69,9 +71,32 @@ def quarantine_impressions(raw: DataFrame) -> DataFrame:
     return typed_impressions(raw).filter("is_bot")
 
 
+def rejected_impressions(raw: DataFrame) -> DataFrame:
+    """Every impression that silver rejects, and the reason; bots are among them."""
+    return quarantine(typed_impressions(raw), IMPRESSION_RULES)
+
+
 def quarantine_clicks(raw: DataFrame) -> DataFrame:
-    """Clicks with a diagnostic problem and the reason."""
-    return quarantine(typed_clicks(raw), CLICK_QUARANTINE_RULES)
+    """Every click that silver rejects, and the reason; no row is in neither table or in both."""
+    return quarantine(typed_clicks(raw), CLICK_RULES, CLICK_REASONS)
+
+
+def quarantine_balance(raw) -> DataFrame:
+    """Rows of the two event tables with a quarantine: taken in, accepted, quarantined."""
+    flows = [
+        ("click_events", raw.click_events, click_events, quarantine_clicks),
+        ("impression_events", raw.impression_events, impression_events, rejected_impressions),
+    ]
+    out = None
+    for name, rows, accept, reject in flows:
+        parts = [
+            part.select(F.lit(name).alias("dataset"), F.lit(i).alias("part"))
+            for i, part in enumerate((rows, accept(rows), reject(rows)))
+        ]
+        both = parts[0].unionAll(parts[1]).unionAll(parts[2])
+        out = both if out is None else out.unionAll(both)
+    count = [F.count(F.when(F.col("part") == i, 1)).alias(n) for i, n in enumerate(("bronze", "silver", "quarantined"))]
+    return out.groupBy("dataset").agg(*count)
 
 
 def clean_freelancers(raw: DataFrame) -> DataFrame:
