@@ -6,62 +6,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.operators.keyed import join_grouped
-from tributary.operators.rollup import same_key, tally
+from tributary.operators.rollup import tally
 
-# Distinct values of one group that a task may hold in memory.
-VALUES_IN_MEMORY = 1_000_000
-BANDS = 200
 
-
-def has_few_values(df: DataFrame, value: str, values_in_memory: int = VALUES_IN_MEMORY) -> bool:
-    """Whether the whole column has so few distinct values that no group can have too many.
-
-    One number per task reaches the driver. The count is approximate, hence the margin.
-    """
-    found = df.agg(F.approx_count_distinct(value)).first()[0]
-    return found * 1.25 < values_in_memory
-
-
-def weighted_quantiles(
-    df: DataFrame,
-    by: str,
-    value: str,
-    weight: Column,
-    probabilities: list[float],
-    name: str,
-    few_values: bool = False,
-    values_in_memory: int = VALUES_IN_MEMORY,
-) -> DataFrame:
+def weighted_quantiles(df: DataFrame, by: str, value: str, weight: Column, probabilities: list[float], name: str) -> DataFrame:
     """Interpolated quantiles of `value` repeated `weight` times, as an array.
 
-    Equal values are added up before the shuffle, so a hot group is spread over
-    its values. A group with few distinct values is finished by `percentile`,
-    whose state is these values; the rare others are finished in bands. Where
-    `has_few_values` showed that there are no others, say `few_values`.
+    Equal values are added up before the shuffle, so a hot group is spread over its values.
+    Groups are cut into bands of values, none of which is larger than a shuffle partition:
+    Spark's range partitioning by group and value says where. The weights of the bands tell
+    in which of them each wanted rank lies, and only those bands are sorted, each on its
+    own. A small group is one band; there is one way for all sizes.
     """
     counts = tally(df.filter(F.col(value).isNotNull()), [by, value], _weight=F.sum(weight)).filter("_weight > 0")
-
-    def in_memory(rows: DataFrame) -> DataFrame:
-        points = F.array(*[F.lit(p) for p in probabilities])
-        return tally(rows, by, **{name: F.percentile(value, points, F.col("_weight"))})
-
-    if few_values:
-        return in_memory(counts)
-    sizes = tally(counts, by, _values=F.count(F.lit(1)))
-    large = sizes.filter(F.col("_values") > values_in_memory).select(by)
-    in_bands = _banded(same_key(counts, large, by, "left_semi"), by, value, probabilities, name)
-    return in_memory(same_key(counts, large, by, "left_anti")).unionByName(in_bands)
-
-
-def _banded(counts: DataFrame, by: str, value: str, probabilities: list[float], name: str) -> DataFrame:
-    """The same over groups of many values, none of which is ever in one task.
-
-    Each group is cut into bands of about equally many values. The weights of
-    the bands tell in which of them each wanted rank lies, and only those bands
-    are sorted, each on its own.
-    """
-    cuts = [i / BANDS for i in range(1, BANDS)]
-    borders = tally(counts, by, _borders=F.percentile_approx(value, cuts, BANDS * 10))
+    # The largest value of a group in each range; any such borders give the same quantiles.
+    ranges = tally(counts.repartitionByRange(by, value), [F.col(by), F.spark_partition_id().alias("_range")], _border=F.max(value))
+    borders = tally(ranges, by, _borders=F.sort_array(F.collect_list("_border")))
     key = F.coalesce(F.col(by).cast("string"), F.lit("")).alias("_key")
     # NULL groups join as well: the key is its text and whether it is NULL.
     keyed = counts.select("*", key, F.col(by).isNull().alias("_null"))
