@@ -1,24 +1,33 @@
 """The CSV landing zone: one sub-folder per dataset, new files added over time.
 
-Files are read as text columns and converted here. A value that does not fit its
-declared type becomes NULL and is kept in `_rescued_data` as JSON, together with
-the whole line of a row that has more or fewer fields than the schema.
+Every file names its columns in its first line, in any order. Values are read as text,
+found by the names in their file's header, and converted here. What does not fit is kept in
+`_rescued_data` as JSON: values of the wrong type, columns that are not declared, and,
+under `_line`, the whole line of a row with more or fewer fields than its header.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tributary.schemas import INGESTED_AT, RAW, RESCUED, SOURCE_FILE
 
 DEFAULT_ROOT = "/data/landing"
 ROOT_SETTING = "raw_data_path"
 _LINE = "_line"
+HEADERS = StructType([StructField("file", StringType()), StructField("header", ArrayType(StringType()))])
 
 # Files a stream takes in per micro-batch; a backlog is worked off in several.
 FILES_PER_BATCH = 10_000
+# Headers that are read at the same time.
+HEADER_READERS = 8
 
 
 def landing_root(spark: SparkSession, root: str | None = None) -> str:
@@ -26,14 +35,36 @@ def landing_root(spark: SparkSession, root: str | None = None) -> str:
     return root or spark.conf.get(ROOT_SETTING, DEFAULT_ROOT)
 
 
-def _as_text(schema: StructType) -> StructType:
-    fields = [StructField(f.name, StringType()) for f in schema.fields]
-    return StructType([*fields, StructField(_LINE, StringType())])
+def files_of(spark: SparkSession, name: str, root: str | None = None) -> list[str]:
+    """The files of a dataset as they are now."""
+    return spark.read.text(f"{landing_root(spark, root)}/{name}").inputFiles()
+
+
+def read_headers(spark: SparkSession, files: Iterable[str]) -> list[tuple[str, list[str]]]:
+    """Column names of files; only the first line of each is read."""
+
+    def header(file: str) -> tuple[str, list[str]]:
+        # Listed files are written as URLs; a path that is read may hold patterns.
+        path = re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+        return file, spark.read.option("header", True).csv(path).columns
+
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        return list(pool.map(header, files))
 
 
-def _options(reader, schema: StructType):
+def _plain_path(path: Column) -> Column:
+    """One way to write a path without a host: `file:/a`, not `file:///a`."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+
+
+def headers_frame(spark: SparkSession, headers: list[tuple[str, list[str]]]) -> DataFrame:
+    return spark.createDataFrame(headers, HEADERS)
+
+
+def _options(reader, fields: int):
+    places = [StructField(f"_c{i}", StringType()) for i in range(fields)]
     return (
-        reader.schema(_as_text(schema))
+        reader.schema(StructType([*places, StructField(_LINE, StringType())]))
         .option("header", True)
         .option("nullValue", "")
         .option("mode", "PERMISSIVE")
@@ -41,30 +72,61 @@ def _options(reader, schema: StructType):
     )
 
 
-def rescued(schema: StructType) -> Column:
-    """JSON of the values that do not fit their type, NULL when all fit."""
-    kept = [
-        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.col(f.name)).alias(f.name)
+def _fields_in(line: Column) -> Column:
+    """Fields of a CSV line; a quoted one counts as one."""
+    return F.size(F.split(F.regexp_replace(line, '"([^"]|"")*"', "q"), ","))
+
+
+def _convert(text: DataFrame, headers: DataFrame, fields: int, schema: StructType) -> DataFrame:
+    """Rows of text fields to declared columns, by the names in the header of each row's file.
+
+    There is one row per file in `headers`; a file without one stops the query, it is found
+    when the query is started again.
+    """
+    rows = text.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    keyed = headers.select(_plain_path(F.col("file")).alias("_file"), "header")
+    rows = rows.withColumn("_file", _plain_path(F.col(SOURCE_FILE))).join(keyed, "_file", "left")
+    known = F.coalesce("_header", F.raise_error(F.concat(F.lit("no header is known of "), F.col(SOURCE_FILE))).cast("array<string>"))
+    rows = rows.withColumnRenamed("header", "_header").withColumn("_header", known)
+    values = F.array(*[F.col(f"_c{i}") for i in range(fields)])
+    # The reader marks every row that has not the number of fields of the widest header.
+    broken = F.when(_fields_in(F.col(_LINE)) != F.size("_header"), F.col(_LINE))
+    rows = rows.withColumns({"_values": values, _LINE: broken})
+
+    def named(name: str) -> Column:
+        return F.try_element_at("_values", F.nullif(F.array_position("_header", name), F.lit(0)).cast("int"))
+
+    rows = rows.withColumns({f.name: named(f.name) for f in schema.fields})
+    # Of the values that do not fit and of the columns nobody declared, those that say something.
+    wrong = [
+        F.struct(F.lit(f.name).alias("key"), F.when(F.col(f.name).try_cast(f.dataType).isNull(), F.col(f.name)).alias("value"))
         for f in schema.fields
         if not isinstance(f.dataType, StringType)
     ]
-    values = F.to_json(F.struct(*kept, F.col(_LINE)))
-    return F.nullif(values, F.lit("{}"))
-
-
-def _convert(text: DataFrame, schema: StructType) -> DataFrame:
-    return text.select(
+    pairs = F.arrays_zip(F.col("_header").alias("key"), F.slice("_values", F.lit(1), F.size("_header")).alias("value"))
+    unknown = F.filter(pairs, lambda p: ~p["key"].isin([f.name for f in schema.fields]))
+    line = F.array(F.struct(F.lit(_LINE).alias("key"), F.col(_LINE).alias("value")))
+    found = F.filter(F.concat(F.array(*wrong) if wrong else line, unknown, line), lambda p: p["value"].isNotNull())
+    rescued = F.when(F.size(found) > 0, F.to_json(F.map_from_entries(F.array_distinct(found))))
+    return rows.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
-        rescued(schema).alias(RESCUED),
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        rescued.alias(RESCUED),
+        SOURCE_FILE,
         F.current_timestamp().alias(INGESTED_AT),
     )
 
 
+def _widest(headers: list[tuple[str, list[str]]], schema: StructType) -> int:
+    return max([len(schema.fields), *(len(h) for _, h in headers)])
+
+
 def read_batch(spark: SparkSession, name: str, root: str | None = None, schema: StructType | None = None) -> DataFrame:
     """All files of a dataset as they are now."""
     schema = schema or RAW[name]
-    return _convert(_options(spark.read, schema).csv(f"{landing_root(spark, root)}/{name}"), schema)
+    headers = read_headers(spark, files_of(spark, name, root))
+    fields = _widest(headers, schema)
+    text = _options(spark.read, fields).csv(f"{landing_root(spark, root)}/{name}")
+    return _convert(text, headers_frame(spark, headers), fields, schema)
 
 
 def read_stream(
@@ -73,11 +135,19 @@ def read_stream(
     root: str | None = None,
     schema: StructType | None = None,
     files_per_batch: int = FILES_PER_BATCH,
+    headers: list[tuple[str, list[str]]] | None = None,
 ) -> DataFrame:
-    """The files of a dataset as a stream; the checkpoint of the query knows which are done."""
+    """The files of a dataset as a stream; the checkpoint of the query knows which are done.
+
+    `headers` are those of the files that are not done yet; without it, of all files.
+    """
     schema = schema or RAW[name]
-    reader = _options(spark.readStream, schema).option("maxFilesPerTrigger", files_per_batch)
-    return _convert(reader.csv(f"{landing_root(spark, root)}/{name}"), schema)
+    if headers is None:
+        headers = read_headers(spark, files_of(spark, name, root))
+    fields = _widest(headers, schema)
+    reader = _options(spark.readStream, fields).option("maxFilesPerTrigger", files_per_batch)
+    text = reader.csv(f"{landing_root(spark, root)}/{name}")
+    return _convert(text, headers_frame(spark, headers), fields, schema)
 
 
 def infer_schema(spark: SparkSession, name: str, root: str | None = None, files: str = "*") -> StructType:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType, TimestampType
 
 from tributary.schemas import INGESTED_AT, RAW, RESCUED, SOURCE_FILE
-from tributary.sources.landing import FILES_PER_BATCH, read_stream
+from tributary.sources.landing import FILES_PER_BATCH, files_of, headers_frame, infer_schema, read_headers, read_stream
 from tributary.sources.tables import Lake
 
 
@@ -20,9 +23,48 @@ def bronze_schema(name: str) -> StructType:
     )
 
 
-def start(lake: Lake, name: str, root: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> StreamingQuery:
+def _stored(lake: Lake, path: str, schema: str) -> DataFrame:
+    """A small table of the lake; without rows as long as it is not written."""
+    try:
+        return lake.spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return lake.spark.createDataFrame([], schema)
+
+
+def new_headers(lake: Lake, name: str, root: str | None = None) -> list[tuple[str, list[str]]]:
+    """Headers of the files that no earlier run finished; only files never seen are opened."""
+    folder = f"{lake.checkpoint(f'headers_{name}')}"
+    known = {r["file"]: r["header"] for r in _stored(lake, folder, "file string, header array<string>").collect()}
+    files = files_of(lake.spark, name, root)
+    found = read_headers(lake.spark, [f for f in files if f not in known])
+    if found:
+        headers_frame(lake.spark, found).coalesce(1).write.mode("append").parquet(folder)
+    return [*((f, known[f]) for f in files if f in known), *found]
+
+
+def kept_schema(lake: Lake, name: str, root: str | None = None, files: str = "*") -> StructType:
+    """The schema inferred from the first files of a dataset, the same in every later run."""
+    folder = lake.checkpoint(f"schema_{name}")
+    known = _stored(lake, folder, "schema string").first()
+    if known:
+        return StructType.fromJson(json.loads(known["schema"]))
+    schema = infer_schema(lake.spark, name, root, files)
+    lake.spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.parquet(folder)
+    return schema
+
+
+def start(
+    lake: Lake,
+    name: str,
+    root: str | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
+    schema: StructType | None = None,
+) -> StreamingQuery:
     """Start taking in the files that are new since the last run."""
-    rows = read_stream(lake.spark, name, root, files_per_batch=files_per_batch)
+    headers = new_headers(lake, name, root)
+    rows = read_stream(lake.spark, name, root, schema, files_per_batch, headers)
     return (
         rows.writeStream.format("parquet")
         .outputMode("append")

@@ -86,10 +86,11 @@ def read_events(lake: Lake, name: str) -> DataFrame:
     return lake.read("silver", name).drop(BATCH)
 
 
-def without_repeats(events: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
-    """Drop repeated deliveries of an event in a stream.
+def without_repeats(events: DataFrame, key: str) -> DataFrame:
+    """Drop repeated deliveries of an event in a stream, however far apart they arrive.
 
-    State is kept for `delay` of event time, so it does not grow with the stream.
+    Every key that was seen is remembered, so the result does not depend on how files are
+    dealt to batches. The keys lie in the session's state store, spread over its partitions;
+    the RocksDB store of `SETTINGS` keeps them on disk and not in the executors' heap.
     """
-    stamped = events.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return stamped.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    return events.dropDuplicates([key])
