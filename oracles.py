@@ -52,7 +52,7 @@ CTES: dict[str, str] = {
         SELECT {_EVENT_ID} AS event_id, {_SEARCHER} AS visitor_id, l_orderkey AS search_guid,
             l_partkey AS opening_uid, l_linenumber AS position, {_SEARCH_TS} AS event_ts,
             l_shipdate AS collector_ts, {_IS_BOT} AS is_bot
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_partkey % 53 <> 7""",
     "raw_clicks": f"""
         SELECT {_EVENT_ID} AS event_id, {_SEARCHER} AS visitor_id, l_orderkey AS search_guid,
             CASE WHEN l_orderkey % 97 = 3 THEN NULL ELSE l_partkey END AS opening_uid,
@@ -417,6 +417,9 @@ _INGESTION = {
     "csv_batch_scan": f"SELECT {_IMPRESSION_TEXT}, event_ts, collector_ts, is_bot, time_to_click_secs FROM raw_clicks",
     "csv_inferred_read": "SELECT CAST(visitor_id AS INT) AS visitor_id, name, country, primary_skill, hourly_rate, "
     "job_success_score, member_since, top_rated, is_verified FROM raw_freelancers",
+    "csv_reordered_columns": f"SELECT {_text('client_uid')}, company_name, country, industry, payment_verified, "
+    "total_spend_usd, member_since, avg_rating, CASE WHEN client_uid % 2 <> 0 THEN "
+    "'{\"region\":\"region ' || (client_uid % 3) || '\"}' END AS _rescued_data FROM raw_clients",
     "rescued_values": "SELECT CAST(opening_uid AS VARCHAR) AS opening_uid, TRY_CAST(budget_amount AS DOUBLE) "
     "AS budget_amount, CASE WHEN TRY_CAST(budget_amount AS DOUBLE) IS NULL THEN "
     "'{\"budget_amount\":\"' || budget_amount || '\"}' END AS _rescued_data FROM raw_jobs",
@@ -492,7 +495,13 @@ def _documented_counts() -> str:
 
 _REASON = (
     "CASE WHEN is_bot THEN 'bot_traffic' WHEN event_id IS NULL THEN 'null_event_id' "
-    "WHEN position IS NULL THEN 'invalid_position' END"
+    "WHEN position IS NULL THEN 'invalid_position' WHEN visitor_id IS NULL THEN 'valid_visitor_id' "
+    "WHEN search_guid IS NULL THEN 'valid_search_guid' WHEN opening_uid IS NULL THEN 'valid_opening_uid' "
+    "WHEN time_to_click_secs IS NULL THEN 'valid_time_to_click_secs' END"
+)
+_REJECTED_CLICK = (
+    "(visitor_id IS NULL OR search_guid IS NULL OR opening_uid IS NULL OR position IS NULL "
+    "OR time_to_click_secs IS NULL OR is_bot)"
 )
 
 _BREAKDOWN = (
@@ -518,7 +527,11 @@ _QUALITY = {
     "documented_numbers": "SELECT visitor_id, hourly_rate, TRY_CAST(hourly_rate AS DOUBLE) AS numeric_hourly_rate, "
     "job_success_score, TRY_CAST(job_success_score AS DOUBLE) AS numeric_job_success_score FROM raw_freelancers",
     "quarantine_impression_events": "SELECT * FROM typed_impressions WHERE is_bot",
-    "quarantine_click_events": f"SELECT *, {_REASON} AS quarantine_reason FROM typed_clicks WHERE {_REASON} IS NOT NULL",
+    "quarantine_click_events": f"SELECT *, {_REASON} AS quarantine_reason FROM typed_clicks WHERE {_REJECTED_CLICK}",
+    "quarantine_balance": "SELECT 'click_events' AS dataset, (SELECT COUNT(*) FROM raw_clicks) AS bronze, "
+    "(SELECT COUNT(*) FROM clicks) AS silver, (SELECT COUNT(*) FROM raw_clicks) - (SELECT COUNT(*) FROM clicks) AS quarantined "
+    "UNION ALL SELECT 'impression_events', (SELECT COUNT(*) FROM raw_impressions), (SELECT COUNT(*) FROM impressions), "
+    "(SELECT COUNT(*) FROM raw_impressions) - (SELECT COUNT(*) FROM impressions)",
     "quarantine_rejected_searches": "SELECT * FROM raw_searches WHERE visitor_id IS NULL OR search_guid IS NULL "
     "OR sublocation NOT IN ('search_results', 'featured_jobs')",
     "quarantine_reasons_impression_events": "SELECT CASE WHEN visitor_id IS NULL THEN 'valid_visitor_id' "

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.scalars import count_when, day, places, ratio
+from tributary.functions.scalars import count_when, day, percent, places, ratio
 from tributary.operators.rollup import same_key, tally, with_ctr
 from tributary.plans.silver import SilverTables
 
@@ -90,10 +90,12 @@ def job_performance(silver: SilverTables) -> DataFrame:
         "opening_uid",
         median_time_to_click_secs=places(F.percentile_approx("time_to_click_secs", 0.5), 1),
     )
-    funnel = with_ctr(shown, clicked.join(medians, "opening_uid", "left"), "opening_uid")
+    # Clicks are joined to the job, not to its impressions: a job may be clicked without any that were kept.
     return (
         silver.jobs.select(*JOB_COLUMNS)
-        .join(funnel, "opening_uid", "left")
+        .join(shown, "opening_uid", "left")
+        .join(clicked.join(medians, "opening_uid", "left"), "opening_uid", "left")
+        .withColumn("ctr_pct", percent(F.col("clicks"), F.col("impressions")))
         .select(
             *JOB_COLUMNS,
             "impressions",
@@ -164,7 +166,8 @@ def category_performance(silver: SilverTables) -> DataFrame:
     clicked = tally(
         per_job.join(categories, "opening_uid", "left"), "category", clicks=F.sum("events")
     )
-    both = posted.join(with_ctr(shown, clicked, "category"), "category", "left")
+    both = posted.join(shown, "category", "left").join(clicked, "category", "left")
+    both = both.withColumn("ctr_pct", percent(F.col("clicks"), F.col("impressions")))
     return both.orderBy(F.desc("impressions"), "category")
 
 

@@ -73,28 +73,18 @@ class Market:
         """The per-job mart without the quartiles, which no dashboard shows."""
         return marts_funnel.job_performance_ctr(self.funnel, quartiles=False)
 
-    @cached_property
-    def stored_jobs(self) -> DataFrame:
-        """The per-job mart as a stored table, for reports that read it more than once.
-
-        Only the columns the reports read, so the distinct counts are not made.
-        """
-        needed = self.job_performance.select(*reports.JOB_MART_COLUMNS)
-        return self.lake("jobs").materialize(needed, "gold", "p_job_performance")
-
     @cached_property
     def postings(self) -> DataFrame:
         return reports.client_posting_performance(self.job_performance, self.silver.clients)
 
     @cached_property
     def benchmark(self) -> DataFrame:
-        categories = reports.marketplace_categories(self.stored_jobs)
-        return reports.client_category_benchmark(self.stored_jobs, categories, self.silver.clients)
+        categories = marts_exact.category_performance(self.silver)
+        return reports.client_category_benchmark(self.job_performance, categories, self.silver.clients)
 
     @cached_property
     def opportunities(self) -> DataFrame:
-        postings = reports.client_posting_performance(self.stored_jobs, self.silver.clients)
-        return reports.client_opportunities(postings, self.benchmark)
+        return reports.client_opportunities(self.postings, self.benchmark)
 
     @cached_property
     def clickstream(self):
@@ -181,11 +171,31 @@ def _csv_batch_scan(m: Market) -> DataFrame:
 
 @_register("csv_inferred_read")
 def _csv_inferred_read(m: Market) -> DataFrame:
-    """Types found in the files, then used as the declared schema of the scan."""
+    """Types found in the first drop of files and kept; the stream reads later drops with them."""
     lake = m.lake("csv-infer")
-    root = m.land(lake, "freelancers")
-    schema = landing.infer_schema(m.spark, "freelancers", root)
-    return _without_lineage(landing.read_batch(m.spark, "freelancers", root, schema))
+    root = lake.path("raw", "landing")
+    for late in (False, True):
+        landing.write_landing(m.raw.freelancers.filter((F.col("visitor_id") % 5 == 0) == F.lit(late)), "freelancers", root)
+        schema = bronze.kept_schema(lake, "freelancers", root)
+        bronze.start(lake, "freelancers", root, schema=schema).awaitTermination()
+    return _without_lineage(lake.read("bronze", "freelancers"))
+
+
+@_register("csv_reordered_columns")
+def _csv_reordered_columns(m: Market) -> DataFrame:
+    """Two drops, the later one with another order of columns and a column nobody declared."""
+    lake = m.lake("csv-reorder")
+    root = lake.path("raw", "landing")
+    first = F.col("client_uid") % 2 == 0
+    landing.write_landing(m.raw.clients.filter(first), "clients", root)
+    bronze.ingest(lake, ["clients"], root)
+    moved = m.raw.clients.filter(~first).select(
+        "company_name", F.concat(F.lit("region "), F.col("client_uid") % 3).alias("region"), "total_spend_usd", "client_uid",
+        F.col("payment_verified").cast("string").alias("payment_verified"), "member_since", "industry", "avg_rating", "country",
+    )
+    moved.write.mode("append").option("header", True).csv(f"{root}/clients")
+    bronze.ingest(lake, ["clients"], root)
+    return _naive(lake.read("bronze", "clients").drop(SOURCE_FILE, INGESTED_AT))
 
 
 @_register("rescued_values")
@@ -290,12 +300,13 @@ def _streamed_event_log(m: Market) -> DataFrame:
 
 @_register("streamed_click_dedup")
 def _streamed_click_dedup(m: Market) -> DataFrame:
-    """Clicks delivered twice; repeats are dropped within a watermark."""
+    """Clicks delivered twice, in files of no particular order and several batches."""
     lake = m.lake("dedup")
-    m.land(lake, "click_events")
-    root = m.land(lake, "click_events")
-    clicks = landing.read_stream(m.spark, "click_events", root).drop(SOURCE_FILE, INGESTED_AT, RESCUED)
-    unique = events.without_repeats(clicks.filter("event_id IS NOT NULL"), "event_id", "event_ts", "1 hour")
+    root = lake.path("raw", "landing")
+    for _ in range(2):
+        landing.write_landing(m.raw.click_events, "click_events", root, files=6)
+    clicks = landing.read_stream(m.spark, "click_events", root, files_per_batch=3).drop(SOURCE_FILE, INGESTED_AT, RESCUED)
+    unique = events.without_repeats(clicks.filter("event_id IS NOT NULL"), "event_id")
     target = lake.path("silver", "unique_clicks")
     (
         unique.writeStream.format("parquet")
@@ -413,6 +424,7 @@ _add(
     {
         "impression_events": lambda m: silver.quarantine_impressions(m.raw.impression_events),
         "click_events": lambda m: silver.quarantine_clicks(m.raw.click_events),
+        "balance": lambda m: silver.quarantine_balance(m.raw),
         "rejected_searches": lambda m: rejected(m.raw.search_events, silver.SEARCH_RULES),
         "reasons_impression_events": lambda m: tally(
             quarantine(silver.typed_impressions(m.raw.impression_events), silver.IMPRESSION_RULES),
