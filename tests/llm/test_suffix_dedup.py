@@ -32,7 +32,7 @@ def passages(seed):
 
 @pytest.mark.parametrize(
     ("seed", "length", "limits"),
-    [(1, 8, {}), (2, 40, {}), (3, 40, {"most_contexts": 2}), (4, 24, {"most_contexts": 1, "splits": (1, 4)})],
+    [(1, 8, {}), (2, 40, {}), (3, 40, {"most_contexts": 2}), (4, 24, {"most_contexts": 1})],
 )
 def test_equals_brute_force(spark, seed, length, limits):
     rows = passages(seed)

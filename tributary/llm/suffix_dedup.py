@@ -15,8 +15,8 @@ task holds one run of collections at a time.
 
 A collection of more than `most_contexts` distinct contexts (a passage that very many documents share,
 shorter than `length`) is split: the windows are cut into ranges of their offsets to the anchor, and all
-windows of a range have a longer core in common, whose hash divides the collection; the last
-division is by whole windows. No row is dropped by it.
+windows of a range have a longer core in common, whose hash divides the collection; ranges of a core
+that is still shared by many are cut again, down to whole windows. No row is dropped by it.
 
 Copies of one text count as repetitions of it: a text with a copy has every window repeated. Null counts as empty; a text shorter than `length` has no window and stays. Rows with equal
 text get equal results whatever their ids, null ids included. An empty table gives no rows. Other columns
@@ -43,7 +43,7 @@ LENGTH = 400
 MOST_CONTEXTS = 4000
 RUN_CONTEXTS = 8000
 # Ranges of offsets into which a large collection is split, step by step.
-SPLITS = (1, 8)
+SPLIT = 8
 # A byte that UTF-8 never has: stands for what lies outside of a text.
 OUTSIDE = 0xFF
 # Bits that hold a place within a block of text; the others hold the leading bits of a hash.
@@ -181,10 +181,11 @@ def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist()))
 
 
-def range_of(split: int, parts: int, shape: Shape) -> tuple[int, int]:
-    """Columns (first, last) of range `split`, of the `before + 1` columns at which a window can begin."""
-    columns = shape.before + 1
-    return split * columns // parts, (split + 1) * columns // parts - 1
+def parts_of(first: int, last: int) -> list[tuple[int, int]]:
+    """The columns first..last in at most SPLIT runs."""
+    count = last - first + 1
+    edges = sorted({first + count * i // SPLIT for i in range(SPLIT + 1)})
+    return [(a, b - 1) for a, b in zip(edges, edges[1:])]
 
 
 ANCHORS = "text_key binary, anchors array<long>, contexts array<long>, places array<int>"
@@ -243,75 +244,73 @@ def _fetched(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
     return texts.join(per_text, "text_key").select("text", "wanted").mapInArrow(cut, MEMBERS)
 
 
-def _sorted_collections(members: DataFrame, key: list[str], split: str, parts: int, shape: Shape) -> DataFrame:
-    """Repeated windows (FOUND) of collections that are at most `most_contexts` large."""
+def _sorted_collections(members: DataFrame, key: list[str], shape: Shape) -> DataFrame:
+    """Repeated windows (FOUND) of collections: members of equal `key`, with the columns `first` to
+    `last` at which their windows begin."""
 
     def search(batches) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-
         def finish(rows: list[tuple]):
-            by_range: dict[int, list[tuple]] = {}
+            by_range: dict[tuple[int, int], list[tuple]] = {}
             for row in rows:
-                by_range.setdefault(row[0], []).append(row)
+                by_range.setdefault(row[:2], []).append(row)
             found = []
-            for part, own in by_range.items():
-                first, last = range_of(part, parts, shape)
-                symbols = np.frombuffer(b"".join(r[3] for r in own), np.uint8).reshape(len(own), shape.width)
+            for (first, last), own in by_range.items():
+                symbols = np.frombuffer(b"".join(r[4] for r in own), np.uint8).reshape(len(own), shape.width)
                 flags = repeated_offsets(symbols, first, last, shape.length)
                 for i in np.flatnonzero(flags.any(axis=1)):
-                    found.append((own[i][1], own[i][2], [{"first": a + first, "last": b + first} for a, b in runs_of(flags[i])]))
+                    found.append((own[i][2], own[i][3], [{"first": a + first, "last": b + first} for a, b in runs_of(flags[i])]))
             if found:
                 kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
                 columns = [pa.array([f[0] for f in found]), pa.array([f[1] for f in found]), pa.array([f[2] for f in found], kind)]
                 yield pa.RecordBatch.from_arrays(columns, names=["anchor", "context", "runs"])
 
+        held: list[tuple] = []
         last_key = None
         for batch in batches:
             names = batch.schema.names
             keys = list(zip(*(batch.column(names.index(k)).to_pylist() for k in key)))
-            columns = [batch.column(names.index(c)).to_pylist() for c in (split, "anchor", "context", "symbols")]
+            columns = [batch.column(names.index(c)).to_pylist() for c in ("first", "last", "anchor", "context", "symbols")]
             for own, *row in zip(keys, *columns):
                 # A run ends between collections, never within one.
-                if own != last_key and size >= RUN_CONTEXTS:
+                if own != last_key and len(held) >= RUN_CONTEXTS:
                     yield from finish(held)
-                    held, size = [], 0
+                    held = []
                 last_key = own
                 held.append(tuple(row))
-                size += 1
         yield from finish(held)
 
     return members.repartition(*key).sortWithinPartitions(*key).mapInArrow(search, FOUND)
 
 
-def _split_members(members: DataFrame, parts: int, shape: Shape) -> DataFrame:
-    """Members once per range of windows, with the hash of the core that the range's windows share.
+def _cores(members: DataFrame, shape: Shape) -> DataFrame:
+    """anchor, context, first, last, core: the range of each member cut into SPLIT parts, and per part
+    the hash of what all windows of the part have in common.
 
-    With one part per column the core is the whole window. Ranges whose core reaches beyond the
-    text have no window there.
+    With one column the core is the window. Parts in which the text has no window are left out.
     """
 
-    def split(batches) -> Iterator[pa.RecordBatch]:
-        ranges = [range_of(p, parts, shape) for p in range(parts)]
+    def cut(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            take, part, core = [], [], []
-            for i, symbols in enumerate(batch.column("symbols").to_pylist()):
+            names = batch.schema.names
+            take, firsts, lasts, cores = [], [], [], []
+            rows = zip(*(batch.column(names.index(c)).to_pylist() for c in ("symbols", "first", "last")))
+            for i, (symbols, first, last) in enumerate(rows):
                 left = len(symbols) - len(symbols.lstrip(b"\xff"))
                 right = len(symbols.rstrip(b"\xff"))
-                for p, (first, last) in enumerate(ranges):
-                    if last < left or first + shape.length > right:
-                        continue
-                    inner = symbols[last : first + shape.length]
-                    take.append(i)
-                    part.append(p)
-                    core.append(xxhash.xxh3_128_digest(inner, seed=p))
+                for a, b in parts_of(first, last):
+                    if b >= left and a + shape.length <= right:
+                        take.append(i)
+                        firsts.append(a)
+                        lasts.append(b)
+                        cores.append(xxhash.xxh3_128_digest(symbols[b : a + shape.length]))
             own = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(own) for c in ("anchor", "context", "symbols")] + [pa.array(part, pa.int32()), pa.array(core, pa.binary())],
-                names=["anchor", "context", "symbols", "part", "core"],
-            )
+                [*(batch.column(names.index(c)).take(own) for c in ("anchor", "context")),
+                 pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32()), pa.array(cores, pa.binary())],
+                names=["anchor", "context", "first", "last", "core"],
+            )
 
-    return members.select("anchor", "context", "symbols").mapInArrow(split, MEMBERS + ", part int, core binary")
+    return members.mapInArrow(cut, "anchor long, context long, first int, last int, core binary")
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
@@ -319,7 +318,7 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return _keyed(docs).groupBy("text_key").agg(F.first("text").alias("text"))
 
 
-def repeated_windows(spark: SparkSession, docs: DataFrame, texts: DataFrame, shape: Shape, most_contexts: int, splits: tuple[int, ...]) -> DataFrame:
+def repeated_windows(spark: SparkSession, docs: DataFrame, texts: DataFrame, shape: Shape, most_contexts: int) -> DataFrame:
     """text_key, place, runs: per anchor the offsets of repeated windows (counted from `before` bytes before it)."""
     table = _anchor_table(spark, docs, shape)
     each = table.select("text_key", F.explode(F.arrays_zip("anchors", "contexts", "places")).alias("at")).select(
@@ -346,40 +345,42 @@ def repeated_windows(spark: SparkSession, docs: DataFrame, texts: DataFrame, sha
     contexts = several.groupBy("anchor", "context").agg(F.sum("copies").alias("copies"), F.min(F.struct("text_key", "place")).alias("one"))
     contexts = stored(spark, contexts, "contexts")
     found = contexts.filter("copies > 1").select("anchor", "context", every.alias("runs"))
-    members = _fetched(texts, contexts.select("one.text_key", "anchor", "context", "one.place"), shape)
+    wanted = contexts.select("one.text_key", "anchor", "context", "one.place")
     large = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > most_contexts)
-    if large.isEmpty():
-        found = found.unionAll(_sorted_collections(members.withColumn("part", F.lit(0)), ["anchor"], "part", 1, shape))
-    else:
-        found = found.unionAll(_of_split_collections(spark, members, stored(spark, large, "large-anchors"), shape, most_contexts, splits))
+    large = stored(spark, large.select("anchor"), "large-anchors")
+    if not large.isEmpty():
+        split = join_grouped(wanted, large, ["anchor"], "left_semi")
+        found = found.unionAll(_of_split_collections(spark, stored(spark, _fetched(texts, split, shape), "members"), shape, most_contexts))
+        wanted = wanted.join(large, "anchor", "left_anti")
+    members = _fetched(texts, wanted, shape).withColumns({"first": F.lit(0), "last": F.lit(shape.before)})
+    found = found.unionAll(_sorted_collections(members, ["anchor"], shape))
     runs = found.groupBy("anchor", "context").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     return alike.unionAll(join_grouped(several, runs, ["anchor", "context"], "inner").select("text_key", "place", "runs"))
 
 
-def _of_split_collections(spark: SparkSession, members: DataFrame, large: DataFrame, shape: Shape, most_contexts: int, splits: tuple[int, ...]) -> DataFrame:
-    """Repeated windows (FOUND) when some collections have to be split."""
-    sized = stored(spark, join_grouped(members, large, ["anchor"]), "sized-members")
-    small = sized.filter("size IS NULL").withColumn("part", F.lit(0))
-    found = _sorted_collections(small, ["anchor"], "part", 1, shape)
-    left = sized.filter("size IS NOT NULL").select("anchor", "context", "symbols")
-    for parts in [p for p in splits if p > 1]:
-        cores = stored(spark, _split_members(left, parts, shape), "cores")
-        count = cores.groupBy("part", "core").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        joined = stored(spark, join_grouped(cores, count, ["part", "core"], "inner"), "shared-cores")
-        small = joined.filter(F.col("size") <= most_contexts)
-        found = found.unionAll(_sorted_collections(small, ["part", "core"], "part", parts, shape))
-        left = joined.filter(F.col("size") > most_contexts)
-        if left.isEmpty():
+def _of_split_collections(spark: SparkSession, members: DataFrame, shape: Shape, most_contexts: int) -> DataFrame:
+    """Repeated windows (FOUND) of large collections, given their stored members.
+
+    Cores that are shared by few members are collections of their own; ranges of a core that is
+    shared by many are cut further, down to single windows.
+    """
+    member = ["anchor", "context"]
+    core = ["first", "last", "core"]
+    ranges = members.select(*member, F.lit(0).alias("first"), F.lit(shape.before).alias("last"))
+    found = None
+    while True:
+        cores = stored(spark, _cores(members.join(ranges, member), shape), "cores")
+        count = cores.groupBy(*core).agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        shared = stored(spark, join_grouped(cores, count, core, "inner"), "shared-cores")
+        # Whole windows: equal hash, equal window.
+        run = F.array(F.struct("first", "last"))
+        here = shared.filter("first = last").select(*member, run.alias("runs"))
+        small = shared.filter((F.col("first") < F.col("last")) & (F.col("size") <= most_contexts))
+        here = here.unionAll(_sorted_collections(members.join(small, member), ["core", "first"], shape))
+        found = here if found is None else found.unionAll(here)
+        ranges = shared.filter((F.col("first") < F.col("last")) & (F.col("size") > most_contexts)).select(*member, "first", "last")
+        if ranges.isEmpty():
             return found
-        # The other ranges of these members are done; they bring equal results once more.
-        left = left.select("anchor", "context", "symbols").dropDuplicates(["anchor", "context"])
-    # Whole windows: equal hash, equal window.
-    windows = _split_members(left, shape.before + 1, shape).select("anchor", "context", "part", "core")
-    windows = stored(spark, windows, "windows")
-    count = windows.groupBy("part", "core").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    hits = join_grouped(windows, count, ["part", "core"], "inner")
-    run = F.array(F.struct(F.col("part").alias("first"), F.col("part").alias("last")))
-    return found.unionAll(hits.select("anchor", "context", run.alias("runs")))
 
 
 def _spans(place: np.ndarray, first: np.ndarray, last: np.ndarray, size: int, shape: Shape) -> list[tuple[int, int]]:
@@ -398,9 +399,9 @@ def _spans(place: np.ndarray, first: np.ndarray, last: np.ndarray, size: int, sh
     return [tuple(s) for s in spans]
 
 
-def windows_per_text(spark: SparkSession, docs: DataFrame, texts: DataFrame, length: int, most_contexts: int, splits: tuple[int, ...]) -> DataFrame:
+def windows_per_text(spark: SparkSession, docs: DataFrame, texts: DataFrame, length: int, most_contexts: int) -> DataFrame:
     """text_key, windows: of each text with a repeated window, the places and runs that say where."""
-    windows = repeated_windows(importable(spark), docs, texts, Shape(length), most_contexts, splits)
+    windows = repeated_windows(importable(spark), docs, texts, Shape(length), most_contexts)
     return windows.groupBy("text_key").agg(F.collect_list(F.struct("place", "runs")).alias("windows"))
 
 
@@ -419,14 +420,14 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(kept)
 
 
-def cleaned(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS, splits: tuple[int, ...] = SPLITS) -> DataFrame:
+def cleaned(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
     """`docs` with the repeated strings cut out of `text`; nothing else changes.
 
     A cut within a character drops the rest of that character; a null text stays null.
     """
     shape, columns = Shape(length), docs.columns
     key, found = free_name(docs, "text_key"), free_name(docs, "windows")
-    windows = windows_per_text(spark, docs, distinct_texts(docs), length, most_contexts, splits)
+    windows = windows_per_text(spark, docs, distinct_texts(docs), length, most_contexts)
     windows = windows.select(F.col("text_key").alias(key), F.col("windows").alias(found))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     joined = join_grouped(docs.withColumn(key, F.unhex(F.md5(text))), windows, [key]).select(*columns, found)
@@ -449,11 +450,11 @@ def cleaned(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_con
 RESULT = "text_key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin: long, end: long>>"
 
 
-def marked(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS, splits: tuple[int, ...] = SPLITS) -> DataFrame:
+def marked(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans of each document."""
     shape = Shape(length)
     texts = distinct_texts(docs)
-    windows = windows_per_text(spark, docs, texts, length, most_contexts, splits)
+    windows = windows_per_text(spark, docs, texts, length, most_contexts)
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def measure(batches) -> Iterator[pa.RecordBatch]:
