@@ -11,7 +11,10 @@ import re
 AS_OF = "2001-01-01 00:00:00"
 CLIENT = 3
 WEEK_START = "1998-06-01"
+LAST_DAY = "1998-06-30"
 LOW_CTR = 33.0
+LEAST_SEEN = 10
+FEW_CLICKS = 2500
 
 
 def rnd(expr: str, digits: int) -> str:
@@ -614,6 +617,9 @@ _METRICS = {
     f"{_FUNNEL_MEASURES}, {_FUNNEL_TIME} FROM s_fact_search_funnel GROUP BY 1, 2",
     "mv_search_funnel_by_date": "SELECT CAST(search_ts AS DATE) AS search_date, COUNT(DISTINCT search_guid) AS searches, "
     f"{_FUNNEL_MEASURES} FROM s_fact_search_funnel GROUP BY 1",
+    "mv_from_yaml": "SELECT sublocation AS placement, position AS search_page_position, COUNT(impression_id) AS shown, "
+    "COUNT(click_id) AS clicked, ROUND(COUNT(click_id) / NULLIF(COUNT(impression_id), 0), 4) AS click_share "
+    "FROM s_fact_search_funnel GROUP BY 1, 2",
     "mv_position_bias": f"SELECT position, {_FUNNEL_MEASURES}, {_FUNNEL_TIME} FROM s_fact_search_funnel GROUP BY 1",
 }
 
@@ -699,19 +705,21 @@ _QUESTIONS = {
     f"WHERE search_ts >= DATE '{WEEK_START}' AND search_ts < DATE '{WEEK_START}' + 7",
     "q_overall_ctr": f"SELECT {pct('SUM(clicks)', 'SUM(impressions)')} AS overall_ctr_pct FROM s_job_performance_ctr",
     "q_recent_days": "SELECT event_date, impressions, clicks, ctr_pct FROM s_daily_metrics "
-    f"WHERE event_date > DATE '{AS_OF[:10]}' - 30 AND event_date <= DATE '{AS_OF[:10]}'",
+    f"WHERE event_date > DATE '{LAST_DAY}' - 30 AND event_date <= DATE '{LAST_DAY}'",
     "q_busiest_hour": "SELECT * FROM s_hourly_activity ORDER BY impressions DESC, hour_of_day LIMIT 1",
     "q_jobs_by_impressions": "SELECT opening_uid, title, impressions FROM s_job_performance_ctr "
     "WHERE opening_uid IS NOT NULL ORDER BY impressions DESC, opening_uid LIMIT 10",
     "q_jobs_by_ctr": "SELECT opening_uid, title, ctr_pct FROM s_job_performance_ctr WHERE opening_uid IS NOT NULL "
+    "AND impressions >= 5 "
     "ORDER BY ctr_pct DESC NULLS LAST, opening_uid LIMIT 10",
     "q_jobs_at_top": "SELECT i.opening_uid, title, COUNT(event_id) AS top_impressions FROM impressions i "
     "LEFT JOIN jobs j ON i.opening_uid = j.opening_uid WHERE position <= 3 GROUP BY 1, 2 "
     "ORDER BY top_impressions DESC, i.opening_uid LIMIT 10",
     "q_seen_but_not_clicked": "SELECT opening_uid, title, impressions, clicks, ctr_pct FROM client_posting_performance "
-    "WHERE impressions >= 20 AND ctr_pct < 2",
+    f"WHERE impressions >= {LEAST_SEEN} AND ctr_pct < {LOW_CTR}",
     "q_queries_by_clicks": "SELECT search_query, clicks, impressions FROM s_search_query_performance",
-    "q_queries_without_clicks": "SELECT search_query, search_sessions FROM s_search_query_performance WHERE clicks = 0",
+    "q_queries_without_clicks": "SELECT search_query, search_sessions FROM s_search_query_performance "
+    f"WHERE clicks <= {FEW_CLICKS}",
     "q_queries_by_ctr": "SELECT search_query, ctr_pct FROM s_search_query_performance",
     "q_categories_by_ctr": "SELECT category, ctr_pct FROM s_category_performance",
     "q_budget_by_category": "SELECT category, avg_budget_amount FROM dim_category",
@@ -761,6 +769,7 @@ _GOVERNANCE = {
     f"FROM dim_job WHERE client_uid = {CLIENT}",
     "gov_masked_clicks": f"SELECT event_id, {_MASK}, opening_uid FROM clicks",
     "gov_clear_clicks": f"SELECT event_id, {_text('visitor_id')}, opening_uid FROM clicks",
+    "gov_masked_peek_in_order": f"SELECT {_MASK} FROM clicks ORDER BY event_id LIMIT 5",
     "gov_masked_fact": f"SELECT * REPLACE ({_MASK}) FROM fact_search_events",
     "gov_own_jobs": f"SELECT * FROM dim_job WHERE client_uid = {CLIENT}",
     "gov_all_jobs": "SELECT * FROM dim_job",
@@ -789,11 +798,36 @@ _OPERATORS = {
 }
 
 
+# The group of each mart with distinct counts.
+_GROUPS = {
+    "s_job_performance_ctr": "opening_uid",
+    "s_search_query_performance": "search_query",
+    "s_category_performance": "category",
+    "s_sublocation_performance": "sublocation",
+    "s_daily_metrics": "event_date",
+    "s_visitor_engagement": "visitor_id",
+    "s_job_click_engagement": "opening_uid",
+    "s_hourly_activity": "hour_of_day",
+}
+_APPROXIMATIONS = {
+    f"{mart}_approx_error": f'SELECT CAST({key} AS VARCHAR) AS "group", true AS within_bound FROM {mart}'
+    for mart, key in _GROUPS.items()
+}
+
+_STORED = {
+    "medallion_s_job_performance_ctr": f"SELECT * REPLACE ({_text('opening_uid client_uid')}) FROM s_job_performance_ctr",
+    "medallion_s_daily_metrics": "SELECT * FROM s_daily_metrics",
+    "medallion_s_sublocation_performance": "SELECT * FROM s_sublocation_performance",
+    "medallion_fact_search_events": f"SELECT * REPLACE ({_text('opening_uid visitor_id search_guid')}) FROM fact_search_events",
+    "medallion_client_opportunities": f"SELECT * REPLACE ({_text('client_uid opening_uid')}) FROM client_opportunities",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     plain = {name: f"SELECT * FROM {name}" for name in [*_MARTS, *_STAR, *_REPORTS]}
     feeds = {"scd1_customer_orders": _LATEST_ORDER, "scd1_customer_orders_stream": _LATEST_ORDER}
     groups = [
         plain, feeds, _BRONZE, _INGESTION, _SILVER, _QUALITY, _TABLES, _METRICS, _DASHBOARDS, _QUESTIONS,
-        _GOVERNANCE, _OPERATORS,
+        _GOVERNANCE, _OPERATORS, _APPROXIMATIONS, _STORED,
     ]
     return {name: with_ctes(select) for group in groups for name, select in group.items()}

@@ -9,9 +9,11 @@ from __future__ import annotations
 import os
 
 import compare
+import oracles
 import pytest
 
 import __spark_entry__ as entry
+from tributary import registry
 
 FOLDER = f"/root/testdata/sf{os.environ.get('TRIBUTARY_SF', '0.001')}"
 QUICK = """
@@ -28,7 +30,7 @@ cli_category_benchmark q_week_traffic q_featured_click_speed q_client_spend_vs_c
 q_demand_against_posting_mix q_behaviour_by_hourly_rate gov_masked_fact gov_recent_access
 """.split()
 
-ORACLES = entry.oracle_sql()
+ORACLES = oracles.oracle_sql()
 NAMES = sorted(ORACLES) if os.environ.get("TRIBUTARY_ALL") else QUICK
 # Rows only: approximate counts, and five rows in no order.
 WITHOUT = {"gov_masked_peek"}
@@ -42,9 +44,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_known_to_have_none():
-    without = set(entry.queries()) - set(ORACLES)
+    without = set(registry.queries()) - set(ORACLES)
     assert {n for n in without if not n.endswith("_approx")} == WITHOUT
-    assert not set(ORACLES) - set(entry.queries())
+    assert not set(ORACLES) - set(registry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -13,6 +13,7 @@ Distinct counts are exact or approximate: each mart takes `distinct`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,26 @@ def _search_side(silver: SilverTables) -> DataFrame:
     )
 
 
+def searched_between(silver: SilverTables, first_day: str, days: int) -> SilverTables:
+    """The silver tables of the searches of some days.
+
+    A plain range of the search time, which reaches the scan of a stored table; events of other
+    searches are dropped before anything is added up.
+    """
+    kind = silver.searches.schema["event_ts"].dataType
+    end = (date.fromisoformat(first_day) + timedelta(days=days)).isoformat()
+    searches = silver.searches.filter((F.col("event_ts") >= F.lit(first_day).cast(kind)) & (F.col("event_ts") < F.lit(end).cast(kind)))
+    own = searches.select("search_guid")
+    return SilverTables(
+        searches,
+        silver.impressions.join(own, "search_guid", "left_semi"),
+        silver.clicks.join(own, "search_guid", "left_semi"),
+        silver.jobs,
+        silver.clients,
+        silver.freelancers,
+    )
+
+
 def unshown_searches(silver: SilverTables) -> DataFrame:
     """Searches without any impression."""
     shown = silver.impressions.select("search_guid").distinct()

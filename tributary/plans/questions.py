@@ -2,32 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import date, timedelta
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.labels import POSTING_LABELS
-from tributary.functions.scalars import count_when, percent, places, ratio
+from tributary.functions.scalars import count_when, percent, places, ratio, zero
 from tributary.operators.metric_view import MetricView
 from tributary.operators.rollup import tally
+from tributary.plans.marts_funnel import Funnel, daily_metrics, searched_between
 from tributary.plans.silver import SilverTables
 
 # --- funnel and traffic ------------------------------------------------------
 
 
-def week_traffic(fact: DataFrame, week_start: str) -> DataFrame:
+def week_traffic(silver: SilverTables, week_start: str) -> DataFrame:
     """Impressions and clicks of the seven days from `week_start`."""
-    start = F.lit(week_start).cast("date")
-    in_week = (F.to_date("search_ts") >= start) & (F.to_date("search_ts") < F.date_add(start, 7))
-    return fact.filter(in_week).agg(
-        F.count("impression_id").alias("impressions"), F.count("click_id").alias("clicks")
-    )
+    cells = Funnel(searched_between(silver, week_start, 7)).cells()
+    return cells.agg(zero(F.sum("impressions")).alias("impressions"), zero(F.sum("clicks")).alias("clicks"))
 
 
-def recent_days(daily: DataFrame, as_of: str, days: int = 30) -> DataFrame:
-    """Daily traffic of the last `days` days up to and with `as_of`."""
-    last = F.lit(as_of).cast("date")
-    recent = (F.col("event_date") > F.date_sub(last, days)) & (F.col("event_date") <= last)
-    return daily.filter(recent).select("event_date", "impressions", "clicks", "ctr_pct").orderBy("event_date")
+def recent_days(silver: SilverTables, last_day: str, days: int = 30) -> DataFrame:
+    """Daily traffic of the last `days` days up to and with `last_day`."""
+    first = (date.fromisoformat(last_day) - timedelta(days=days - 1)).isoformat()
+    daily = daily_metrics(Funnel(searched_between(silver, first, days)))
+    return daily.select("event_date", "impressions", "clicks", "ctr_pct").orderBy("event_date")
 
 
 def busiest_hour(hourly: DataFrame) -> DataFrame:
@@ -37,8 +36,10 @@ def busiest_hour(hourly: DataFrame) -> DataFrame:
 # --- jobs ----------------------------------------------------------------------
 
 
-def jobs_by(job_ctr: DataFrame, measure: str, rows: int = 10) -> DataFrame:
-    named = job_ctr.filter("opening_uid IS NOT NULL").select("opening_uid", "title", measure)
+def jobs_by(job_ctr: DataFrame, measure: str, least_impressions: int = 0, rows: int = 10) -> DataFrame:
+    """The leading jobs; a rate is asked of jobs that were shown often enough."""
+    shown = job_ctr.filter("opening_uid IS NOT NULL").filter(F.col("impressions") >= least_impressions)
+    named = shown.select("opening_uid", "title", measure)
     return named.orderBy(F.desc(measure), "opening_uid").limit(rows)
 
 
@@ -57,12 +58,10 @@ def jobs_at_top(silver: SilverTables, position: int = 3, rows: int = 10) -> Data
     )
 
 
-def seen_but_not_clicked(postings: DataFrame) -> DataFrame:
-    """Jobs with many impressions and a low CTR."""
-    segment, _ = POSTING_LABELS[0]
-    return postings.filter(F.col("opportunity_segment") == segment).select(
-        "opening_uid", "title", "impressions", "clicks", "ctr_pct"
-    )
+def seen_but_not_clicked(postings: DataFrame, least_impressions: int = 20, low_ctr: float = 2.0) -> DataFrame:
+    """Jobs with many impressions and a CTR (percent) below `low_ctr`."""
+    chosen = postings.filter((F.col("impressions") >= least_impressions) & (F.col("ctr_pct") < low_ctr))
+    return chosen.select("opening_uid", "title", "impressions", "clicks", "ctr_pct")
 
 
 # --- search terms and categories -----------------------------------------------
@@ -72,8 +71,9 @@ def queries_by_clicks(queries: DataFrame) -> DataFrame:
     return queries.select("search_query", "clicks", "impressions").orderBy(F.desc("clicks"), "search_query")
 
 
-def queries_without_clicks(queries: DataFrame) -> DataFrame:
-    unclicked = queries.filter("clicks = 0").select("search_query", "search_sessions")
+def queries_without_clicks(queries: DataFrame, most_clicks: int = 0) -> DataFrame:
+    """Search terms that led to no click, or to `most_clicks` at most."""
+    unclicked = queries.filter(F.col("clicks") <= most_clicks).select("search_query", "search_sessions")
     return unclicked.orderBy(F.desc("search_sessions"), "search_query")
 
 
@@ -176,17 +176,16 @@ def clients_at_risk(portfolio: MetricView, low_ctr: float) -> DataFrame:
 def demand_against_posting_mix(postings: DataFrame, client_uid) -> DataFrame:
     """Per category: share of all impressions less share of the client's postings.
 
-    The postings are read once; the totals are taken over the one row per category.
+    The totals are one row of their own; no window brings all categories together.
     """
     own = F.col("client_uid") == F.lit(client_uid)
     per_category = tally(
         postings, "category", impressions=F.sum("impressions"), client_jobs=count_when(own)
     )
-    everything = Window.partitionBy(F.lit(1))
     shares = per_category.withColumns(
         {
-            "demand_pct": percent(F.col("impressions"), F.sum("impressions").over(everything)),
-            "posting_pct": percent(F.col("client_jobs"), F.sum("client_jobs").over(everything)),
+            "demand_pct": percent(F.col("impressions"), per_category.agg(F.sum("impressions")).scalar()),
+            "posting_pct": percent(F.col("client_jobs"), per_category.agg(F.sum("client_jobs")).scalar()),
         }
     )
     mismatch = places(F.coalesce("demand_pct", F.lit(0.0)) - F.coalesce("posting_pct", F.lit(0.0)), 2)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tributary.operators.metric_view import MetricView
+from tributary.operators.metric_view import MetricView, load_spec
 from tributary.plans.marts_funnel import dim_clients, dim_freelancers, dim_job_openings
 from tributary.plans.silver import SilverTables
 
@@ -144,6 +144,29 @@ POSITION_BIAS = {
 }
 
 
+# A view as a spec file holds it.
+PLACEMENT_SPEC = """
+source: fact_search_funnel
+dimensions:
+  - name: placement
+    expr: source.sublocation
+  - name: search_page_position
+    expr: source.position
+measures:
+  - name: shown
+    expr: COUNT(source.impression_id)
+  - name: clicked
+    expr: COUNT(source.click_id)
+  - name: click_share
+    expr: ROUND(TRY_DIVIDE(COUNT(source.click_id), COUNT(source.impression_id)), 4)
+    display_name: Share of impressions that were clicked
+"""
+
+
+def placement_view(fact: DataFrame) -> MetricView:
+    return MetricView(load_spec(PLACEMENT_SPEC), {"fact_search_funnel": fact})
+
+
 def clickstream_view(fact: DataFrame, silver: SilverTables) -> MetricView:
     return MetricView(
         CLICKSTREAM,

@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from tributary.functions.labels import latency_bucket
 from tributary.functions.scalars import lenient_double, lenient_int, numeric_text, percent, text_flag
@@ -15,7 +15,7 @@ from tributary.operators import governance
 from tributary.operators.event_log import batch_log
 from tributary.operators.expectations import enforce, fail, quarantine, rejected, rule_counts
 from tributary.operators.keyed import first_per_key, latest_per_key
-from tributary.operators.rollup import tally
+from tributary.operators.rollup import same_key, tally
 from tributary.plans import (
     dashboards,
     marts_exact,
@@ -42,7 +42,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2001-01-01 00:00:00"
 CLIENT = 3
 WEEK_START = "1998-06-01"
+LAST_DAY = "1998-06-30"
 LOW_CTR = 33.0
+LEAST_SEEN = 10
+FEW_CLICKS = 2500
+# Standard error of approx_count_distinct as it is called.
+APPROXIMATION = 0.05
+
+
+_REFRESHED: dict[tuple[str, str], tuple[Lake, dict[str, DataFrame]]] = {}
 
 
 class Market:
@@ -102,6 +110,20 @@ class Market:
         logs = [batch_log(rows, rules, f"silver.{name}", run) for name, rows, rules in flows]
         return logs[0].unionByName(logs[1]).unionByName(logs[2])
 
+    def refreshed(self) -> tuple[Lake, dict[str, DataFrame]]:
+        """A lake with all layers from landing files on, and its gold tables; one per session and folder."""
+        key = (self.spark.sparkContext.applicationId, self.raw.folder)
+        if key not in _REFRESHED:
+            lake = self.lake("medallion")
+            _REFRESHED[key] = lake, refresh.refresh(lake, self.land(lake, *RAW))
+        return _REFRESHED[key]
+
+    @property
+    def stored_funnel(self) -> marts_funnel.Funnel:
+        """The funnel over stored silver tables and cells."""
+        lake, gold = self.refreshed()
+        return marts_funnel.Funnel(refresh.silver_tables(lake), gold["funnel_cells"])
+
     def lake(self, purpose: str) -> Lake:
         return Lake(self.spark, scratch_dir(self.spark, purpose))
 
@@ -507,6 +529,17 @@ def _medallion_job_performance(m: Market) -> DataFrame:
     return _naive(stored)
 
 
+_add(
+    "medallion_",
+    {
+        "s_daily_metrics": lambda m: marts_funnel.daily_metrics(m.stored_funnel),
+        "s_sublocation_performance": lambda m: marts_funnel.sublocation_performance(m.stored_funnel),
+        "fact_search_events": lambda m: _naive(m.refreshed()[1]["fact_search_events"]),
+        "client_opportunities": lambda m: m.refreshed()[1]["client_opportunities"],
+    },
+)
+
+
 _register("client_picker")(lambda m: dashboards.client_picker(m.silver.clients))
 
 
@@ -521,11 +554,11 @@ def _over_funnel(build, *args):
     return lambda m: build(m.funnel, *args)
 
 
-def _flat_quantiles(build):
+def _flat_quantiles(build, stored: bool = False):
     """Quartiles as three columns beside the other measures."""
 
     def flat(m: Market) -> DataFrame:
-        rows = build(m.funnel)
+        rows = build(m.stored_funnel if stored else m.funnel)
         quantiles = F.col("click_time_quantiles")
         names = ("click_time_p25", "click_time_p50", "click_time_p75")
         return rows.withColumns({n: quantiles[i] for i, n in enumerate(names)}).drop("click_time_quantiles")
@@ -533,6 +566,27 @@ def _flat_quantiles(build):
     return flat
 
 
+def _approximation_error(build):
+    """Per group whether the approximate distinct counts are near the exact ones."""
+
+    def compared(m: Market) -> DataFrame:
+        key, *measures = [
+            f.name for f in build(m.funnel, marts_funnel.approximate).schema.fields if not isinstance(f.dataType, ArrayType)
+        ]
+        exact = build(m.funnel).select(F.col(key).alias("group"), F.struct(*measures).alias("exact"))
+        near = build(m.funnel, marts_funnel.approximate).select(F.col(key).alias("group"), F.struct(*measures).alias("near"))
+        counts = [n for n in measures if n.startswith(("unique_", "search_sessions", "total_searches"))]
+        fits = F.lit(True)
+        for name in counts:
+            # Four standard errors of the sketch, and one for the smallest groups.
+            off = F.abs(F.col("near")[name] - F.col("exact")[name])
+            fits = fits & (off <= 4 * APPROXIMATION * F.col("exact")[name] + 1)
+        both = same_key(exact, near, "group", "full")
+        return both.select(F.col("group").cast("string").alias("group"), F.coalesce(fits, F.lit(False)).alias("within_bound"))
+
+    return compared
+
+
 _add("", {name: _over_silver(build) for name, build in marts_exact.MARTS.items()})
 _add("", {name: _over_silver(build) for name, build in marts_funnel.DIMENSIONS.items()})
 _add("", {name: _over_funnel(build) for name, build in marts_funnel.EXACT_ONLY.items()})
@@ -542,6 +596,8 @@ for _name, _build in marts_funnel.WITH_DISTINCT.items():
     _register(_name)(_flat_quantiles(_build) if has_quantiles else _over_funnel(_build))
     # Approximate distinct counts differ between engines: rows only, no oracle.
     _register(f"{_name}_approx")(_over_funnel(_build, marts_funnel.approximate))
+    _register(f"{_name}_approx_error")(_approximation_error(_build))
+_register("medallion_s_job_performance_ctr")(_flat_quantiles(marts_funnel.job_performance_ctr, stored=True))
 _add("", {name: _over_silver(build) for name, build in star.TABLES.items()})
 _add(
     "",
@@ -596,6 +652,9 @@ _add(
         "position_bias": lambda m: semantic.position_bias_view(m.fact).query(
             ["position"], ["impressions", "clicks", "ctr_pct", "avg_time_to_click_secs"]
         ),
+        "from_yaml": lambda m: semantic.placement_view(m.fact).query(
+            ["placement", "search_page_position"], ["shown", "clicked", "click_share"]
+        ),
     },
 )
 
@@ -667,16 +726,16 @@ def _star_fact(m: Market) -> DataFrame:
 _add(
     "q_",
     {
-        "week_traffic": lambda m: questions.week_traffic(m.fact, WEEK_START),
+        "week_traffic": lambda m: questions.week_traffic(m.silver, WEEK_START),
         "overall_ctr": lambda m: dashboards.funnel_summary(m.job_ctr).select("overall_ctr_pct"),
-        "recent_days": lambda m: questions.recent_days(marts_funnel.daily_metrics(m.funnel), AS_OF),
+        "recent_days": lambda m: questions.recent_days(m.silver, LAST_DAY),
         "busiest_hour": lambda m: questions.busiest_hour(marts_funnel.hourly_activity(m.funnel)),
         "jobs_by_impressions": lambda m: questions.jobs_by(m.job_ctr, "impressions"),
-        "jobs_by_ctr": lambda m: questions.jobs_by(m.job_ctr, "ctr_pct"),
+        "jobs_by_ctr": lambda m: questions.jobs_by(m.job_ctr, "ctr_pct", least_impressions=5),
         "jobs_at_top": lambda m: questions.jobs_at_top(m.silver),
-        "seen_but_not_clicked": lambda m: questions.seen_but_not_clicked(m.postings),
+        "seen_but_not_clicked": lambda m: questions.seen_but_not_clicked(m.postings, LEAST_SEEN, LOW_CTR),
         "queries_by_clicks": lambda m: questions.queries_by_clicks(_s_queries(m)),
-        "queries_without_clicks": lambda m: questions.queries_without_clicks(_s_queries(m)),
+        "queries_without_clicks": lambda m: questions.queries_without_clicks(_s_queries(m), FEW_CLICKS),
         "queries_by_ctr": lambda m: questions.queries_by_ctr(_s_queries(m)),
         "categories_by_ctr": lambda m: questions.categories_by_ctr(_s_category(m)),
         "budget_by_category": lambda m: questions.budget_by_category(star.dim_category(m.silver)),
@@ -737,6 +796,7 @@ _add(
         "masked_fact": lambda m: governance.masked(_star_fact(m), privileged=False),
         # Any five rows: no order is asked for, so there is no oracle.
         "masked_peek": lambda m: governance.masked_peek(m.silver.clicks, privileged=False),
+        "masked_peek_in_order": lambda m: governance.masked_peek(m.silver.clicks.orderBy("event_id"), privileged=False),
         "own_jobs": lambda m: governance.own_rows(star.dim_job(m.silver), CLIENT, privileged=False),
         "all_jobs": lambda m: governance.own_rows(star.dim_job(m.silver), CLIENT, privileged=True),
         "recent_access": lambda m: governance.recent_access(m.raw.audit_log, "market"),

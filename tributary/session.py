@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -42,6 +43,17 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def expect_shuffles_of(spark: SparkSession, gigabytes: float) -> SparkSession:
+    """Cut shuffles finely enough for the largest one: about 128 MB for each partition.
+
+    AQE joins partitions that turn out small; it cannot cut those that Spark's default of 200
+    makes too large, other than of skewed joins.
+    """
+    partitions = max(200, math.ceil(gigabytes * 1024 / 128))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return spark
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder in the shared checkpoint location.
 

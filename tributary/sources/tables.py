@@ -8,6 +8,10 @@ from pyspark.sql.types import StructType
 from tributary.schemas import LAYERS
 
 
+# Files of an upstream table that a stream takes in per micro-batch.
+FILES_PER_BATCH = 5_000
+
+
 class Lake:
     """Folders `<root>/<layer>/<table>` with the streaming checkpoints beside them."""
 
@@ -31,9 +35,10 @@ class Lake:
         """Snapshot of a table."""
         return self.spark.read.parquet(self.path(layer, table))
 
-    def stream(self, layer: str, table: str, schema: StructType) -> DataFrame:
-        """New rows of an append-only table."""
-        return self.spark.readStream.schema(schema).parquet(self.path(layer, table))
+    def stream(self, layer: str, table: str, schema: StructType, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+        """New rows of an append-only table; a backlog is worked off in several batches."""
+        reader = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+        return reader.parquet(self.path(layer, table))
 
     def materialize(self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None) -> DataFrame:
         """Recompute a derived table and return it as read from storage.

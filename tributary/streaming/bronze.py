@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType, TimestampType
@@ -24,13 +23,9 @@ def bronze_schema(name: str) -> StructType:
 
 
 def _stored(lake: Lake, path: str, schema: str) -> DataFrame:
-    """A small table of the lake; without rows as long as it is not written."""
-    try:
-        return lake.spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return lake.spark.createDataFrame([], schema)
+    """A small table of the lake, made without rows when it is asked for first."""
+    lake.spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return lake.spark.read.schema(schema).parquet(path)
 
 
 def new_headers(lake: Lake, name: str, root: str | None = None) -> list[tuple[str, list[str]]]:
@@ -51,7 +46,7 @@ def kept_schema(lake: Lake, name: str, root: str | None = None, files: str = "*"
     if known:
         return StructType.fromJson(json.loads(known["schema"]))
     schema = infer_schema(lake.spark, name, root, files)
-    lake.spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.parquet(folder)
+    lake.spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.mode("append").parquet(folder)
     return schema
 
 

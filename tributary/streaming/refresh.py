@@ -67,7 +67,8 @@ def refresh_gold(lake: Lake, silver: SilverTables, run: int = 0) -> dict[str, Da
     for table, build in per_silver.items():
         gold[table] = _store(lake, table, build(silver), run)
     cells = marts_funnel.Funnel(silver).cells(by_time=True, by_position=True)
-    funnel = marts_funnel.Funnel(silver, _store(lake, "funnel_cells", cells, run))
+    gold["funnel_cells"] = _store(lake, "funnel_cells", cells, run)
+    funnel = marts_funnel.Funnel(silver, gold["funnel_cells"])
     for table, build in marts_funnel.EXACT_ONLY.items():
         gold[table] = _store(lake, table, build(funnel), run)
     for table, build in marts_funnel.WITH_DISTINCT.items():
