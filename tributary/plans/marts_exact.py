@@ -41,8 +41,8 @@ def _shown_by(silver: SilverTables, attribute: DataFrame, name: str) -> DataFram
     """Impression side of a mart whose groups are an attribute of the search.
 
     Impressions are first added up per search and visitor. Visitors and sessions
-    are then counted over these few rows; only the distinct jobs need the single
-    impressions, and they alone, so no row is multiplied per distinct count.
+    are then counted over these few rows (two distinct counts in one group double
+    them); only the distinct jobs need the single impressions, and they alone.
     """
     per_search = tally(
         silver.impressions,

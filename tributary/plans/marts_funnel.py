@@ -170,6 +170,12 @@ class Funnel:
         )
         return joined.join(_search_side(self.silver), "search_guid")
 
+    def with_unshown(self, cells: DataFrame) -> DataFrame:
+        """The cells, and a row without impressions for every search that showed nothing."""
+        none = F.lit(0).cast("bigint")
+        unshown = unshown_searches(self.silver).select("*", none.alias("impressions"), none.alias("clicks"))
+        return cells.unionByName(unshown, allowMissingColumns=True)
+
     def clicked(self) -> DataFrame:
         """Cells with a click, one per distinct click time.
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tributary.operators.metric_view import MetricView, load_spec
-from tributary.plans.marts_funnel import dim_clients, dim_freelancers, dim_job_openings
+from tributary.operators.rollup import tally
+from tributary.plans.marts_funnel import Funnel, dim_clients, dim_freelancers, dim_job_openings
 from tributary.plans.silver import SilverTables
 
 
@@ -114,15 +116,16 @@ CATEGORY_PERFORMANCE = {
     ],
 }
 
+# The funnel added up: a row stands for many funnel rows.
 _FUNNEL_COUNTS = [
-    {"name": "impressions", "expr": "COUNT(source.impression_id)"},
-    {"name": "clicks", "expr": "COUNT(source.click_id)"},
-    {"name": "ctr_pct", "expr": _ctr_pct("COUNT(source.click_id)", "COUNT(source.impression_id)")},
-    {"name": "avg_time_to_click_secs", "expr": _rounded("AVG(source.time_to_click_secs)", 1)},
+    {"name": "impressions", "expr": "SUM(source.impressions)"},
+    {"name": "clicks", "expr": "SUM(source.clicks)"},
+    {"name": "ctr_pct", "expr": _ctr_pct("SUM(source.clicks)", "SUM(source.impressions)")},
+    {"name": "avg_time_to_click_secs", "expr": _rounded("try_divide(SUM(source.time_total), SUM(source.times))", 1)},
 ]
 
 SEARCH_FUNNEL = {
-    "source": "fact_search_funnel",
+    "source": "funnel_per_search",
     "dimensions": [
         *_columns("source", "search_query sublocation"),
         {"name": "search_date", "expr": "TO_DATE(source.search_ts)"},
@@ -131,14 +134,14 @@ SEARCH_FUNNEL = {
         {"name": "searches", "expr": "COUNT(DISTINCT source.search_guid)"},
         {
             "name": "searches_with_clicks",
-            "expr": "COUNT(DISTINCT CASE WHEN source.click_id IS NOT NULL THEN source.search_guid END)",
+            "expr": "COUNT(DISTINCT CASE WHEN source.clicks > 0 THEN source.search_guid END)",
         },
         *_FUNNEL_COUNTS,
     ],
 }
 
 POSITION_BIAS = {
-    "source": "fact_search_funnel",
+    "source": "funnel_cells",
     "dimensions": _columns("source", "position sublocation"),
     "measures": _FUNNEL_COUNTS,
 }
@@ -187,9 +190,12 @@ def category_view(postings: DataFrame) -> MetricView:
     return MetricView(CATEGORY_PERFORMANCE, {"client_posting_performance": postings})
 
 
-def search_funnel_view(fact: DataFrame) -> MetricView:
-    return MetricView(SEARCH_FUNNEL, {"fact_search_funnel": fact})
+def search_funnel_view(funnel: Funnel) -> MetricView:
+    """Over one row per search, so distinct searches are counted over few rows."""
+    search = ["search_guid", "search_query", "sublocation", "search_ts"]
+    sums = {n: F.sum(n) for n in ("impressions", "clicks", "times", "time_total")}
+    return MetricView(SEARCH_FUNNEL, {"funnel_per_search": tally(funnel.with_unshown(funnel.cells()), search, **sums)})
 
 
-def position_bias_view(fact: DataFrame) -> MetricView:
-    return MetricView(POSITION_BIAS, {"fact_search_funnel": fact})
+def position_bias_view(funnel: Funnel) -> MetricView:
+    return MetricView(POSITION_BIAS, {"funnel_cells": funnel.with_unshown(funnel.cells(by_position=True))})

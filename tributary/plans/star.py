@@ -83,6 +83,14 @@ def first_clicks(silver: SilverTables) -> DataFrame:
     )
 
 
+def impression_outcomes(silver: SilverTables) -> DataFrame:
+    """One row per impression with the outcome of its first click, without its search."""
+    impressions = silver.impressions.select("event_id", *CLICK_KEYS)
+    return join_grouped(impressions, first_clicks(silver), CLICK_KEYS).select(
+        "event_id", "visitor_id", F.col("matched").isNotNull().alias("was_clicked"), "time_to_click_secs"
+    )
+
+
 def fact_search_events(silver: SilverTables) -> DataFrame:
     """One row per impression with its search and the outcome of its first click."""
     impressions = silver.impressions.select(

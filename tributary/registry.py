@@ -642,14 +642,14 @@ _add(
         "category_performance": lambda m: semantic.category_view(m.postings).query(
             ["category"], ["impressions", "clicks", "ctr_pct", "ctr", "avg_budget_amount"]
         ),
-        "search_funnel": lambda m: semantic.search_funnel_view(m.fact).query(
+        "search_funnel": lambda m: semantic.search_funnel_view(m.funnel).query(
             ["search_query", "sublocation"],
             ["searches", "searches_with_clicks", "impressions", "clicks", "ctr_pct", "avg_time_to_click_secs"],
         ),
-        "search_funnel_by_date": lambda m: semantic.search_funnel_view(m.fact).query(
+        "search_funnel_by_date": lambda m: semantic.search_funnel_view(m.funnel).query(
             ["search_date"], ["searches", "impressions", "clicks", "ctr_pct"]
         ),
-        "position_bias": lambda m: semantic.position_bias_view(m.fact).query(
+        "position_bias": lambda m: semantic.position_bias_view(m.funnel).query(
             ["position"], ["impressions", "clicks", "ctr_pct", "avg_time_to_click_secs"]
         ),
         "from_yaml": lambda m: semantic.placement_view(m.fact).query(
@@ -760,10 +760,10 @@ _add(
         "weakest_jobs_of_client": lambda m: questions.weakest_jobs(m.opportunities, CLIENT),
         "gaps_of_client": lambda m: questions.client_gaps(m.benchmark, CLIENT),
         "click_speed_of_top_rated": lambda m: questions.click_speed_of_top_rated(
-            _star_fact(m), star.dim_freelancer(m.silver)
+            star.impression_outcomes(m.silver), star.dim_freelancer(m.silver)
         ),
         "behaviour_by_hourly_rate": lambda m: questions.behaviour_by_hourly_rate(
-            _star_fact(m), star.dim_freelancer(m.silver)
+            star.impression_outcomes(m.silver), star.dim_freelancer(m.silver)
         ),
     },
 )
