@@ -2,8 +2,9 @@
 
 A document is the set of hashes of its shingles. Documents with equal sets form a class; classes are
 joined, copies are not expanded. Two sets that are similar enough share a shingle among the first
-ones of each in one common order (the order of the hashes), so classes meet in buckets of these
-shingles. In a bucket a class is a point: its shingles are dealt to groups by hash, the
+ones of each in one common order, so classes meet in buckets of these shingles. The order is by
+the bytes of a shingle, the longest first, and then by hash: long shingles are rare, so
+texts that have little in common seldom meet. In a bucket a class is a point: its shingles are dealt to groups by hash, the
 coordinates are the numbers per group. An R-tree over the points finds partners: the sum of the minima of a
 point's coordinates and a node's upper corner bounds the overlap with everything below the
 node. Pairs whose own bound passes are verified on their complete sets.
@@ -35,7 +36,7 @@ from tributary.llm.storage import free_name, importable, stored, utf8
 from tributary.llm.text import hashed_words, shingle_hashes
 from tributary.operators.keyed import join_grouped
 
-GROUPS = 64
+GROUPS = 256
 LEAF = 32
 # Members up to which a bucket emits all its candidate pairs.
 SMALL = 12
@@ -53,11 +54,37 @@ def first_shingles(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def leading(words: np.ndarray, lengths: np.ndarray, size: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The set, and its first shingles in the common order: by length, the longest first, then by hash."""
+    hashes = shingle_hashes(words, size)
+    own, at = np.unique(hashes, return_index=True)
+    if not len(own):
+        return own, own
+    total = np.concatenate(([0], np.cumsum(lengths)))
+    width = min(size, len(words))
+    bytes_ = np.minimum(total[at + width] - total[at], 255).astype(np.uint64)
+    order = ((np.uint64(255) - bytes_) << np.uint64(56)) | (own >> np.uint64(8))
+    count = first_shingles(len(own), percent)
+    return own, own[np.argpartition(order, count - 1)[:count]] if count < len(own) else own
+
+
 def point(shingles: np.ndarray) -> np.ndarray:
     """Shingles per group."""
     return np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
 
 
+def packed_point(counts: np.ndarray) -> bytes:
+    """One byte per group if they suffice, else four."""
+    return counts.astype("u1" if counts.max(initial=0) < 256 else "<u4").tobytes()
+
+
+def unpacked_points(rows: list[bytes]) -> np.ndarray:
+    out = np.empty((len(rows), GROUPS), np.int32)
+    for i, row in enumerate(rows):
+        out[i] = np.frombuffer(row, "u1" if len(row) == GROUPS else "<u4")
+    return out
+
+
 class Tree:
     """R-tree over count vectors; rows are packed by set size, then by their first coordinates."""
 
@@ -147,12 +174,11 @@ def _set_rows(docs: DataFrame, words: int, percent: int | None) -> DataFrame:
         for batch in batches:
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows, held = [], 0
-            for i, hashes in hashed_words(utf8(batch.column(2)), fold_case=True):
-                own = shingle_set(hashes, words)
+            for i, hashes, lengths in hashed_words(utf8(batch.column(2)), fold_case=True, lengths=True):
+                own, firsts = leading(hashes, lengths, words, percent) if full else (shingle_set(hashes, words), ())
                 row = (ids[i], keys[i], xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None, len(own))
                 if full:
-                    firsts = own[: first_shingles(len(own), percent)]
-                    row += (firsts.view(np.int64), point(own).astype("<u4").tobytes())
+                    row += (firsts.view(np.int64), packed_point(point(own)))
                     held += len(firsts)
                 rows.append(row)
                 if held > 1 << 20:
@@ -235,7 +261,7 @@ def _candidates(searches: DataFrame, classes: DataFrame, percent: int, forest: b
             column = lambda c: rows.column(c).to_numpy()
             keys = np.stack([column("search"), column("detail").astype(np.int64)])
             edges = np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1
-            points = np.frombuffer(b"".join(rows.column("point").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
+            points = unpacked_points(rows.column("point").to_pylist())
             ids, sizes, labels, sides, members = (column(c) for c in ("id", "n", "label", "side", "members"))
             for a, b in zip([0, *edges], [*edges, len(ids)]):
                 if b - a > 1:
@@ -343,7 +369,9 @@ def class_components(spark: SparkSession, docs: DataFrame, words: int, percent:
         if not more.isEmpty():
             again = stored(spark, _verified(more, sets, percent).filter("linked").select("a", "b"), "more-links")
             if not again.isEmpty():
-                known = components(spark, links.unionAll(again))
+                # The stars found so far stand for their links.
+                stars = known.select(F.col("node").alias("a"), F.col("root").alias("b"))
+                known = components(spark, stars.unionAll(again))
     rooted = classes.select("set_key", "id", "least").join(known.select(F.col("node").alias("id"), "root"), "id", "left")
     rooted = rooted.withColumn("component", F.coalesce("root", "id")).drop("root")
     least = rooted.groupBy("component").agg(F.min("least").alias("first"))
@@ -361,29 +389,33 @@ def linked(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int =
 
 
 def representatives(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component (that with its smallest id), with the columns of `docs`; empty sets stay."""
-    found = stored(spark, class_components(spark, docs, words, percent), "components")
-    key = free_name(docs, "set_key")
-    place, schema = docs.columns.index("text"), T.StructType([*docs.schema.fields, T.StructField(key, T.BinaryType())])
+    """One row of each component, with the columns of `docs`; empty sets stay.
 
-    def keyed(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [None] * batch.num_rows
-            for i, hashes in hashed_words(utf8(batch.column(place)), fold_case=True):
-                shingles = shingle_set(hashes, words)
-                own[i] = xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.binary())], names=[*batch.schema.names, key])
-
-    rows = docs.mapInArrow(keyed, schema)
-    component, least = free_name(rows, "component"), free_name(rows, "least")
-    named = found.select(F.col("set_key").alias(key), F.col("component").alias(component), F.col("least").alias(least))
-    joined = join_grouped(rows, named, [key])
-    empty = F.col(key).isNull()
-    first = joined.filter(empty | F.col("doc_id").cast("long").eqNullSafe(F.col(least)))
-    if docs.groupBy(F.col("doc_id").cast("long")).count().filter("count > 1").isEmpty():
-        return first.select(*docs.columns)
-    # Ids repeat: of the rows of a component with its smallest id, one stays. Empty sets are dealt out by their rows.
-    alone = F.coalesce(F.col(component), F.xxhash64("doc_id", "text"))
-    rank = free_name(joined, "rank")
-    numbered = first.withColumn(rank, F.row_number().over(Window.partitionBy(empty, alone).orderBy(F.xxhash64("text"))))
-    return numbered.filter(empty | (F.col(rank) == 1)).select(*docs.columns)
+    The row with the smallest id stays (null ids come last), of equal ids that with the smallest digest of
+    its text, and of rows equal in both one. What goes is a small stored table of ids and
+    digests, so Spark can broadcast it if its size allows; the texts need not be shuffled for it.
+    """
+    found = stored(spark, class_components(spark, docs, words, percent), "components")
+    rows = _set_rows(docs, words, None).select("doc_id", "text_key", "set_key")
+    named = join_grouped(rows, found.select("set_key", "component"), ["set_key"], "inner").select("component", "doc_id", "text_key")
+    # Only components of several documents can lose one.
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    best = named.groupBy("component").agg(F.min(own).alias("best"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    member = join_grouped(named, best, ["component"], "inner")
+    is_best = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_key") == F.col("best.text_key"))
+    gone = stored(spark, member.filter(~is_best).select("doc_id", "text_key").distinct(), "near-copies")
+    key, other, digest = free_name(docs, "text_key"), free_name(docs, "other_id"), free_name(docs, "other_key")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumn(key, F.unhex(F.md5(text)))
+    gone = gone.select(F.col("doc_id").alias(other), F.col("text_key").alias(digest))
+    same = (F.col(key) == F.col(digest)) & F.col("doc_id").cast("long").eqNullSafe(F.col(other))
+    kept = keyed.join(gone, same, "left_anti")
+    repeats = member.filter(is_best).groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    repeats = stored(spark, repeats.select(F.col("doc_id").alias(other), F.col("text_key").alias(digest)), "repeated-rows")
+    if repeats.isEmpty():
+        return kept.select(*docs.columns)
+    # Rows equal in id and text: of those that represent a component one stays.
+    rank = free_name(docs, "rank")
+    first = F.row_number().over(Window.partitionBy("doc_id", key).orderBy(F.lit(0))) == 1
+    single = kept.join(repeats, same, "left_semi").withColumn(rank, first).filter(rank)
+    return kept.join(repeats, same, "left_anti").select(*docs.columns).unionAll(single.select(*docs.columns))

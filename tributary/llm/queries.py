@@ -143,6 +143,25 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
 FROM t
 """
 
+_JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles
+  FROM w),
+e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT doc_id, doc_id AS root FROM s UNION SELECT y, root FROM reached JOIN links ON doc_id = x)
+SELECT s.doc_id, len(shingles) AS n_shingles, (SELECT min(root) FROM reached r WHERE r.doc_id = s.doc_id) AS component_id
+FROM s
+"""
+
 _EXACT = """
 WITH t AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
@@ -183,5 +202,6 @@ FROM c LEFT JOIN hits h ON h.page_id = c.page_id AND h.place = 1
 SQL: dict[str, str] = {
     "op1_warc": _WARC,
     "op3_exact_dedup": _EXACT,
+    "op4_jaccard": _JACCARD,
     "op8_url_filters": _URLS,
 }

@@ -82,9 +82,11 @@ def batches_of_texts(texts: list[bytes], limit: int = 1 << 20):
         yield begin, len(texts)
 
 
-def hashed_words(texts: list[bytes], fold_case: bool):
+def hashed_words(texts: list[bytes], fold_case: bool, lengths: bool = False):
     """Word hashes of each text, in order: yields (index of the text, its hashes).
 
+    With `lengths` the bytes of each word come as a third value.
+
     Texts are taken together in runs of about a megabyte, separated by white space.
     """
     for begin, end in batches_of_texts(texts):
@@ -94,11 +96,12 @@ def hashed_words(texts: list[bytes], fold_case: bool):
         sums = prefix_hash(joined)
         starts, ends = word_spans(joined)
         hashes = span_hashes(sums, starts, ends)
-        lengths = np.fromiter((len(t) for t in texts[begin:end]), np.int64, end - begin)
-        offsets = np.concatenate(([0], np.cumsum(lengths + 1)))
+        sizes = np.fromiter((len(t) for t in texts[begin:end]), np.int64, end - begin)
+        offsets = np.concatenate(([0], np.cumsum(sizes + 1)))
         cut = np.searchsorted(starts, offsets)
         for i in range(end - begin):
-            yield begin + i, hashes[cut[i] : cut[i + 1]]
+            own = slice(cut[i], cut[i + 1])
+            yield (begin + i, hashes[own], (ends - starts)[own]) if lengths else (begin + i, hashes[own])
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
