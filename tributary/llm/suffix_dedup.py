@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +40,10 @@ from tributary.llm.text import batches_of_texts, mix, powers, prefix_hash
 from tributary.operators.keyed import join_grouped
 
 LENGTH = 400
-# Distinct contexts that are sorted as one collection, and contexts held by a task at once.
-MOST_CONTEXTS = 4000
-RUN_CONTEXTS = 8000
+# Distinct contexts that are sorted as one collection (some 22 MB of them at 400 bytes), and
+# contexts of small collections that a task sorts at once.
+MOST_CONTEXTS = 32_000
+RUN_CONTEXTS = 8_000
 # Ranges of offsets into which a large collection is split, step by step.
 SPLIT = 8
 # A byte that UTF-8 never has: stands for what lies outside of a text.
@@ -188,6 +190,8 @@ def parts_of(first: int, last: int) -> list[tuple[int, int]]:
     return [(a, b - 1) for a, b in zip(edges, edges[1:])]
 
 
+# The digest of texts of which there is one row each.
+DISTINCT = "distinct_text_key"
 ANCHORS = "text_key binary, anchors array<long>, contexts array<long>, places array<int>"
 MEMBERS = "anchor long, context long, symbols binary"
 FOUND = "anchor long, context long, runs array<struct<first: int, last: int>>"
@@ -221,9 +225,22 @@ def _anchor_table(spark: SparkSession, docs: DataFrame, shape: Shape) -> DataFra
     return stored(spark, _keyed(docs).mapInArrow(find, ANCHORS), "anchors")
 
 
-def _fetched(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
-    """The contexts (MEMBERS) of `wanted`: text_key, anchor, context, place."""
-    per_text = wanted.groupBy("text_key").agg(F.collect_list(F.struct("anchor", "context", "place")).alias("wanted"))
+def _joined(texts: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """Left join by the digest; where texts may have many copies, one that may split them.
+
+    Distinct texts are partitioned by their digest already.
+    """
+    return texts.join(others, key, "left") if key == DISTINCT else join_grouped(texts, others, [key])
+
+
+def _fetched(texts: DataFrame, wanted: DataFrame, shape: Shape, key: str) -> DataFrame:
+    """The contexts (MEMBERS) of `wanted`: text_key, anchor, context, place.
+
+    All columns of `texts` are read, and kept by a left join, so that a caller who joins the same
+    texts once more shuffles them only once. Copies of a text come after one another; one of them counts.
+    """
+    asked = free_name(texts, "wanted")
+    per_text = wanted.groupBy(F.col("text_key").alias(key)).agg(F.collect_list(F.struct("anchor", "context", "place")).alias(asked))
 
     def cut(batches) -> Iterator[pa.RecordBatch]:
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -231,8 +248,15 @@ def _fetched(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["anchor", "context", "symbols"])
 
         held: list[tuple] = []
+        before = None
         for batch in batches:
-            for text, rows in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
+            column = dict(zip(batch.schema.names, batch.columns))
+            has = pa.compute.indices_nonzero(column[asked].is_valid())
+            keys, rows_of = column[key].take(has).to_pylist(), column[asked].take(has).to_pylist()
+            for own, text, rows in zip(keys, utf8(column["text"].take(has)), rows_of):
+                if own == before:
+                    continue
+                before = own
                 for row in rows:
                     held.append((row["anchor"], row["context"], context(text, row["place"], shape)))
                     if len(held) * shape.width > 8 << 20:
@@ -241,7 +265,7 @@ def _fetched(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
         if held:
             yield batch_of(held)
 
-    return texts.join(per_text, "text_key").select("text", "wanted").mapInArrow(cut, MEMBERS)
+    return _joined(texts, per_text, key).mapInArrow(cut, MEMBERS)
 
 
 def _sorted_collections(members: DataFrame, key: list[str], shape: Shape) -> DataFrame:
@@ -314,12 +338,15 @@ def _cores(members: DataFrame, shape: Shape) -> DataFrame:
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """text_key, text: one row per text; copies are merged in the map tasks first."""
-    return _keyed(docs).groupBy("text_key").agg(F.first("text").alias("text"))
+    """DISTINCT, text: one row per text; copies are merged in the map tasks first."""
+    return _keyed(docs).withColumnRenamed("text_key", DISTINCT).groupBy(DISTINCT).agg(F.first("text").alias("text"))
+
 
+def repeated_windows(spark: SparkSession, docs: DataFrame, texts: DataFrame, key: str, shape: Shape, most_contexts: int) -> DataFrame:
+    """text_key, place, runs: per anchor the offsets of repeated windows (counted from `before` bytes before it).
 
-def repeated_windows(spark: SparkSession, docs: DataFrame, texts: DataFrame, shape: Shape, most_contexts: int) -> DataFrame:
-    """text_key, place, runs: per anchor the offsets of repeated windows (counted from `before` bytes before it)."""
+    `texts` has the texts of `docs` and their digests, as column `key`.
+    """
     table = _anchor_table(spark, docs, shape)
     each = table.select("text_key", F.explode(F.arrays_zip("anchors", "contexts", "places")).alias("at")).select(
         "text_key", F.col("at.anchors").alias("anchor"), F.col("at.contexts").alias("context"), F.col("at.places").alias("place")
@@ -350,9 +377,9 @@ def repeated_windows(spark: SparkSession, docs: DataFrame, texts: DataFrame, sha
     large = stored(spark, large.select("anchor"), "large-anchors")
     if not large.isEmpty():
         split = join_grouped(wanted, large, ["anchor"], "left_semi")
-        found = found.unionAll(_of_split_collections(spark, stored(spark, _fetched(texts, split, shape), "members"), shape, most_contexts))
+        found = found.unionAll(_of_split_collections(spark, stored(spark, _fetched(texts, split, shape, key), "members"), shape, most_contexts))
         wanted = wanted.join(large, "anchor", "left_anti")
-    members = _fetched(texts, wanted, shape).withColumns({"first": F.lit(0), "last": F.lit(shape.before)})
+    members = _fetched(texts, wanted, shape, key).withColumns({"first": F.lit(0), "last": F.lit(shape.before)})
     found = found.unionAll(_sorted_collections(members, ["anchor"], shape))
     runs = found.groupBy("anchor", "context").agg(F.flatten(F.collect_list("runs")).alias("runs"))
     return alike.unionAll(join_grouped(several, runs, ["anchor", "context"], "inner").select("text_key", "place", "runs"))
@@ -399,9 +426,9 @@ def _spans(place: np.ndarray, first: np.ndarray, last: np.ndarray, size: int, sh
     return [tuple(s) for s in spans]
 
 
-def windows_per_text(spark: SparkSession, docs: DataFrame, texts: DataFrame, length: int, most_contexts: int) -> DataFrame:
+def windows_per_text(spark: SparkSession, docs: DataFrame, texts: DataFrame, key: str, length: int, most_contexts: int) -> DataFrame:
     """text_key, windows: of each text with a repeated window, the places and runs that say where."""
-    windows = repeated_windows(importable(spark), docs, texts, Shape(length), most_contexts)
+    windows = repeated_windows(importable(spark), docs, texts, key, Shape(length), most_contexts)
     return windows.groupBy("text_key").agg(F.collect_list(F.struct("place", "runs")).alias("windows"))
 
 
@@ -426,11 +453,13 @@ def cleaned(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_con
     A cut within a character drops the rest of that character; a null text stays null.
     """
     shape, columns = Shape(length), docs.columns
-    key, found = free_name(docs, "text_key"), free_name(docs, "windows")
-    windows = windows_per_text(spark, docs, distinct_texts(docs), length, most_contexts)
-    windows = windows.select(F.col("text_key").alias(key), F.col("windows").alias(found))
+    key, found = free_name(docs, "any_text_key"), free_name(docs, "windows")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    joined = join_grouped(docs.withColumn(key, F.unhex(F.md5(text))), windows, [key]).select(*columns, found)
+    # Shuffled once: contexts are fetched from it, and the windows found are joined to it.
+    keyed = docs.withColumn(key, F.unhex(F.md5(text)))
+    windows = windows_per_text(spark, docs, keyed, key, length, most_contexts)
+    windows = windows.select(F.col("text_key").alias(key), F.col("windows").alias(found))
+    joined = join_grouped(keyed, windows, [key]).select(*columns, found)
     place = columns.index("text")
 
     def apply(batches) -> Iterator[pa.RecordBatch]:
@@ -454,7 +483,7 @@ def marked(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_cont
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans of each document."""
     shape = Shape(length)
     texts = distinct_texts(docs)
-    windows = windows_per_text(spark, docs, texts, length, most_contexts)
+    windows = windows_per_text(spark, docs, texts, DISTINCT, length, most_contexts)
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def measure(batches) -> Iterator[pa.RecordBatch]:
@@ -470,7 +499,8 @@ def marked(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_cont
                 names=["text_key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
             )
 
-    results = texts.join(windows, "text_key", "left").select("text_key", "text", "windows").mapInArrow(measure, RESULT)
+    windows = windows.withColumnRenamed("text_key", DISTINCT)
+    results = _joined(texts, windows, DISTINCT).select(DISTINCT, "text", "windows").mapInArrow(measure, RESULT)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("text_key"))
     return join_grouped(rows, results, ["text_key"], "inner").drop("text_key")
