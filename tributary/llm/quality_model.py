@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.storage import importable, utf8
+from tributary.llm.storage import importable, spread, thinned, utf8
 from tributary.llm.text import BASE, hashed_words, mix
 
 BITS = 17
@@ -83,7 +83,7 @@ def dual_coordinate_descent(rows: list[np.ndarray], scale: np.ndarray, good: np.
     Rows are scaled to unit length, so texts of all lengths weigh alike.
     """
     random = np.random.default_rng(seed)
-    values = [scale[r] / max(1e-9, float(np.linalg.norm(scale[r]))) for r in rows]
+    values = [(scale[r] / max(1e-9, float(np.linalg.norm(scale[r])))).astype(np.float32) for r in rows]
     weights, bias = np.zeros(1 << BITS), 0.0
     alpha, sign = np.zeros(len(rows)), np.where(good, 1.0, -1.0)
     # The classes count alike, however many rows they have.
@@ -163,8 +163,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int, cost: float, rou
         .filter(~held_out())
     )
     shares = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    parts = [known.filter(F.col("quality") == q).orderBy(*order).limit(sample_rows) for q in (0, 1)]
+    order = spread(["doc_id"])
+    classes = [known.filter(F.col("quality") == q) for q in (0, 1)]
+    parts = [thinned(c, ["doc_id"], sample_rows).orderBy(*order).limit(sample_rows) for c in classes]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def featured(batches) -> Iterator[pa.RecordBatch]:
@@ -179,10 +180,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int, cost: float, rou
     # At most 2 * sample_rows ids go to every task; the texts are not shuffled.
     chosen = rows.join(F.broadcast(parts[0].unionAll(parts[1])), "doc_id").select("doc_id", F.col("quality").cast("int"), "text")
     sample = chosen.mapInArrow(featured, "doc_id long, quality int, places array<int>")
-    found = sample.orderBy(*order, F.xxhash64("places")).limit(2 * sample_rows).toPandas()
-    places = [np.asarray(p, np.int64) for p in found["places"]]
+    found = sample.orderBy(*order, F.xxhash64("places")).limit(2 * sample_rows).select("quality", "places").toArrow().combine_chunks()
     total = max(1, sum(shares.values()))
-    good = (found["quality"] == 1).to_numpy(dtype=bool)
+    good = found.column("quality").to_numpy() == 1
+    # Views of one array of four bytes per indicator.
+    chunk = found.column("places").chunk(0) if len(good) else pa.array([], pa.list_(pa.int32()))
+    flat, ends = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+    places = [flat[a:b] for a, b in zip(ends, ends[1:])]
     return Model(places, good, (shares.get(1, 0) / total, shares.get(0, 0) / total), cost, rounds, seed)
 
 
@@ -190,7 +194,7 @@ def scored(
     spark: SparkSession,
     docs: DataFrame,
     labels: DataFrame,
-    sample_rows: int = 4000,
+    sample_rows: int = 2000,
     cost: float = 1.0,
     rounds: int = 30,
     seed: int = 1,
