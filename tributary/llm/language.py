@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.storage import free_name, importable
+from tributary.llm.storage import free_name, importable, spread, thinned
 from tributary.llm.text import mix
 
 ORDER = 4
@@ -303,8 +303,7 @@ def train(docs: DataFrame, most_grams: int = MOST_GRAMS, sample_rows: int = SAMP
             )
 
     # The ids with the smallest hashes first, then only their texts: a bounded sample.
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
-    chosen = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash").limit(sample_rows)
+    chosen = thinned(rows.select("doc_id"), ["doc_id"], sample_rows).orderBy(*spread(["doc_id"])).limit(sample_rows)
     ids = F.broadcast(chosen.select("doc_id").distinct())
     sample = rows.join(ids, "doc_id").select(F.col("lang").cast("string"), F.col("text").cast("string"))
     found = sample.mapInArrow(measure, "lang long, n long, entropy double").orderBy(F.xxhash64("n", "entropy")).limit(2 * sample_rows).toPandas()

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import posixpath
+import re
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tributary.session import scratch_dir
 
@@ -39,13 +41,29 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
         return fs.LocalFileSystem(), uri
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri)
+    # Hadoop's names of S3 are not those of Arrow.
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
 
 
 def join_path(*parts: str) -> str:
     return posixpath.join(*parts)
 
 
+def thinned(rows: DataFrame, by: list[str], size: int) -> DataFrame:
+    """About four times `size` rows, those of the smallest hashes of `by`; all rows if there are fewer.
+
+    To be cut to `size` by that hash (`spread`): so each task holds few rows for it, however many
+    tasks there are.
+    """
+    share = 4 * size / max(1, rows.count())
+    return rows if share >= 1 else rows.filter(F.pmod(F.xxhash64(*by), F.lit(1 << 31)) < int(share * (1 << 31)))
+
+
+def spread(by: list[str]) -> list[Column]:
+    """The order in which `thinned` rows are cut to size."""
+    return [F.pmod(F.xxhash64(*by), F.lit(1 << 31)), *(F.col(c) for c in by)]
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """Texts as UTF-8 bytes; null counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
