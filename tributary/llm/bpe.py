@@ -33,8 +33,8 @@ from tributary.llm.text import mix, powers, prefix_hash
 WINDOW = 16
 CHUNK_BYTES = 512
 # Entries of one generation of a worker's two caches.
-CHUNKS_KEPT = 20_000
-WORDS_KEPT = 400_000
+CHUNKS_KEPT = 8_000
+WORDS_KEPT = 200_000
 BLANKS = b" \t\n\r\x0b\x0c"
 
 # How byte-level BPE writes the bytes that are not printable Latin-1 characters: from 256 on, in order.

@@ -280,6 +280,7 @@ class Model:
 
 def train(docs: DataFrame, most_grams: int = MOST_GRAMS, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Model of the documents that may be learned from; at most `most_grams` grams reach the driver."""
+    importable(docs.sparkSession)
     counts = gram_counts(docs)
     languages = docs.filter("lang IS NOT NULL").agg(F.count_distinct("lang")).first()[0]
     each = max(1, most_grams // max(1, languages))

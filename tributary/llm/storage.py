@@ -69,8 +69,17 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+# What a Python worker is handed at once: it holds a batch several times over.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package when the driver found it by `sys.path` alone."""
+    """Let Python workers import this package when the driver found it by `sys.path` alone.
+
+    Also bounds the batches that go to them.
+    """
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     root = posixpath.dirname(posixpath.dirname(posixpath.dirname(__file__)))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
