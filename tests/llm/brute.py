@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -123,3 +124,34 @@ def quality(text):
 
 def held_out(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 1
+
+
+def kneser_ney(texts, keys, order=4):
+    """Log probabilities of grams (16 bits per symbol) per language, by plain loops; `texts` are (lang, grams)."""
+    langs = sorted({lang for lang, _ in texts})
+    counts = {lang: Counter(g for own, grams in texts if own == lang for g in grams) for lang in langs}
+    levels = {lang: [counts[lang]] for lang in langs}
+    for lang in langs:
+        for n in range(order - 1, 0, -1):
+            levels[lang].insert(0, Counter(g % (1 << 16 * n) for g in levels[lang][0]))
+    symbols = len({g for lang in langs for g in levels[lang][0]}) + 1
+    sums = {}
+    for lang in langs:
+        for n, level in enumerate(levels[lang]):
+            for gram, c in level.items():
+                total, types = sums.get((lang, n, gram >> 16), (0, 0))
+                sums[lang, n, gram >> 16] = total + c, types + 1
+
+    def probability(lang, gram, n):
+        if n < 0:
+            return 1 / symbols
+        level = levels[lang][n]
+        once, twice = (sum(c == k for c in level.values()) for k in (1, 2))
+        discount = once / (once + 2 * twice) if once and twice else 0.5
+        lower = probability(lang, gram % (1 << 16 * n), n - 1)
+        if (lang, n, gram >> 16) not in sums:
+            return lower
+        total, types = sums[lang, n, gram >> 16]
+        return max(level[gram] - discount, 0) / total * (gram in level) + discount * types / total * lower
+
+    return [[math.log(probability(lang, gram, order - 1)) for lang in langs] for gram in keys]

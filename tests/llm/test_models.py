@@ -49,6 +49,23 @@ def test_unseen_grams_are_backed_off_alike_in_sorted_arrays(spark):
     assert (places >= 0).all() and (table.hashes[places] == language.mix(known)).all()
 
 
+def test_no_gram_is_cut(spark, monkeypatch):
+    """All grams count, however many values of lang there are; probabilities are those of plain loops."""
+    monkeypatch.setattr(language, "PART_NUMBERS", 1 << 8)
+    monkeypatch.setattr(language, "CACHE_BYTES", 1 << 12)
+    random.seed(7)
+    texts = {x: ["".join(random.choices("abcdefghijkl ", k=60)) for _ in range(60)] for x in ("aa", "bb")}
+    rows = [(i, t, x) for x, own in texts.items() for i, t in enumerate(own) if not brute.held_out(i)]
+    strays = [(None, "stray", f"x{i}") for i in range(2000)]
+    model = language.train(spark.createDataFrame(rows + strays, "doc_id long, text string, lang string"))
+    assert model.langs == ["aa", "bb"]
+    grams = np.unique(language.folded([t for _, t, _ in rows])[0])
+    assert len(grams) > 1000 and (model.tables[-1].find(grams) >= 0).all()
+    keys = np.append(grams, np.random.default_rng(1).integers(0, 2**63, 50, dtype=np.uint64))
+    want = brute.kneser_ney([(x, language.folded([t])[0].tolist()) for _, t, x in rows], keys.tolist())
+    assert np.allclose(model.log_probabilities(keys), want, atol=1e-3)
+
+
 def test_languages_odd_texts_and_clashing_columns(spark):
     docs, rows = small_languages(spark)
     out = language.identified(spark, docs, language.train(docs))

@@ -2,10 +2,13 @@
 
 Texts are folded to lower-case letters and single blanks, four characters make one gram of 64
 bits (16 per character). Counts of the highest order are summed by Spark over all documents
-that may be learned from; lower orders are continuation counts of it. A model keeps at most
-`most_grams` grams over all languages (the most frequent of each), as sorted arrays of hashes
-with the interpolated log probabilities of every language; what a language has not seen is
-backed off. A text gets the language with the lowest cross-entropy per character.
+that may be learned from; lower orders are continuation counts of it, and counts, discounts and
+probabilities are made of all grams, however rare. The model lies in the shared folder: per order
+the interpolated log probabilities of every language, sorted by hash and cut into parts by it;
+what a language has not seen is backed off. A batch of texts asks for each of its distinct grams
+once, part by part; a worker keeps `CACHE_BYTES` of parts and reads the others when they are asked
+for. The driver knows the languages, their discounts and the names of the parts. A text gets the
+language with the lowest cross-entropy per character.
 
 Rejection is calibrated on a bounded sample of the learned documents: how far their
 cross-entropy lies above their language's mean, in units of its spread at their length.
@@ -19,7 +22,8 @@ sorts first. Repeated rows are predicted each; an empty table gives no rows; oth
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,14 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.storage import free_name, importable, spread, thinned
+from tributary.llm.storage import free_name, importable, join_path, open_folder, spread, stored, thinned
 from tributary.llm.text import mix
+from tributary.session import scratch_dir
 
 ORDER = 4
 BLANK = 32
-# Grams of all languages together that a model keeps, and documents for calibration.
-MOST_GRAMS = 1_000_000
+# Documents for calibration.
 SAMPLE_ROWS = 6000
+# Numbers in one part of a model (grams times languages), and bytes of parts that a worker keeps.
+PART_NUMBERS = 1 << 18
+CACHE_BYTES = 192 << 20
 UNDETERMINED = "und"
 # Spreads above the mean at which a text is in no learned language: at least this many, and
 # this many times what the sample shows.
@@ -137,84 +144,165 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-class Sorted:
-    """Rows by hash: a sorted array, with the first place of each leading part of the hash."""
+# Parts that this process keeps, by path; once full, others are read each time.
+_kept: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
-    def __init__(self, keys: np.ndarray, rows: np.ndarray) -> None:
+
+class Shelf:
+    """Rows by hash in files of the shared folder, one file per leading part of the hash."""
+
+    def __init__(self, folder: str, bits: int, width: int, files: dict[int, tuple[str, int]]) -> None:
+        self.folder, self.bits, self.width, self.files = folder, bits, width, files
+        self.sizes = np.array([files.get(part, ("", 0))[1] for part in range(1 << bits)], np.int64)
+
+    def part(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes and rows of one part."""
+        name, size = self.files[number]
+        key = join_path(self.folder, name)
+        if key in _kept:
+            return _kept[key]
+        files, path = open_folder(self.folder)
+        with files.open_input_stream(join_path(path, name), compression=None) as source:
+            data = source.read()
+        found = np.frombuffer(data, np.uint64, size), np.frombuffer(data, np.float32, offset=8 * size).reshape(size, self.width)
+        if sum(h.nbytes + r.nbytes for h, r in _kept.values()) + len(data) <= CACHE_BYTES:
+            _kept[key] = found
+        return found
+
+    def hits(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per part: its number, which keys lie in it, where, and their rows."""
         hashes = mix(keys)
         order = np.argsort(hashes)
-        self.hashes, self.rows = hashes[order], np.ascontiguousarray(rows[order])
-        bits = max(1, int(len(keys)).bit_length())
-        self.shift = np.uint64(64 - bits)
-        self.first = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift)
-        gaps = np.diff(np.append(self.first, len(self.hashes)))
-        self.probes = int(gaps.max()) if len(gaps) else 0
-        self.hashes = np.append(self.hashes, np.zeros(self.probes + 1, np.uint64))
+        starts = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
+        edges = np.append(np.searchsorted(hashes[order], starts), len(keys))
+        for number in np.flatnonzero((np.diff(edges) > 0) & (self.sizes > 0)):
+            at = order[edges[number] : edges[number + 1]]
+            own, rows = self.part(int(number))
+            place = np.minimum(np.searchsorted(own, hashes[at]), len(own) - 1)
+            same = own[place] == hashes[at]
+            yield int(number), at[same], place[same], rows[place[same]]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key's row, -1 if there is none."""
-        hashes = mix(keys)
-        at = self.first[(hashes >> self.shift).astype(np.int64)]
-        place = np.where(self.hashes[at] == hashes, at, -1)
-        open_ = np.flatnonzero(self.hashes[at] < hashes)
-        for step in range(1, self.probes):
-            if not len(open_):
-                break
-            there = at[open_] + step
-            seen = self.hashes[there]
-            place[open_[seen == hashes[open_]]] = there[seen == hashes[open_]]
-            open_ = open_[seen < hashes[open_]]
-        place[place >= len(self.rows)] = -1
-        return place
+        out = np.full(len(keys), -1, np.int64)
+        before = np.cumsum(self.sizes) - self.sizes
+        for number, at, place, _ in self.hits(keys):
+            out[at] = before[number] + place
+        return out
 
+    def rows(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys there are, and their rows; zeros for the others."""
+        known, out = np.zeros(len(keys), bool), np.zeros((len(keys), self.width), np.float32)
+        for _, at, _, rows in self.hits(keys):
+            known[at] = True
+            out[at] = rows
+        return known, out
 
-class Model:
-    """Interpolated Kneser-Ney models of all languages in shared arrays."""
+    @property
+    def hashes(self) -> np.ndarray:
+        """All hashes in order; only for small models."""
+        return np.concatenate([self.part(number)[0] for number in sorted(self.files)])
 
-    def __init__(self, langs: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> None:
-        self.langs = sorted(set(langs.tolist()))
-        size = len(self.langs)
-        index = {lang: i for i, lang in enumerate(self.langs)}
-        of = np.array([index[x] for x in langs.tolist()], np.int64)
-        levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        keys, owner, weight = grams.astype(np.uint64), of, counts.astype(float)
-        for order in range(ORDER, 0, -1):
-            levels.insert(0, (keys, owner, weight))
-            if order == 1:
-                break
-            # Continuation counts: in how many distinct left extensions a shorter gram occurs.
-            shorter = keys & np.uint64((1 << 16 * (order - 1)) - 1)
-            pairs, counted = np.unique(np.stack([shorter, owner.astype(np.uint64)]), axis=1, return_counts=True)
-            keys, owner, weight = pairs[0], pairs[1].astype(np.int64), counted.astype(float)
-        symbols = max(2, len(np.unique(levels[0][0])) + 1)
-        self.floor = -np.log(symbols)
-        self.tables: list[Sorted] = []
-        self.backoff: list[Sorted] = []
-        for order, (keys, owner, weight) in enumerate(levels, 1):
-            union, place = np.unique(keys, return_inverse=True)
-            contexts, context = np.unique(keys >> np.uint64(16), return_inverse=True)
-            total, types = np.zeros((2, len(contexts), size))
-            np.add.at(total, (context, owner), weight)
-            np.add.at(types, (context, owner), 1.0)
-            discount = np.zeros(size)
-            for lang in range(size):
-                own = weight[owner == lang]
-                once, twice = (own == 1).sum(), (own == 2).sum()
-                discount[lang] = once / (once + 2 * twice) if once and twice else 0.5
-            kept = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
-            direct = np.zeros((len(union), size))
-            direct[place, owner] = np.maximum(weight - discount[owner], 0) / total[context, owner]
-            # The union's own contexts, to add what is left for the shorter gram.
-            lower = self._lower(union, order)
-            own_context = np.searchsorted(contexts, union >> np.uint64(16))
-            full = direct + kept[own_context] * np.exp(lower)
-            self.tables.append(Sorted(union, np.log(np.maximum(full, 1e-12)).astype(np.float32)))
-            self.backoff.append(Sorted(contexts, np.log(np.maximum(kept, 1e-12)).astype(np.float32)))
+
+def shelved(rows: DataFrame, count: int, width: int, build: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> Shelf:
+    """The shelf of what `build` makes of the rows of each part; the rows' `gram` says in which they lie."""
+    bits = max(1, int(count * width // PART_NUMBERS).bit_length())
+    folder = scratch_dir(rows.sparkSession, "language-model")
+    files, path = open_folder(folder)
+    files.create_dir(path, recursive=True)
+
+    def place(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("gram").to_numpy().view(np.uint64)
+            part = (mix(keys) >> np.uint64(64 - bits)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], names=["part", *batch.schema.names])
+
+    def write(batches) -> Iterator[pa.RecordBatch]:
+        files, path = open_folder(folder)
+
+        def put(part: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            keys, values = build(pa.Table.from_batches(held))
+            hashes = mix(keys)
+            order = np.argsort(hashes)
+            # A name of its own: only files of successful attempts are read.
+            name = f"{part}-{uuid.uuid4().hex}"
+            with files.open_output_stream(join_path(path, name), compression=None) as sink:
+                sink.write(hashes[order].tobytes())
+                sink.write(values[order].astype(np.float32).tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([name]), pa.array([len(keys)], pa.int64())], names=["part", "name", "size"])
+
+        # Rows come sorted by part; the last one of a batch may go on in the next.
+        now, held = -1, []
+        for batch in batches:
+            parts = batch.column(0).to_numpy()
+            edges = np.flatnonzero(np.diff(parts)) + 1
+            for a, b in zip([0, *edges], [*edges, len(parts)]):
+                if b > a:
+                    if held and parts[a] != now:
+                        yield put(now, held)
+                        held = []
+                    now = int(parts[a])
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield put(now, held)
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    placed = rows.mapInArrow(place, f"part int, {schema}").repartition("part").sortWithinPartitions("part")
+    found = placed.mapInArrow(write, "part int, name string, size long").collect()
+    return Shelf(folder, bits, width, {r["part"]: (r["name"], r["size"]) for r in found})
+
+
+class Model:
+    """Interpolated Kneser-Ney models of all languages on shared shelves."""
+
+    def __init__(self, langs: list[str], symbols: int) -> None:
+        self.langs = langs
+        size = len(langs)
+        self.floor = -np.log(max(2, symbols + 1))
+        self.tables: list[Shelf] = []
+        self.backoff: list[Shelf] = []
         self.mean = np.zeros(size)
         self.noise = np.ones(size)
         self.spread = np.full(size, 0.05)
         self.limit = np.full(size, np.inf)
 
+    def add_order(self, rows: DataFrame, count: int, discounts: dict[str, float]) -> None:
+        """The next order, of all its `count` rows lang, gram, n."""
+        size, order = len(self.langs), len(self.tables) + 1
+        index = {lang: i for i, lang in enumerate(self.langs)}
+        discount = np.array([discounts[lang] for lang in self.langs])
+        context = F.shiftrightunsigned("gram", 16)
+
+        def owners(rows: pa.Table) -> np.ndarray:
+            codes = rows.column("lang").combine_chunks().dictionary_encode()
+            codes = codes.combine_chunks() if isinstance(codes, pa.ChunkedArray) else codes
+            return np.array([index[x] for x in codes.dictionary.to_pylist()], np.int64)[codes.indices.to_numpy()]
+
+        def column(rows: pa.Table, name: str) -> np.ndarray:
+            return rows.column(name).to_numpy().astype(float)
+
+        def left(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+            """What the contexts of each language leave for the shorter gram."""
+            keys, place = np.unique(rows.column("gram").to_numpy().view(np.uint64), return_inverse=True)
+            owner, kept = owners(rows), np.ones((len(keys), size))
+            kept[place, owner] = discount[owner] * column(rows, "types") / column(rows, "total")
+            return keys, np.log(np.maximum(kept, 1e-12))
+
+        contexts = rows.groupBy("lang", context.alias("gram")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types"))
+        self.backoff.append(shelved(contexts, count, size, left))
+
+        def probabilities(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+            keys, place = np.unique(rows.column("gram").to_numpy().view(np.uint64), return_inverse=True)
+            owner, direct = owners(rows), np.zeros((len(keys), size))
+            direct[place, owner] = np.maximum(column(rows, "n") - discount[owner], 0) / column(rows, "total")
+            kept = self.backoff[order - 1].rows(keys >> np.uint64(16))[1]
+            full = direct + np.exp(kept.astype(float) + self._lower(keys, order))
+            return keys, np.log(np.maximum(full, 1e-12))
+
+        total = F.sum("n").over(Window.partitionBy("lang", "context"))
+        known = rows.withColumn("context", context).withColumn("total", total).select("lang", "gram", "n", "total")
+        self.tables.append(shelved(known, count, size, probabilities))
+
     def _lower(self, keys: np.ndarray, order: int) -> np.ndarray:
         """Log probabilities of the grams without their first character."""
         if order == 1:
@@ -223,26 +311,45 @@ class Model:
 
     def log_probabilities(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
         """Per gram and language; what no language has seen is backed off."""
-        place = self.tables[order - 1].find(keys)
-        out = self.tables[order - 1].rows[np.maximum(place, 0)]
-        missing = np.flatnonzero(place < 0)
+        known, out = self.tables[order - 1].rows(keys)
+        missing = np.flatnonzero(~known)
         if len(missing):
             unseen, back = np.unique(keys[missing], return_inverse=True)
-            context = self.backoff[order - 1].find(unseen >> np.uint64(16))
-            left = np.where((context >= 0)[:, None], self.backoff[order - 1].rows[np.maximum(context, 0)], 0.0)
+            left = self.backoff[order - 1].rows(unseen >> np.uint64(16))[1]
             out[missing] = (left + self._lower(unseen, order))[back]
         return out
 
+    def settle(self) -> None:
+        """Drop the parts of other models that this process still keeps."""
+        own = tuple(f"{shelf.folder}/" for shelf in [*self.tables, *self.backoff])
+        for key in [key for key in _kept if not key.startswith(own)]:
+            del _kept[key]
+
     def cross_entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text and language; characters of each text; which have a letter."""
-        grams, edges, with_letter = folded(texts)
-        sums = np.zeros((len(texts), len(self.langs)))
-        if len(grams):
-            values = self.log_probabilities(grams)
-            some = np.flatnonzero(np.diff(edges) > 0)
-            sums[some] = np.add.reduceat(values, edges[some], axis=0, dtype=np.float64)
-        n = np.diff(edges)
-        return -sums / np.maximum(n, 1)[:, None], n, with_letter
+        pieces = []
+        for begin, end in slices(texts):
+            grams, edges, with_letter = folded(texts[begin:end])
+            codes = pa.array(grams).dictionary_encode()
+            pieces.append((codes.dictionary.to_numpy(), codes.indices.to_numpy(), edges, with_letter))
+        # Each distinct gram of all texts is looked up once.
+        union = np.unique(np.concatenate([p[0] for p in pieces])) if pieces else np.zeros(0, np.uint64)
+        values = self.log_probabilities(union)
+        step = max(1, (1 << 22) // max(1, len(self.langs)))
+        sums, n, letters = [np.zeros((0, len(self.langs)))], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+        for own, place, edges, with_letter in pieces:
+            rows = np.searchsorted(union, own)
+            total = np.zeros((len(edges) - 1, len(self.langs)))
+            for a in range(0, len(place), step):
+                b = min(len(place), a + step)
+                first, last = np.searchsorted(edges, [a, b - 1], "right") - 1
+                some = first + np.flatnonzero(np.diff(edges[first : last + 2]) > 0)
+                total[some] += np.add.reduceat(values[rows[place[a:b]]], np.maximum(edges[some], a) - a, axis=0, dtype=np.float64)
+            sums.append(total)
+            n.append(np.diff(edges))
+            letters.append(with_letter)
+        n = np.concatenate(n)
+        return -np.concatenate(sums) / np.maximum(n, 1)[:, None], n, np.concatenate(letters)
 
     def calibrate(self, entropy: np.ndarray, n: np.ndarray, of: np.ndarray) -> None:
         """Mean and spread per language from its own documents, and the limit of the spreads."""
@@ -278,22 +385,36 @@ class Model:
         return np.where(with_letter, best, -1), np.where(with_letter, score, 0.0), rejected
 
 
-def train(docs: DataFrame, most_grams: int = MOST_GRAMS, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Model of the documents that may be learned from; at most `most_grams` grams reach the driver."""
-    importable(docs.sparkSession)
-    counts = gram_counts(docs)
-    languages = docs.filter("lang IS NOT NULL").agg(F.count_distinct("lang")).first()[0]
-    each = max(1, most_grams // max(1, languages))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = counts.withColumn("rank", rank).filter(F.col("rank") <= each).drop("rank").toArrow()
-    grams = kept.column("gram").to_numpy().view(np.uint64)
-    model = Model(np.array(kept.column("lang").to_pylist(), object), grams, kept.column("n").to_numpy())
+def fitted(docs: DataFrame) -> Model:
+    """The model of all grams of the documents that may be learned from."""
+    spark = importable(docs.sparkSession)
+    levels = [stored(spark, gram_counts(docs), "grams")]
+    for order in range(ORDER - 1, 0, -1):
+        # Continuation counts: in how many distinct left extensions a shorter gram occurs.
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << 16 * order) - 1))
+        levels.insert(0, stored(spark, levels[0].groupBy("lang", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "grams"))
+    discounts, counts = [], []
+    for level in levels:
+        found = level.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"), F.count(F.lit(1)).alias("all")).collect()
+        discounts.append({r["lang"]: r["once"] / (r["once"] + 2 * r["twice"]) if r["once"] and r["twice"] else 0.5 for r in found})
+        counts.append(sum(r["all"] for r in found))
+    model = Model(sorted(discounts[0]), levels[0].select("gram").distinct().count())
+    if model.langs:
+        for level, own, count in zip(levels, discounts, counts):
+            model.add_order(level, count, own)
+    return model
+
+
+def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Model of the documents that may be learned from, with its limits."""
+    model = fitted(docs)
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
     def measure(batches) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        own.settle()
         for batch in batches:
             texts = batch.column(1).to_pylist()
             entropy, n, _ = own.cross_entropies(texts)
@@ -326,10 +447,11 @@ def identified(spark: SparkSession, docs: DataFrame, model: Model, name: str = "
 
     def predict(batches) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        own.settle()
         names = np.array([*own.langs, UNDETERMINED], object)
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(place).to_pylist()]
-            for begin, end in slices(texts):
+            for begin, end in slices(texts, max(1 << 16, (1 << 26) // max(1, len(own.langs)))):
                 lang, score, rejected = own.predict(texts[begin:end])
                 found = pa.StructArray.from_arrays([pa.array(names[lang].tolist(), pa.string()), pa.array(score), pa.array(rejected)], fields=fields)
                 columns = [c.slice(begin, end - begin) for c in batch.columns]
