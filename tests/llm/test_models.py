@@ -12,6 +12,7 @@ import pytest
 from tributary.llm import language, quality_model, quality_rules
 
 FOLDER = "/root/testdata/sf0.01"
+LARGER = "/root/testdata/sf0.1"
 given = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
 ODD = [None, "", " \n", "123 !!", "x", "x" * 50_000, "é è", "日本語", "\U0001d518 ́"]
 
@@ -194,3 +195,13 @@ def test_held_out_quality(spark):
     passed = [r for r in rules if not r.base_failed and r.doc_id in truth]
     assert sum(r.kept for r in passed if truth[r.doc_id] == 1) > 0.98 * sum(truth[r.doc_id] == 1 for r in passed)
     assert sum(not r.kept for r in passed if truth[r.doc_id] == 0) > 0.5 * sum(truth[r.doc_id] == 0 for r in passed)
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no tables")
+def test_rules_reject_labelled_junk(spark):
+    """At the parameters of the query, on a table with hundreds of bad labels."""
+    docs, labels = (spark.read.parquet(f"{LARGER}/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    passed = [r for r in quality_rules.judged(spark, docs, labels).collect() if not r.base_failed and r.doc_id in truth]
+    junk = [r.kept for r in passed if truth[r.doc_id] == 0]
+    assert len(junk) > 100 and sum(not k for k in junk) >= 0.8 * len(junk)
