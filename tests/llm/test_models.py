@@ -67,6 +67,22 @@ def test_no_gram_is_cut(spark, monkeypatch):
     assert np.allclose(model.log_probabilities(keys), want, atol=1e-3)
 
 
+def test_small_languages_reject_too(spark):
+    """A language with a handful of documents has the limit of all documents together."""
+    random.seed(8)
+    words = {"aa": "ka ku ki lo la ma".split(), "bb": "sch ein der das och".split(), "cc": "zu zo zi wu wo".split()}
+    langs = ["aa"] * 600 + ["bb"] * 600 + ["cc"] * 8
+    rows = [(i, " ".join(random.choices(words[lang], k=30)), lang) for i, lang in enumerate(langs)]
+    rows += [(5000 + i, "".join(chr(random.randint(0x4E00, 0x5E00)) for _ in range(200)), None) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert np.isfinite(model.limit).all()
+    found = language.identified(spark, docs, model).collect()
+    assert all(r[-1].rejected for r in found if r.doc_id >= 5000)
+    assert all(r[-1].lang_pred == r.lang for r in found if r.lang)
+    assert not any(r[-1].rejected for r in found if r.lang in ("aa", "bb"))
+
+
 def test_languages_odd_texts_and_clashing_columns(spark):
     docs, rows = small_languages(spark)
     out = language.identified(spark, docs, language.train(docs))

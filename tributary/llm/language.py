@@ -10,8 +10,11 @@ once, part by part; a worker keeps `CACHE_BYTES` of parts and reads the others w
 for. The driver knows the languages, their discounts and the names of the parts. A text gets the
 language with the lowest cross-entropy per character.
 
-Rejection is calibrated on a bounded sample of the learned documents: how far their
-cross-entropy lies above their language's mean, in units of its spread at their length.
+Rejection is calibrated on all learned documents: how far their cross-entropy lies above their
+language's mean, in units of its spread at their length. Spark aggregates medians and the limit over
+values rounded to `STEPS` decimals (lengths to that many of their logarithm), so a group holds few
+distinct ones. A language with fewer than `LEAST_ROWS` documents takes the mean, spread and limit of the
+documents of all languages together.
 
 Learned from: text and non-null lang of rows whose crc32(doc_id as text) mod 3 is not 1 (a null doc_id is
 neither learned from nor held out). A null text, or one without a letter, is `und` with score
@@ -31,14 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.storage import free_name, importable, join_path, open_folder, spread, stored, thinned
+from tributary.llm.storage import free_name, importable, join_path, open_folder, stored
 from tributary.llm.text import mix
 from tributary.session import scratch_dir
 
 ORDER = 4
 BLANK = 32
-# Documents for calibration.
-SAMPLE_ROWS = 6000
+# Documents from which a language has limits of its own, and decimals of what its quantiles are taken of.
+LEAST_ROWS = 20
+STEPS = 3
 # Numbers in one part of a model (grams times languages), and bytes of parts that a worker keeps.
 PART_NUMBERS = 1 << 18
 CACHE_BYTES = 192 << 20
@@ -49,6 +53,8 @@ LEAST_SPREADS = 6.0
 MARGIN = 1.5
 # Characters of evidence that the score of a prediction counts at most.
 EVIDENCE = 40
+# Stands for all languages together.
+POOL = -1
 
 
 @lru_cache(maxsize=1)
@@ -325,6 +331,10 @@ class Model:
         for key in [key for key in _kept if not key.startswith(own)]:
             del _kept[key]
 
+    def batch(self) -> int:
+        """Characters whose distinct grams are looked up together."""
+        return max(1 << 16, (1 << 26) // max(1, len(self.langs)))
+
     def cross_entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text and language; characters of each text; which have a letter."""
         pieces = []
@@ -351,22 +361,50 @@ class Model:
         n = np.concatenate(n)
         return -np.concatenate(sums) / np.maximum(n, 1)[:, None], n, np.concatenate(letters)
 
-    def calibrate(self, entropy: np.ndarray, n: np.ndarray, of: np.ndarray) -> None:
-        """Mean and spread per language from its own documents, and the limit of the spreads."""
+    def calibrate(self, measured: DataFrame) -> None:
+        """Mean, spread and limit per language from rows place, n, entropy of its own documents."""
+        own = {r["place"]: r["rows"] for r in measured.groupBy("place").agg(F.count(F.lit(1)).alias("rows")).collect()}
+        if not own:
+            return
+        scarce = [lang for lang in range(len(self.langs)) if own.get(lang, 0) < LEAST_ROWS]
+        if scarce:
+            measured = measured.unionAll(measured.withColumn("place", F.lit(POOL).cast("long")))
+        measured = measured.withColumn("length", F.round(F.log(F.greatest("n", F.lit(1))), STEPS))
+
+        def per_place(aggregated: DataFrame, name: str) -> F.Column:
+            # A literal, one number per language: a join would bring all rows of a language to one task.
+            found = {r["place"]: r[name] for r in aggregated.collect()}
+            return F.map_from_arrays(F.lit([int(p) for p in found]).cast("array<bigint>"), F.lit([float(v) for v in found.values()]).cast("array<double>"))[F.col("place")]
+
+        def median(of: F.Column) -> F.Column:
+            return F.percentile(F.round(of, STEPS + 1), 0.5)
+
+        halves = measured.groupBy("place").agg(F.percentile("length", 0.5).alias("half"))
+        rows = measured.withColumn("long", F.col("length") >= per_place(halves, "half"))
+        middles = rows.filter("long").groupBy("place").agg(median(F.col("entropy")).alias("middle"))
+        rows = rows.withColumn("middle", per_place(middles, "middle"))
+        # The spread of single characters, from the shorter half.
+        away = F.abs(F.col("entropy") - F.col("middle"))
+        widths = rows.groupBy("place").agg(
+            median(F.when(F.col("long"), away)).alias("away"), median(F.when(~F.col("long"), away * F.sqrt("n"))).alias("noise")
+        )
+        widths = widths.select(
+            "place",
+            F.greatest(F.lit(0.02), 1.4826 * F.col("away")).alias("spread"),
+            F.when(F.col("noise").isNull(), 1.0).otherwise(F.greatest(F.lit(0.5), F.col("noise") / float(np.sqrt(0.4549)))).alias("noise"),
+        )
+        widths = stored(measured.sparkSession, widths, "language-widths")
+        rows = rows.withColumn("spread", per_place(widths, "spread")).withColumn("noise", per_place(widths, "noise"))
+        width = F.sqrt(F.col("spread") ** 2 + F.col("noise") ** 2 / F.greatest("n", F.lit(1)))
+        above = F.percentile(F.round((F.col("entropy") - F.col("middle")) / width, STEPS), 0.999)
+        found = rows.groupBy("place").agg(
+            F.first("middle").alias("mean"), F.first("spread").alias("spread"), F.first("noise").alias("noise"), above.alias("above")
+        )
+        by_place = {r["place"]: r for r in found.collect()}
         for lang in range(len(self.langs)):
-            own = of == lang
-            if own.sum() < 20:
-                continue
-            e, length = entropy[own, lang], n[own]
-            long = length >= np.median(length)
-            middle = np.median(e[long])
-            self.mean[lang] = middle
-            self.spread[lang] = max(0.02, 1.4826 * np.median(np.abs(e[long] - middle)))
-            # The spread of single characters, from the shorter half.
-            excess = (e[~long] - middle) ** 2 * length[~long]
-            self.noise[lang] = max(0.5, np.sqrt(np.median(excess) / 0.4549)) if (~long).any() else 1.0
-            above = np.sort(self.spreads(e, length, np.full(own.sum(), lang)))
-            self.limit[lang] = max(LEAST_SPREADS, MARGIN * above[int(0.999 * (len(above) - 1))])
+            own = by_place[POOL if lang in scarce else lang]
+            self.mean[lang], self.spread[lang], self.noise[lang] = own["mean"], own["spread"], own["noise"]
+            self.limit[lang] = max(LEAST_SPREADS, MARGIN * own["above"])
 
     def spreads(self, entropy: np.ndarray, n: np.ndarray, lang: np.ndarray) -> np.ndarray:
         """How many spreads above the language's mean."""
@@ -405,9 +443,11 @@ def fitted(docs: DataFrame) -> Model:
     return model
 
 
-def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def train(docs: DataFrame) -> Model:
     """Model of the documents that may be learned from, with its limits."""
     model = fitted(docs)
+    if not model.langs:
+        return model
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -415,25 +455,22 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     def measure(batches) -> Iterator[pa.RecordBatch]:
         own = shared.value
         own.settle()
+        index = {lang: i for i, lang in enumerate(own.langs)}
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            entropy, n, _ = own.cross_entropies(texts)
-            at = [own.langs.index(x) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int64()), pa.array(n, pa.int64()), pa.array(entropy[np.arange(len(at)), at], pa.float64())],
-                names=["lang", "n", "entropy"],
-            )
-
-    # The ids with the smallest hashes first, then only their texts: a bounded sample.
-    chosen = thinned(rows.select("doc_id"), ["doc_id"], sample_rows).orderBy(*spread(["doc_id"])).limit(sample_rows)
-    ids = F.broadcast(chosen.select("doc_id").distinct())
-    sample = rows.join(ids, "doc_id").select(F.col("lang").cast("string"), F.col("text").cast("string"))
-    found = sample.mapInArrow(measure, "lang long, n long, entropy double").orderBy(F.xxhash64("n", "entropy")).limit(2 * sample_rows).toPandas()
-    if len(found):
-        of = found["lang"].to_numpy()
-        table = np.zeros((len(found), len(model.langs)))
-        table[np.arange(len(found)), of] = found["entropy"]
-        model.calibrate(table, found["n"].to_numpy(), of)
+            # A language all of whose texts are blank has no model.
+            known = [(index[x], t) for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if x in index]
+            texts = [t for _, t in known]
+            for begin, end in slices(texts, own.batch()):
+                entropy, n, _ = own.cross_entropies(texts[begin:end])
+                at = np.array([i for i, _ in known[begin:end]], np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at), pa.array(n, pa.int64()), pa.array(entropy[np.arange(len(at)), at], pa.float64())],
+                    names=["place", "n", "entropy"],
+                )
+
+    texts = rows.select(F.col("lang").cast("string"), F.col("text").cast("string"))
+    measured = stored(spark, texts.mapInArrow(measure, "place long, n long, entropy double"), "language-entropies")
+    model.calibrate(measured.filter("n > 0"))
     return model
 
 
@@ -451,7 +488,7 @@ def identified(spark: SparkSession, docs: DataFrame, model: Model, name: str = "
         names = np.array([*own.langs, UNDETERMINED], object)
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(place).to_pylist()]
-            for begin, end in slices(texts, max(1 << 16, (1 << 26) // max(1, len(own.langs)))):
+            for begin, end in slices(texts, own.batch()):
                 lang, score, rejected = own.predict(texts[begin:end])
                 found = pa.StructArray.from_arrays([pa.array(names[lang].tolist(), pa.string()), pa.array(score), pa.array(rejected)], fields=fields)
                 columns = [c.slice(begin, end - begin) for c in batch.columns]
