@@ -80,3 +80,12 @@ def test_components_of_paths_and_stars(spark):
 
 def test_empty_table(spark):
     assert jaccard.linked(spark, spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_pairs_of_blocks_are_told_apart_by_their_numbers(spark):
+    """No hash of them: two pairs of blocks never become one search."""
+    rows = spark.range(60).selectExpr("7L AS bucket", "id", "100L + id % 3 AS n", "60L AS members")
+    found = jaccard._searches(spark, rows, 80, 10)
+    assert found.columns[:5] == ["search", "c", "d", "i", "j"]
+    for r in found.groupBy("search", "c", "d", "i", "j").agg({"side": "max", "id": "count"}).collect():
+        assert r["max(side)"] == int((r.c, r.i) != (r.d, r.j))

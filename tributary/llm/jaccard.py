@@ -42,6 +42,8 @@ LEAF = 32
 SMALL = 12
 # Members that one task searches as one tree.
 MOST_MEMBERS = 3000
+# What names a pair of blocks of a large bucket: the classes of sizes, and a block of each.
+BLOCKS = ["c", "d", "i", "j"]
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -217,9 +219,9 @@ def _buckets(spark: SparkSession, classes: DataFrame, percent: int) -> DataFrame
 
 
 def _searches(spark: SparkSession, buckets: DataFrame, percent: int, most_members: int) -> DataFrame:
-    """search, side, id, n, members: what is searched together; large buckets as pairs of blocks."""
+    """search, c, d, i, j, side, id, n, members: what is searched together; large buckets as pairs of blocks (classes c, d, blocks i, j)."""
     whole = buckets.filter(F.col("members") <= most_members).select(
-        F.col("bucket").alias("search"), F.lit(0).alias("detail"), F.lit(0).alias("side"), "id", "n", "members"
+        F.col("bucket").alias("search"), *(F.lit(0).cast("long").alias(x) for x in BLOCKS), F.lit(0).alias("side"), "id", "n", "members"
     )
     large = buckets.filter(F.col("members") > most_members)
     if large.isEmpty():
@@ -242,7 +244,7 @@ def _searches(spark: SparkSession, buckets: DataFrame, percent: int, most_member
     lower = F.transform(numbers(F.col("beneath")), lambda j: F.struct((at - 1).alias("c"), at.alias("d"), j.cast("long").alias("i"), own.alias("j"), F.lit(1).alias("side")))
     cut = placed.select("bucket", "id", "n", "members", F.explode(F.concat(within, higher, lower)).alias("t"))
     return whole.unionAll(
-        cut.select(F.col("bucket").alias("search"), F.hash("t.c", "t.d", "t.i", "t.j").alias("detail"), F.col("t.side").alias("side"), "id", "n", "members")
+        cut.select(F.col("bucket").alias("search"), *(F.col(f"t.{x}").alias(x) for x in BLOCKS), F.col("t.side").alias("side"), "id", "n", "members")
     )
 
 
@@ -250,8 +252,8 @@ def _candidates(searches: DataFrame, classes: DataFrame, percent: int, forest: b
     """Distinct pairs a < b of all searches; `searches` may carry the labels of known components."""
     if "label" not in searches.columns:
         searches = searches.withColumn("label", F.col("id"))
-    rows = searches.join(classes.select("id", "point"), "id").select("search", "detail", "side", "id", "n", "members", "label", "point")
-    by = ["search", "detail"]
+    rows = searches.join(classes.select("id", "point"), "id").select("search", *BLOCKS, "side", "id", "n", "members", "label", "point")
+    by = ["search", *BLOCKS]
 
     def search(batches) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -259,7 +261,7 @@ def _candidates(searches: DataFrame, classes: DataFrame, percent: int, forest: b
 
         def find(rows: pa.Table):
             column = lambda c: rows.column(c).to_numpy()
-            keys = np.stack([column("search"), column("detail").astype(np.int64)])
+            keys = np.stack([column(c) for c in by])
             edges = np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1
             points = unpacked_points(rows.column("point").to_pylist())
             ids, sizes, labels, sides, members = (column(c) for c in ("id", "n", "label", "side", "members"))
@@ -285,7 +287,7 @@ def _candidates(searches: DataFrame, classes: DataFrame, percent: int, forest: b
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = list(zip(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            keys = list(zip(*(batch.column(c).to_numpy() for c in by)))
             last = len(keys)
             while last and keys[last - 1] == keys[-1]:
                 last -= 1
