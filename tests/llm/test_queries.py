@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_jaccard_query(spark):
@@ -52,7 +52,7 @@ def test_quality_rules_query(spark):
         assert r.base_failed == (words < 50 or 100 * repeats > 50 * words) and not (r.base_failed and r.kept)
 
 
-@pytest.mark.parametrize("name", ["op2_packing", "op5_language", "op9_quality_model", "op10_bpe"])
+@pytest.mark.parametrize("name", ["op2_packing", "op5_language", "op9_quality_model", "op10_bpe", "op11_toxicity"])
 def test_queries_cover_every_document(spark, name):
     found = {r.doc_id for r in queries.QUERIES[name](spark, FOLDER).select("doc_id").collect()}
     assert found == {d for d, _ in documents(spark)}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, exact_dedup, jaccard, language, packing, quality_model, quality_rules, suffix_dedup, url_filters, warc
+from tributary.llm import bpe, exact_dedup, jaccard, language, lexical, packing, quality_model, quality_rules, suffix_dedup, toxicity, url_filters, warc, whitening
 from tributary.llm.storage import importable
 
 
@@ -112,6 +112,18 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encoded(spark, table(spark, folder, "documents"), TOKENIZER)
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(spark, table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked(spark, table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=50)
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.by_component(whitening.whitened(spark, table(spark, folder, "embeddings"), count=32))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_packing": op2_packing,
@@ -123,6 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_quality_model": op9_quality_model,
     "op10_bpe": op10_bpe,
+    "op11_toxicity": op11_toxicity,
+    "op12_lexical": op12_lexical,
+    "op13_whitening": op13_whitening,
 }
 
 # Payload and SHA-1 of a page; base32 takes five bits at a time from two hex digits.
@@ -199,9 +214,33 @@ SELECT c.page_id, c.url, c.fetched_on, h.list, h.pattern, h.since, coalesce(h.li
 FROM c LEFT JOIN hits h ON h.page_id = c.page_id AND h.place = 1
 """
 
+_LEXICAL = r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+held AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+frequency AS (SELECT term, count(*) AS df FROM held GROUP BY term),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN frequency USING (term) JOIN d USING (doc_id), total
+  GROUP BY item_id, doc_id),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed WHERE place <= 50
+"""
+
 SQL: dict[str, str] = {
     "op1_warc": _WARC,
     "op3_exact_dedup": _EXACT,
     "op4_jaccard": _JACCARD,
     "op8_url_filters": _URLS,
+    "op12_lexical": _LEXICAL,
 }

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import posixpath
 import re
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,6 +71,25 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def summed(rows: DataFrame, size: int, part: Callable[[pa.RecordBatch], np.ndarray], kind: str = "double") -> np.ndarray:
+    """The sum of `part`, an array of `size` numbers, over all batches of `rows`; each task sends one such array."""
+
+    def parts(batches) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                own = part(batch)
+                total = own if total is None else total + own
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], names=["place", "value"])
+
+    sums = rows.mapInArrow(parts, f"place int, value {kind}").groupBy("place").agg(F.sum("value").alias("value"))
+    out = np.zeros(size, np.int64 if kind == "long" else float)
+    for row in sums.collect():
+        out[row["place"]] = row["value"]
+    return out
+
+
 # What a Python worker is handed at once: it holds a batch several times over.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 

@@ -58,11 +58,16 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs without white space (0x20, 0x09 to 0x0D)."""
+# Bytes that end a term: what is neither an ASCII letter or digit nor beyond ASCII.
+NO_TERM = np.zeros(256, dtype=bool)
+NO_TERM[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
+
+
+def word_spans(data: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs without white space (0x20, 0x09 to 0x0D), or without other `gaps`."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    gap = SPACE[data]
+    gap = gaps[data]
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     edges = np.concatenate(([0], edge, [len(data)]))
     first = int(gap[0])
@@ -82,7 +87,7 @@ def batches_of_texts(texts: list[bytes], limit: int = 1 << 20):
         yield begin, len(texts)
 
 
-def hashed_words(texts: list[bytes], fold_case: bool, lengths: bool = False):
+def hashed_words(texts: list[bytes], fold_case: bool, lengths: bool = False, gaps: np.ndarray = SPACE):
     """Word hashes of each text, in order: yields (index of the text, its hashes).
 
     With `lengths` the bytes of each word come as a third value.
@@ -94,7 +99,7 @@ def hashed_words(texts: list[bytes], fold_case: bool, lengths: bool = False):
         if fold_case:
             joined = LOWER[joined]
         sums = prefix_hash(joined)
-        starts, ends = word_spans(joined)
+        starts, ends = word_spans(joined, gaps)
         hashes = span_hashes(sums, starts, ends)
         sizes = np.fromiter((len(t) for t in texts[begin:end]), np.int64, end - begin)
         offsets = np.concatenate(([0], np.cumsum(sizes + 1)))
