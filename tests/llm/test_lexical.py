@@ -59,7 +59,7 @@ def corpus(size):
     return docs, [(i, " ".join(random.choices(words, k=random.choice([1, 5, 40])))) for i in range(25)]
 
 
-@pytest.mark.parametrize("block, short, docs_in_segment", [(64, 8, 8192), (4, 1, 60), (2, 0, 25)])
+@pytest.mark.parametrize("block, short, docs_in_segment", [(256, 128, 4096), (4, 1, 60), (2, 0, 25)])
 def test_against_plain_loops(spark, monkeypatch, block, short, docs_in_segment):
     """Many small segments, so that thresholds come from some of them."""
     monkeypatch.setattr(lexical, "BLOCK", block)
@@ -91,8 +91,10 @@ def test_empty_tables(spark):
     check(spark, [(1, None)], [(1, "a")], 3)
 
 
-def test_summaries_bound_and_skip():
+def test_summaries_bound_and_skip(monkeypatch):
     """No summary is below a score, and most blocks that cannot matter are not scored."""
+    monkeypatch.setattr(lexical, "BLOCK", 64)
+    monkeypatch.setattr(lexical, "SHORT", 8)
     rng = np.random.default_rng(5)
     sizes = rng.integers(5, 40, 2000)
     topics = np.sort(rng.integers(0, 20, 2000))
@@ -101,6 +103,8 @@ def test_summaries_bound_and_skip():
     flat = np.concatenate(rows)
     impacts = rng.integers(1, 999_999, len(flat))
     own = lexical.Segment.build(list(range(2000)), ends, flat, impacts)
+    # As it comes back from its stored form.
+    own = lexical.Segment.read(own.row(0).to_pylist()[0])
     scored = 0
     for _ in range(50):
         topic = int(rng.integers(0, 20))

@@ -38,10 +38,10 @@ from tributary.llm.text import BASE, NO_TERM, hashed_words, mix
 WAVE_BYTES = 8 << 20
 PIVOTS = 64
 SIDES = 128  # length of the vectors that are compared with pivots
-SEGMENT_DOCS, SEGMENT_ENTRIES = 8192, 1 << 20
-BLOCK = 64
+SEGMENT_DOCS, SEGMENT_ENTRIES = 4096, 1 << 19
+BLOCK = 256
 # Lists of so few documents are scored without asking a summary.
-SHORT = 8
+SHORT = 128
 SEEDS = 16
 # A summary's unit: 255 of them cover the largest impact.
 STEP = 3922
@@ -61,6 +61,30 @@ def ragged(ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(starts - begins[:-1], sizes) + np.arange(begins[-1]), begins[:-1]
 
 
+def packed(values: np.ndarray) -> bytes:
+    """An array in the smallest type that holds it; the first byte is the size of the type."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return bytes([kind.itemsize]) + values.astype(kind).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+
+
+def gaps(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Rising rows of a ragged array as differences; the first of a row is kept."""
+    out = np.diff(values, prepend=0)
+    first = np.concatenate(([0], ends[:-1]))[np.diff(ends, prepend=0) > 0]
+    out[first] = values[first]
+    return out
+
+
+def from_gaps(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    sums = np.concatenate(([0], np.cumsum(values)))
+    starts = np.concatenate(([0], ends[:-1]))
+    return sums[1:] - np.repeat(sums[starts], ends - starts)
+
+
 @dataclass
 class Wave:
     """The items that are searched together: the sorted hashes of their terms, and each item's terms by number."""
@@ -223,8 +247,6 @@ class Segment:
         # Blocks of a list follow each other.
         self.first_block = np.searchsorted(block_lists, np.arange(len(lists) + 1))
 
-    KINDS = (np.int32, np.int32, np.int32, np.int32, np.int32, np.int32, np.int32, np.int32, np.int32, np.int64, np.int32, np.uint8)
-
     @classmethod
     def build(cls, docs: list, ends: np.ndarray, terms: np.ndarray, impacts: np.ndarray) -> Segment:
         doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
@@ -246,29 +268,29 @@ class Segment:
             # The last and so the largest value of a term stays.
             top[spots[rising]] = values[rising]
             found = np.flatnonzero(top)
-            own_terms.append(found.astype(np.int32))
+            own_terms.append(found)
             own_tops.append(top[found])
             summary_sizes[b] = len(found)
             top[found] = 0
-        joined = np.concatenate(own_terms) if own_terms else np.zeros(0, np.int32)
+        joined = np.concatenate(own_terms) if own_terms else np.zeros(0, np.int64)
         tops = np.concatenate(own_tops) if own_tops else np.zeros(0, np.uint8)
         return cls(docs, ends, terms, impacts, lists, list_ends, places, block_lists, starts, stops, np.cumsum(summary_sizes), joined, tops)
 
     def arrays(self) -> list[np.ndarray]:
         return [
             self.ends, self.terms, self.impacts, self.lists, self.list_ends, self.places, self.block_lists,
-            self.block_starts, self.block_ends, self.summary_ends, self.summary_terms, self.summary_tops,
+            self.block_starts, self.block_ends, self.summary_ends, gaps(self.summary_terms, self.summary_ends), self.summary_tops,
         ]
 
     def row(self, pick: int) -> pa.RecordBatch:
         columns = [pa.array([pick], pa.int32()), pa.array([self.docs], pa.list_(pa.int64()))]
-        columns += [pa.array([a.astype(k).tobytes()], pa.binary()) for a, k in zip(self.arrays(), self.KINDS)]
+        columns += [pa.array([packed(a)], pa.binary()) for a in self.arrays()]
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SEGMENT.split(", ")])
 
     @classmethod
     def read(cls, row: dict) -> Segment:
-        names = [c.split()[0] for c in SEGMENT.split(", ")][2:]
-        return cls(row["docs"], *(np.frombuffer(row[c], k) for c, k in zip(names, cls.KINDS)))
+        arrays = [unpacked(row[c.split()[0]]) for c in SEGMENT.split(", ")[2:]]
+        return cls(row["docs"], *arrays[:-2], from_gaps(arrays[-2], arrays[-3]), arrays[-1])
 
     def scores(self, places: np.ndarray, weight: np.ndarray) -> np.ndarray:
         at, begins = ragged(self.ends, places)
@@ -280,7 +302,7 @@ class Segment:
         told = np.flatnonzero(self.sizes[self.block_lists[blocks]] > SHORT)
         if len(told):
             at, begins = ragged(self.summary_ends, blocks[told])
-            out[told] = np.add.reduceat(weight[self.summary_terms[at]] * self.summary_tops[at], begins) * STEP
+            out[told] = np.add.reduceat(weight[self.summary_terms[at]] * self.summary_tops[at].astype(np.int64), begins) * STEP
         return out
 
     def members(self, blocks: np.ndarray, seen: np.ndarray) -> np.ndarray:
