@@ -59,7 +59,7 @@ def corpus(size):
     return docs, [(i, " ".join(random.choices(words, k=random.choice([1, 5, 40])))) for i in range(25)]
 
 
-@pytest.mark.parametrize("block, short, docs_in_segment", [(256, 128, 4096), (4, 1, 60), (2, 0, 25)])
+@pytest.mark.parametrize("block, short, docs_in_segment", [(256, 64, 2048), (4, 1, 60), (2, 0, 25)])
 def test_against_plain_loops(spark, monkeypatch, block, short, docs_in_segment):
     """Many small segments, so that thresholds come from some of them."""
     monkeypatch.setattr(lexical, "BLOCK", block)

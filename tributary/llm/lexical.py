@@ -38,10 +38,10 @@ from tributary.llm.text import BASE, NO_TERM, hashed_words, mix
 WAVE_BYTES = 8 << 20
 PIVOTS = 64
 SIDES = 128  # length of the vectors that are compared with pivots
-SEGMENT_DOCS, SEGMENT_ENTRIES = 4096, 1 << 19
+SEGMENT_DOCS, SEGMENT_ENTRIES = 2048, 1 << 18
 BLOCK = 256
 # Lists of so few documents are scored without asking a summary.
-SHORT = 128
+SHORT = 64
 SEEDS = 16
 # A summary's unit: 255 of them cover the largest impact.
 STEP = 3922
@@ -68,7 +68,8 @@ def packed(values: np.ndarray) -> bytes:
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+    found = np.frombuffer(data, f"u{data[0]}", offset=1)
+    return found if data[0] == 1 else found.astype(np.int32 if data[0] < 8 else np.int64)
 
 
 def gaps(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -80,9 +81,10 @@ def gaps(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def from_gaps(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    sums = np.concatenate(([0], np.cumsum(values)))
+    sums = np.cumsum(values, dtype=np.int64)
     starts = np.concatenate(([0], ends[:-1]))
-    return sums[1:] - np.repeat(sums[starts], ends - starts)
+    before = np.where(starts > 0, sums[starts - 1], 0) if len(sums) else starts
+    return (sums - np.repeat(before, ends - starts)).astype(np.int32)
 
 
 @dataclass
@@ -268,11 +270,11 @@ class Segment:
             # The last and so the largest value of a term stays.
             top[spots[rising]] = values[rising]
             found = np.flatnonzero(top)
-            own_terms.append(found)
+            own_terms.append(found.astype(np.int32))
             own_tops.append(top[found])
             summary_sizes[b] = len(found)
             top[found] = 0
-        joined = np.concatenate(own_terms) if own_terms else np.zeros(0, np.int64)
+        joined = np.concatenate(own_terms) if own_terms else np.zeros(0, np.int32)
         tops = np.concatenate(own_tops) if own_tops else np.zeros(0, np.uint8)
         return cls(docs, ends, terms, impacts, lists, list_ends, places, block_lists, starts, stops, np.cumsum(summary_sizes), joined, tops)
 
@@ -290,7 +292,9 @@ class Segment:
     @classmethod
     def read(cls, row: dict) -> Segment:
         arrays = [unpacked(row[c.split()[0]]) for c in SEGMENT.split(", ")[2:]]
-        return cls(row["docs"], *arrays[:-2], from_gaps(arrays[-2], arrays[-3]), arrays[-1])
+        # Small numbers are read as they are; places and sizes are counted with.
+        whole = [a.astype(np.int64) if a.dtype == np.uint8 else a for a in arrays[:-2]]
+        return cls(row["docs"], *whole, from_gaps(arrays[-2], whole[-1]), arrays[-1])
 
     def scores(self, places: np.ndarray, weight: np.ndarray) -> np.ndarray:
         at, begins = ragged(self.ends, places)
@@ -408,8 +412,8 @@ def searched(index: DataFrame, wave: Wave, weights: np.ndarray, k: int, least: n
     def search(batches) -> Iterator[pa.RecordBatch]:
         terms, weights, least = shared.value
         for batch in batches:
-            for row in batch.to_pylist():
-                own = Segment.read(row)
+            for i in range(batch.num_rows):
+                own = Segment.read(batch.slice(i, 1).to_pylist()[0])
                 weight = np.zeros(len(weights), np.int64)
                 queries, docs, scores = [], [], []
                 for q, known in enumerate(terms):
