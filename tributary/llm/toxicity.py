@@ -128,7 +128,8 @@ def mined(docs: DataFrame, known: DataFrame, size: int) -> np.ndarray:
     classes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(classes) < 2:
         return np.zeros(0, np.uint64)
-    rows = likely_in(docs.filter("doc_id IS NOT NULL AND text IS NOT NULL"), known).join(known, "doc_id")
+    # Labels grow with the documents, so both sides are shuffled at every size.
+    rows = likely_in(docs.filter("doc_id IS NOT NULL AND text IS NOT NULL"), known).join(known.hint("merge"), "doc_id")
     toxic, clean = F.col("toxic"), F.col("clean")
 
     def log_odds(count: F.Column, total: int) -> F.Column:
