@@ -12,6 +12,7 @@ from small import by, rows
 from tributary.plans import marts_exact, quality_reports, silver
 from tributary.schemas import INGESTED_AT, RAW, RESCUED, SOURCE_FILE, columns
 from tributary.sources import landing
+from tributary.sources.tables import Lake
 from tributary.streaming import bronze, entities, events, refresh
 
 CSV = {
@@ -100,6 +101,63 @@ def test_columns_are_found_by_name(lake, spark, landed):
     assert by(lake.read("bronze", "clients"), "client_uid")["CL_4"][RESCUED] == '{"x":"1"}'
 
 
+def test_headers_of_odd_files(spark, lake, landed):
+    """Blank lines before a header, a file of its header alone, an empty one, quoted names and a repeated header."""
+    drop_file(landed, "clients", ["", " ", '"company_name",client_uid,"a ""b"", c"', "Dot,CL_5,7", "", '"company_name",client_uid,"a ""b"", c"', "Eel,CL_6,"], "d.csv")
+    drop_file(landed, "clients", ["client_uid,company_name"], "e.csv")
+    (landed / "clients" / "f.csv").write_bytes(b"")
+    bronze.ingest(lake, ["clients"], str(landed))
+    for rows in (landing.read_batch(spark, "clients", str(landed)), lake.read("bronze", "clients")):
+        got = by(rows, "client_uid")
+        assert sorted(got) == ["CL_1", "CL_5", "CL_6"] and rows.count() == 3
+        assert got["CL_5"]["company_name"] == "Dot" and got["CL_5"][RESCUED] == '{"a \\"b\\", c":"7"}'
+        assert got["CL_6"][RESCUED] is None
+
+
+def test_jobs_do_not_grow_with_files(lake, spark, landed):
+    """Two thousand files, in any of three column orders, take as many jobs as twenty."""
+    orders = ["client_uid,company_name,country", "company_name,client_uid,country", "extra,country,client_uid"]
+
+    def jobs(folder: str, files: int) -> int:
+        for i in range(files):
+            values = {"client_uid": f"CL_{i}", "company_name": f"c{i}", "country": "US", "extra": str(i)}
+            order = orders[i % 3]
+            drop_file(landed / folder, "clients", [order, ",".join(values[c] for c in order.split(","))], f"{i}.csv")
+        own = Lake(spark, f"{lake.root}/{folder}")
+        query = bronze.start(own, "clients", str(landed / folder))
+        query.awaitTermination()
+        rows = own.read("bronze", "clients")
+        assert rows.select("client_uid").distinct().count() == rows.count() == files
+        assert rows.filter("country = 'US'").count() == files
+        assert rows.filter(f"{RESCUED} IS NOT NULL").count() == files // 3
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(query.runId))
+
+    few, many = jobs("few", 21), jobs("many", 2001)
+    assert many <= few + 2
+
+
+def test_files_that_arrive_later_need_no_restart(lake, landed):
+    query = bronze.start(lake, "clients", str(landed), every="100 milliseconds")
+    try:
+        query.processAllAvailable()
+        drop_file(landed, "clients", ["country,client_uid,new", "FR,CL_8,1"], "late.csv")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = by(lake.read("bronze", "clients"), "client_uid")
+    assert sorted(got) == ["CL_1", "CL_8"] and got["CL_8"]["country"] == "FR" and got["CL_8"][RESCUED] == '{"new":"1"}'
+
+
+def test_a_repeated_batch_is_not_written_again(lake, spark, landed):
+    """A crash after the rows were committed and before the stream noted it."""
+    bronze.ingest(lake, ["clients"], str(landed))
+    before = sorted(lake.read("bronze", "clients").inputFiles())
+    for noted in Path(lake.checkpoint("bronze_clients"), "commits").iterdir():
+        noted.unlink()
+    bronze.ingest(lake, ["clients"], str(landed))
+    assert sorted(lake.read("bronze", "clients").inputFiles()) == before and len(before) > 0
+
+
 def test_inferred_schema_is_kept(lake, spark, landed):
     first = bronze.kept_schema(lake, "freelancers", str(landed))
     bronze.start(lake, "freelancers", str(landed), schema=first).awaitTermination()
@@ -189,7 +247,8 @@ def test_repeats_are_dropped_whatever_the_batches(lake, spark, landed, files_per
         moved = [re.sub(r"2023-\d\d-\d\d", f"2023-07-{day:02}", row.replace("c1", f"d{n}").replace("c2", f"e{n}")) for row in known]
         drop_file(landed, "click_events", [header, *moved], f"day{n}.csv")
         drop_file(landed, "click_events", [header, *moved], f"again{n}.csv")
-    stream = landing.read_stream(spark, "click_events", str(landed), files_per_batch=files_per_batch)
+    bronze.ingest(lake, ["click_events"], str(landed), files_per_batch)
+    stream = bronze.new_rows(lake, "click_events", files_per_batch)
     out = lake.path("silver", "unique")
     unique = events.without_repeats(stream.filter("event_id IS NOT NULL"), "event_id").writeStream.format("parquet")
     unique.option("checkpointLocation", lake.checkpoint("u")).trigger(availableNow=True).start(out).awaitTermination()

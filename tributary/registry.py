@@ -327,7 +327,8 @@ def _streamed_click_dedup(m: Market) -> DataFrame:
     root = lake.path("raw", "landing")
     for _ in range(2):
         landing.write_landing(m.raw.click_events, "click_events", root, files=6)
-    clicks = landing.read_stream(m.spark, "click_events", root, files_per_batch=3).drop(SOURCE_FILE, INGESTED_AT, RESCUED)
+    bronze.ingest(lake, ["click_events"], root, files_per_batch=3)
+    clicks = bronze.new_rows(lake, "click_events").drop(SOURCE_FILE, INGESTED_AT, RESCUED)
     unique = events.without_repeats(clicks.filter("event_id IS NOT NULL"), "event_id")
     target = lake.path("silver", "unique_clicks")
     (

@@ -1,33 +1,33 @@
 """The CSV landing zone: one sub-folder per dataset, new files added over time.
 
-Every file names its columns in its first line, in any order. Values are read as text,
-found by the names in their file's header, and converted here. What does not fit is kept in
+Every file names its columns in its first line, in any order. Headers are data: files are read as
+lines, the first line of each is found where the file begins, and rows are joined to the header of their file, all of
+it by the executors, so a file may arrive at any time and no job is run for a single file.
+Values are found by the names in the header and converted here. What does not fit is kept in
 `_rescued_data` as JSON: values of the wrong type, columns that are not declared, and,
-under `_line`, the whole line of a row with more or fewer fields than its header.
+under `_line`, the whole line of a row with more or fewer fields than its header. Blank lines are no rows, and
+neither is a line that repeats its file's header, as in files that were joined.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructType
 
+from tributary.operators.rollup import tally
 from tributary.schemas import INGESTED_AT, RAW, RESCUED, SOURCE_FILE
 
 DEFAULT_ROOT = "/data/landing"
 ROOT_SETTING = "raw_data_path"
 _LINE = "_line"
-HEADERS = StructType([StructField("file", StringType()), StructField("header", ArrayType(StringType()))])
+_START = "_start"
+_BROKEN = "_broken"
 
 # Files a stream takes in per micro-batch; a backlog is worked off in several.
 FILES_PER_BATCH = 10_000
-# Headers that are read at the same time.
-HEADER_READERS = 8
+# A comma outside of quotes: an even number of quotes follows.
+_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def landing_root(spark: SparkSession, root: str | None = None) -> str:
@@ -35,41 +35,33 @@ def landing_root(spark: SparkSession, root: str | None = None) -> str:
     return root or spark.conf.get(ROOT_SETTING, DEFAULT_ROOT)
 
 
-def files_of(spark: SparkSession, name: str, root: str | None = None) -> list[str]:
-    """The files of a dataset as they are now."""
-    return spark.read.text(f"{landing_root(spark, root)}/{name}").inputFiles()
-
-
-def read_headers(spark: SparkSession, files: Iterable[str]) -> list[tuple[str, list[str]]]:
-    """Column names of files; only the first line of each is read."""
-
-    def header(file: str) -> tuple[str, list[str]]:
-        # Listed files are written as URLs; a path that is read may hold patterns.
-        path = re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
-        return file, spark.read.option("header", True).csv(path).columns
+def lines_of(reader, folder: str) -> DataFrame:
+    """Lines of text files, with their file and where in it their block begins. For a batch or a stream reader."""
+    return (
+        reader.text(folder)
+        .withColumns({SOURCE_FILE: F.col("_metadata.file_path"), _START: F.col("_metadata.file_block_start")})
+        .withColumnRenamed("value", _LINE)
+        .filter(F.trim(_LINE) != "")
+    )
 
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        return list(pool.map(header, files))
 
+def headers_of(lines: DataFrame) -> DataFrame:
+    """One row per file: its first line and the column names in it.
 
-def _plain_path(path: Column) -> Column:
-    """One way to write a path without a host: `file:/a`, not `file:///a`."""
-    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+    A file's first line is the first of the block at its beginning; blocks are read in order.
+    """
+    begun = lines.filter(F.col(_START) == 0).withColumn("_place", F.monotonically_increasing_id())
+    first = tally(begun, SOURCE_FILE, _first=F.min_by(_LINE, "_place"))
 
+    def unquoted(name: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(name, '^"(.*)"$', "$1"), '""', '"')
 
-def headers_frame(spark: SparkSession, headers: list[tuple[str, list[str]]]) -> DataFrame:
-    return spark.createDataFrame(headers, HEADERS)
+    return first.withColumn("_header", F.transform(F.split("_first", _COMMA, -1), unquoted))
 
 
-def _options(reader, fields: int):
-    places = [StructField(f"_c{i}", StringType()) for i in range(fields)]
-    return (
-        reader.schema(StructType([*places, StructField(_LINE, StringType())]))
-        .option("header", True)
-        .option("nullValue", "")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _LINE)
-    )
+def widest(headers: DataFrame) -> int:
+    """Fields of the widest header."""
+    return headers.agg(F.coalesce(F.max(F.size("_header")), F.lit(0))).first()[0]
 
 
 def _fields_in(line: Column) -> Column:
@@ -77,26 +69,27 @@ def _fields_in(line: Column) -> Column:
     return F.size(F.split(F.regexp_replace(line, '"([^"]|"")*"', "q"), ","))
 
 
-def _convert(text: DataFrame, headers: DataFrame, fields: int, schema: StructType) -> DataFrame:
-    """Rows of text fields to declared columns, by the names in the header of each row's file.
+def converted(lines: DataFrame, headers: DataFrame, schema: StructType) -> DataFrame:
+    """Lines as rows of declared columns, by the names in the header of each line's file.
 
-    There is one row per file in `headers`; a file without one stops the query, it is found
-    when the query is started again.
+    The headers are one row per file, far fewer than lines: they are looked up by file,
+    and Spark sends them to all tasks if they are small.
     """
-    rows = text.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-    keyed = headers.select(_plain_path(F.col("file")).alias("_file"), "header")
-    rows = rows.withColumn("_file", _plain_path(F.col(SOURCE_FILE))).join(keyed, "_file", "left")
-    known = F.coalesce("_header", F.raise_error(F.concat(F.lit("no header is known of "), F.col(SOURCE_FILE))).cast("array<string>"))
-    rows = rows.withColumnRenamed("header", "_header").withColumn("_header", known)
-    values = F.array(*[F.col(f"_c{i}") for i in range(fields)])
-    # The reader marks every row that has not the number of fields of the widest header.
-    broken = F.when(_fields_in(F.col(_LINE)) != F.size("_header"), F.col(_LINE))
-    rows = rows.withColumns({"_values": values, _LINE: broken})
-
-    def named(name: str) -> Column:
-        return F.try_element_at("_values", F.nullif(F.array_position("_header", name), F.lit(0)).cast("int"))
-
-    rows = rows.withColumns({f.name: named(f.name) for f in schema.fields})
+    fields = max(1, widest(headers))
+    names = [f.name for f in schema.fields]
+    # Where the declared columns are is settled per file, not per row.
+    places = F.array(*[F.nullif(F.array_position("_header", n), F.lit(0)).cast("int") for n in names])
+    looked_up = headers.withColumn("_places", places)
+    rows = lines.join(looked_up, SOURCE_FILE).filter(F.col(_LINE) != F.col("_first"))
+    text = ", ".join(f"_c{i} string" for i in range(fields))
+    options = {"nullValue": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    rows = rows.withColumn("_parsed", F.from_csv(_LINE, f"{text}, {_BROKEN} string", options))
+    values = F.array(*[F.col(f"_parsed._c{i}") for i in range(fields)])
+    # The parser marks every line that has not the number of fields of the widest header.
+    broken = F.when(_fields_in(F.col(f"_parsed.{_BROKEN}")) != F.size("_header"), F.col(_LINE))
+    rows = rows.select("_header", "_places", SOURCE_FILE, values.alias("_values"), broken.alias(_LINE))
+    found = {n: F.try_element_at("_values", F.col("_places")[i]) for i, n in enumerate(names)}
+    rows = rows.select("_header", "_values", SOURCE_FILE, _LINE, *[c.alias(n) for n, c in found.items()])
     # Of the values that do not fit and of the columns nobody declared, those that say something.
     wrong = [
         F.struct(F.lit(f.name).alias("key"), F.when(F.col(f.name).try_cast(f.dataType).isNull(), F.col(f.name)).alias("value"))
@@ -104,10 +97,10 @@ def _convert(text: DataFrame, headers: DataFrame, fields: int, schema: StructTyp
         if not isinstance(f.dataType, StringType)
     ]
     pairs = F.arrays_zip(F.col("_header").alias("key"), F.slice("_values", F.lit(1), F.size("_header")).alias("value"))
-    unknown = F.filter(pairs, lambda p: ~p["key"].isin([f.name for f in schema.fields]))
+    unknown = F.filter(pairs, lambda p: ~p["key"].isin(names))
     line = F.array(F.struct(F.lit(_LINE).alias("key"), F.col(_LINE).alias("value")))
-    found = F.filter(F.concat(F.array(*wrong) if wrong else line, unknown, line), lambda p: p["value"].isNotNull())
-    rescued = F.when(F.size(found) > 0, F.to_json(F.map_from_entries(F.array_distinct(found))))
+    kept = F.filter(F.concat(F.array(*wrong) if wrong else line, unknown, line), lambda p: p["value"].isNotNull())
+    rescued = F.when(F.size(kept) > 0, F.to_json(F.map_from_entries(F.array_distinct(kept))))
     return rows.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields],
         rescued.alias(RESCUED),
@@ -116,38 +109,19 @@ def _convert(text: DataFrame, headers: DataFrame, fields: int, schema: StructTyp
     )
 
 
-def _widest(headers: list[tuple[str, list[str]]], schema: StructType) -> int:
-    return max([len(schema.fields), *(len(h) for _, h in headers)])
-
-
 def read_batch(spark: SparkSession, name: str, root: str | None = None, schema: StructType | None = None) -> DataFrame:
     """All files of a dataset as they are now."""
-    schema = schema or RAW[name]
-    headers = read_headers(spark, files_of(spark, name, root))
-    fields = _widest(headers, schema)
-    text = _options(spark.read, fields).csv(f"{landing_root(spark, root)}/{name}")
-    return _convert(text, headers_frame(spark, headers), fields, schema)
-
-
-def read_stream(
-    spark: SparkSession,
-    name: str,
-    root: str | None = None,
-    schema: StructType | None = None,
-    files_per_batch: int = FILES_PER_BATCH,
-    headers: list[tuple[str, list[str]]] | None = None,
-) -> DataFrame:
-    """The files of a dataset as a stream; the checkpoint of the query knows which are done.
-
-    `headers` are those of the files that are not done yet; without it, of all files.
+    lines = lines_of(spark.read, f"{landing_root(spark, root)}/{name}")
+    return converted(lines, headers_of(lines), schema or RAW[name])
+
+
+def stream_lines(spark: SparkSession, name: str, root: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """The lines of a dataset's files as a stream; the checkpoint of the query knows which files are done.
+
+    A file is never split between micro-batches, so each batch holds the headers of its lines.
     """
-    schema = schema or RAW[name]
-    if headers is None:
-        headers = read_headers(spark, files_of(spark, name, root))
-    fields = _widest(headers, schema)
-    reader = _options(spark.readStream, fields).option("maxFilesPerTrigger", files_per_batch)
-    text = reader.csv(f"{landing_root(spark, root)}/{name}")
-    return _convert(text, headers_frame(spark, headers), fields, schema)
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return lines_of(reader, f"{landing_root(spark, root)}/{name}")
 
 
 def infer_schema(spark: SparkSession, name: str, root: str | None = None, files: str = "*") -> StructType:

@@ -8,6 +8,9 @@ from pyspark.sql.types import StructType
 from tributary.schemas import LAYERS
 
 
+# Tables that streams write are partitioned by the number of the micro-batch.
+BATCH = "batch_id"
+
 # Files of an upstream table that a stream takes in per micro-batch.
 FILES_PER_BATCH = 5_000
 
@@ -31,9 +34,24 @@ class Lake:
     def event_log(self) -> str:
         return f"{self.root}/event_log"
 
+    def _folder(self, path: str):
+        """A folder and its file system."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def make(self, path: str) -> None:
+        """See that a folder is there, so that it can be read as a stream before anything was written."""
+        folder, system = self._folder(path)
+        system.mkdirs(folder)
+
+    def complete(self, path: str) -> bool:
+        """Whether a write to this folder was committed."""
+        folder, system = self._folder(f"{path}/_SUCCESS")
+        return system.exists(folder)
+
     def read(self, layer: str, table: str) -> DataFrame:
-        """Snapshot of a table."""
-        return self.spark.read.parquet(self.path(layer, table))
+        """Snapshot of a table, without the numbers of the batches that wrote it."""
+        return self.spark.read.parquet(self.path(layer, table)).drop(BATCH)
 
     def stream(self, layer: str, table: str, schema: StructType, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
         """New rows of an append-only table; a backlog is worked off in several batches."""

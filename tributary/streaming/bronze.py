@@ -9,8 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType, TimestampType
 
 from tributary.schemas import INGESTED_AT, RAW, RESCUED, SOURCE_FILE
-from tributary.sources.landing import FILES_PER_BATCH, files_of, headers_frame, infer_schema, read_headers, read_stream
-from tributary.sources.tables import Lake
+from tributary.sources.landing import FILES_PER_BATCH, converted, headers_of, infer_schema, stream_lines
+from tributary.sources.tables import BATCH, Lake
+from tributary.sources.tables import FILES_PER_BATCH as TABLE_FILES
 
 
 def bronze_schema(name: str) -> StructType:
@@ -28,17 +29,6 @@ def _stored(lake: Lake, path: str, schema: str) -> DataFrame:
     return lake.spark.read.schema(schema).parquet(path)
 
 
-def new_headers(lake: Lake, name: str, root: str | None = None) -> list[tuple[str, list[str]]]:
-    """Headers of the files that no earlier run finished; only files never seen are opened."""
-    folder = f"{lake.checkpoint(f'headers_{name}')}"
-    known = {r["file"]: r["header"] for r in _stored(lake, folder, "file string, header array<string>").collect()}
-    files = files_of(lake.spark, name, root)
-    found = read_headers(lake.spark, [f for f in files if f not in known])
-    if found:
-        headers_frame(lake.spark, found).coalesce(1).write.mode("append").parquet(folder)
-    return [*((f, known[f]) for f in files if f in known), *found]
-
-
 def kept_schema(lake: Lake, name: str, root: str | None = None, files: str = "*") -> StructType:
     """The schema inferred from the first files of a dataset, the same in every later run."""
     folder = lake.checkpoint(f"schema_{name}")
@@ -56,18 +46,30 @@ def start(
     root: str | None = None,
     files_per_batch: int = FILES_PER_BATCH,
     schema: StructType | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Start taking in the files that are new since the last run."""
-    headers = new_headers(lake, name, root)
-    rows = read_stream(lake.spark, name, root, schema, files_per_batch, headers)
-    return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
+    """Start taking in the files that are new since the last run; with `every` go on and look again so often.
+
+    A micro-batch stores the headers of its files, then its rows, each in a partition of its number. A batch that was
+    committed is not written again when the stream repeats it, so readers of the table see its files once.
+    """
+
+    def store(lines: DataFrame, batch: int) -> None:
+        rows, headers = f"{lake.path('bronze', name)}/{BATCH}={batch}", f"{lake.checkpoint(f'headers_{name}')}/{BATCH}={batch}"
+        if lake.complete(rows):
+            return
+        headers_of(lines).write.mode("overwrite").parquet(headers)
+        found = lines.sparkSession.read.parquet(headers)
+        converted(lines, found, schema or RAW[name]).write.mode("overwrite").parquet(rows)
+
+    lake.make(lake.path("bronze", name))
+    stream = (
+        stream_lines(lake.spark, name, root, files_per_batch)
+        .writeStream.foreachBatch(store)
         .queryName(f"bronze_{name}_{id(lake)}")
         .option("checkpointLocation", lake.checkpoint(f"bronze_{name}"))
-        .trigger(availableNow=True)
-        .start(lake.path("bronze", name))
     )
+    return (stream.trigger(processingTime=every) if every else stream.trigger(availableNow=True)).start()
 
 
 def ingest(lake: Lake, names: list[str], root: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> None:
@@ -76,6 +78,6 @@ def ingest(lake: Lake, names: list[str], root: str | None = None, files_per_batc
         query.awaitTermination()
 
 
-def new_rows(lake: Lake, name: str) -> DataFrame:
+def new_rows(lake: Lake, name: str, files_per_batch: int = TABLE_FILES) -> DataFrame:
     """A bronze table as a stream."""
-    return lake.stream("bronze", name, bronze_schema(name))
+    return lake.stream("bronze", name, bronze_schema(name), files_per_batch).drop(BATCH)

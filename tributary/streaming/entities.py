@@ -16,10 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tributary.operators.keyed import latest_per_key
 from tributary.plans import silver
 from tributary.schemas import INGESTED_AT, SOURCE_FILE
-from tributary.sources.tables import Lake
+from tributary.sources.tables import BATCH, Lake
 from tributary.streaming import bronze
 
-BATCH = "batch_id"
 
 
 class CurrentState:

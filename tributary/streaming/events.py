@@ -17,10 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tributary.operators.event_log import progress_record
 from tributary.operators.expectations import Rule, enforce
 from tributary.plans import silver
-from tributary.sources.tables import Lake
+from tributary.sources.tables import BATCH, Lake
 from tributary.streaming import bronze
 
-BATCH = "batch_id"
 LOG_SCHEMA = (
     "timestamp timestamp, event_type string, origin struct<flow_name:string>, details string, "
     "flow string, batch_id bigint"
@@ -82,8 +81,8 @@ def start_quarantine(lake: Lake) -> StreamingQuery:
 
 
 def read_events(lake: Lake, name: str) -> DataFrame:
-    """A silver event table without the batch column."""
-    return lake.read("silver", name).drop(BATCH)
+    """A silver event table."""
+    return lake.read("silver", name)
 
 
 def without_repeats(events: DataFrame, key: str) -> DataFrame:
