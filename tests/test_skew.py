@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from small import click, rows, search, shown, tables
 
-from tributary.operators.quantiles import weighted_quantiles
+from tributary import registry
+from tributary.operators.quantiles import band_of, weighted_quantiles
 from tributary.plans import marts_exact, star
 from tributary.plans.marts_funnel import Funnel, funnel_fact
 from tributary.plans.silver import SilverTables
@@ -141,3 +143,35 @@ def test_quantiles_over_bands_are_exact(spark, ranges, seed):
     assert set(found) == set(expected)
     for group, values in expected.items():
         assert found[group] == pytest.approx(values, rel=1e-12)
+
+
+def test_quantiles_of_odd_values(spark):
+    """Negative, tiny, huge, infinite and undefined values, ties, NULL groups, weights of nothing, an empty table."""
+    inf, nan = float("inf"), float("nan")
+    values = [-inf, -1e300, -3.5, -3.5, -1e-9, 0.0, 1e-9, 2.0, 2.0000001, 1e6, 1e6 + 0.25, 1e300, inf, nan]
+    data = [(g, v, w) for g in (None, "a") for v, w in zip(values, (1, 2, 3, 1, 0, 4, 1, 1, 2, 5, 1, 1, 2, 1))]
+    data += [("one", 7.0, 3), ("none", 7.0, 0), ("null", None, 2)]
+    df = spark.createDataFrame(data, "g string, v double, w long")
+    # 25 values: these ranks are whole.
+    points = [0.125, 0.25, 0.5, 0.75]
+    flat = sorted((v for g, v, w in data if g == "a" for _ in range(w)), key=lambda v: (v != v, v))
+    got = {r["g"]: r["q"] for r in weighted_quantiles(df, "g", "v", F.col("w"), points, "q").collect()}
+    assert set(got) == {None, "a", "one"} and got["one"] == [7.0] * 4
+    assert got["a"] == got[None] == [flat[int(p * 24)] for p in points]
+    assert weighted_quantiles(df.limit(0), "g", "v", F.col("w"), points, "q").count() == 0
+
+
+def test_bands_rise_with_values(spark):
+    values = sorted({s * b * 2.0**e for s in (-1, 1) for e in range(-40, 60, 7) for b in (1, 1.0000001, 1.5, 1.9999999)} | {0.0})
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    bands = [r["b"] for r in df.select("i", band_of(F.col("v")).alias("b")).orderBy("i").collect()]
+    assert bands == sorted(bands) and len(set(bands)) > 60
+
+
+def test_marts_with_quartiles_read_events_once(spark):
+    """The plans over the stored roll-up: few shuffles, and no event is scanned for counts and quartiles again."""
+    folder = "/root/testdata/sf0.001"
+    for name, shuffles, scans in (("s_job_performance_ctr", 16, 1), ("s_job_click_engagement", 10, 0)):
+        plan = registry.queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"(?<!Reused)Exchange ", plan)) <= shuffles
+        assert len(re.findall(r"Scan parquet [^\n]*lineitem", plan)) <= scans

@@ -5,38 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.operators.keyed import join_grouped
 from tributary.operators.rollup import tally
 
+# Bands for each factor of e between values. More bands: fewer values in each, longer lists of bands.
+BANDS = 4096
+
+
+def band_of(value: Column) -> Column:
+    """The number of a value's band: bands rise with values, and one spans 0.02 % of a value (below 1: 0.0002).
+
+    Not a number is in the band of the largest values; in a band, rows are in Spark's order of values.
+    """
+    number = value.cast("double")
+    return F.when(F.isnan(number), F.lit(2**63 - 1)).otherwise(F.floor(F.signum(number) * F.log1p(F.abs(number)) * BANDS))
+
 
 def weighted_quantiles(df: DataFrame, by: str, value: str, weight: Column, probabilities: list[float], name: str) -> DataFrame:
     """Interpolated quantiles of `value` repeated `weight` times, as an array.
 
-    Equal values are added up before the shuffle, so a hot group is spread over its values.
-    Groups are cut into bands of values, none of which is larger than a shuffle partition:
-    Spark's range partitioning by group and value says where. The weights of the bands tell
-    in which of them each wanted rank lies, and only those bands are sorted, each on its
-    own. A small group is one band; there is one way for all sizes.
+    `df` is read twice; pass a stored table or one whose last shuffle is reused. Equal values are added up
+    before a shuffle, so a hot group is spread over its values. Values fall into bands by a fixed rule. The weights of
+    a group's bands, added up in order, tell in which of them each wanted rank lies; the second reading looks
+    into those bands alone and adds up their values in order. No group is ever in one task: only its
+    list of bands, whose length the range of values bounds, and the few bands that hold a rank.
     """
     counts = tally(df.filter(F.col(value).isNotNull()), [by, value], _weight=F.sum(weight)).filter("_weight > 0")
-    # The largest value of a group in each range; any such borders give the same quantiles.
-    ranges = tally(counts.repartitionByRange(by, value), [F.col(by), F.spark_partition_id().alias("_range")], _border=F.max(value))
-    borders = tally(ranges, by, _borders=F.sort_array(F.collect_list("_border")))
-    key = F.coalesce(F.col(by).cast("string"), F.lit("")).alias("_key")
-    # NULL groups join as well: the key is its text and whether it is NULL.
-    keyed = counts.select("*", key, F.col(by).isNull().alias("_null"))
-    borders = borders.select(key, F.col(by).isNull().alias("_null"), "_borders")
-    band = F.size(F.filter("_borders", lambda border: border < F.col(value)))
-    banded = join_grouped(keyed, borders, ["_key", "_null"], "inner").withColumn("_band", band).drop("_borders")
-
-    group = ["_key", "_null"]
-    bands = tally(banded, [*group, "_band"], _sum=F.sum("_weight"))
-    upto = Window.partitionBy(*group).orderBy("_band")
-    ranked = bands.withColumns(
-        {
-            "_before": F.sum("_sum").over(upto) - F.col("_sum"),
-            "_total": F.sum("_sum").over(Window.partitionBy(*group)),
-        }
+    counts = counts.withColumn("_band", band_of(F.col(value)))
+    group = Window.partitionBy(by)
+    ranked = tally(counts, [by, "_band"], _sum=F.sum("_weight")).withColumns(
+        {"_before": F.sum("_sum").over(group.orderBy("_band")) - F.col("_sum"), "_total": F.sum("_sum").over(group)}
     )
 
     def ranks(p: float) -> tuple[Column, Column]:
@@ -50,18 +47,19 @@ def weighted_quantiles(df: DataFrame, by: str, value: str, weight: Column, proba
     for p in probabilities:
         for rank in ranks(p):
             wanted = wanted | holds(rank, "_sum")
-    chosen = ranked.filter(wanted).drop("_sum")
+    chosen = ranked.filter(wanted).select(F.col(by).alias("_group"), F.col("_band").alias("_chosen"), "_before", "_total")
 
-    within = Window.partitionBy(*group, "_band").orderBy(value)
-    rows = banded.join(chosen, [*group, "_band"]).withColumn(
-        "_before", F.col("_before") + F.sum("_weight").over(within) - F.col("_weight")
-    )
+    same = F.col(by).eqNullSafe(F.col("_group")) & (F.col("_band") == F.col("_chosen"))
+    # One shuffle by group serves the sums in a band and the last step.
+    rows = counts.join(chosen, same).drop("_group", "_chosen").repartition(by)
+    within = Window.partitionBy(by, "_band").orderBy(value)
+    rows = rows.withColumn("_before", F.col("_before") + F.sum("_weight").over(within) - F.col("_weight"))
     picked = {}
     for i, p in enumerate(probabilities):
         low, high = ranks(p)
         picked[f"_low{i}"] = F.max(F.when(holds(low, "_weight"), F.col(value)))
         picked[f"_high{i}"] = F.max(F.when(holds(high, "_weight"), F.col(value)))
-    found = tally(rows, [*group, by], _total=F.max("_total"), **picked)
+    found = tally(rows, by, _total=F.max("_total"), **picked)
 
     def between(i: int, p: float) -> Column:
         exact = F.lit(p) * (F.col("_total") - 1)

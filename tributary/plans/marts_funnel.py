@@ -22,6 +22,7 @@ from tributary.functions.scalars import count_when, day, percent, places, ratio,
 from tributary.operators.quantiles import weighted_quantiles
 from tributary.operators.rollup import same_key, tally
 from tributary.plans.silver import SilverTables
+from tributary.session import kept
 
 Distinct = Callable[[str], Column]
 exact: Distinct = F.countDistinct
@@ -134,17 +135,6 @@ class Funnel:
         self.silver = silver
         self.stored = stored
 
-    def quartiles(self, clicked: DataFrame, by: str, weight: str) -> DataFrame:
-        """Exact quartiles of the click time per group, as `click_time_quantiles`."""
-        return weighted_quantiles(
-            clicked,
-            by,
-            "time_to_click_secs",
-            F.col(weight),
-            QUARTILES,
-            "click_time_quantiles",
-        )
-
     def cells(self, by_time: bool = False, by_position: bool = False) -> DataFrame:
         if self.stored is not None:
             return self.stored
@@ -207,6 +197,17 @@ class Funnel:
         )
 
 
+def quartiles_of(times: DataFrame, by: str, weight: str) -> DataFrame:
+    """Exact quartiles of the click time per group, as `click_time_quantiles`."""
+    return weighted_quantiles(times, by, "time_to_click_secs", F.col(weight), QUARTILES, "click_time_quantiles")
+
+
+def _visitor_sketches() -> dict[str, Column]:
+    """Mergeable sketches of who saw and who clicked."""
+    visitor = F.col("visitor_id").cast("string")
+    return {"seen_by": F.hll_sketch_agg(visitor), "clicked_by": F.hll_sketch_agg(F.when(F.col("clicks") > 0, visitor))}
+
+
 def _mean_time(digits: int) -> Column:
     return places(ratio(F.sum("time_total"), F.sum("times")), digits)
 
@@ -238,23 +239,25 @@ def job_performance_ctr(funnel: Funnel, distinct: Distinct = exact, quartiles: b
 
     Without `quartiles` their column is left out, and with it the work for it.
     """
-    cells = funnel.cells()
+    sums = {**_counts(), **{n: F.sum(n) for n in ("rows", "position_total", "times", "time_total")}}
+    cells = funnel.cells(by_time=quartiles)
+    grain = ["opening_uid", "visitor_id"] if distinct is exact else ["opening_uid"]
+    if quartiles:
+        # Counts and quartiles start from one stored roll-up, so events are read and joined once.
+        timed = [*grain, "time_to_click_secs"]
+        cells = times = kept(tally(cells, timed, **sums, **({} if distinct is exact else _visitor_sketches())), "click-times")
     if distinct is exact:
         # One row per job and visitor makes both distinct counts plain counts.
-        per_visitor = tally(
-            cells,
-            ["opening_uid", "visitor_id"],
-            **_counts(),
-            **{n: F.sum(n) for n in ("rows", "position_total", "times", "time_total")},
-        )
+        cells = tally(cells, grain, **sums)
         visitors = F.count("visitor_id")
         clickers = F.count(F.when(F.col("clicks") > 0, F.col("visitor_id")))
+    elif quartiles:
+        visitors, clickers = (F.hll_sketch_estimate(F.hll_union_agg(n)) for n in ("seen_by", "clicked_by"))
     else:
-        per_visitor = cells
         visitors = distinct("visitor_id")
         clickers = distinct(F.when(F.col("clicks") > 0, F.col("visitor_id")))
     shown = tally(
-        per_visitor,
+        cells,
         "opening_uid",
         impressions=F.sum("impressions"),
         unique_impression_visitors=visitors,
@@ -264,7 +267,7 @@ def job_performance_ctr(funnel: Funnel, distinct: Distinct = exact, quartiles: b
         avg_click_time=_mean_time(1),
     )
     if quartiles:
-        shown = shown.join(funnel.quartiles(funnel.clicked(), "opening_uid", "times"), "opening_uid", "left")
+        shown = shown.join(quartiles_of(times, "opening_uid", "times"), "opening_uid", "left")
     jobs = dim_job_openings(funnel.silver).select("opening_uid", "title", "client_uid")
     no_job = tally(
         unshown_searches(funnel.silver).withColumn("opening_uid", F.lit(None).cast(jobs.schema[0].dataType)),
@@ -444,7 +447,10 @@ def visitor_engagement(funnel: Funnel, distinct: Distinct = exact) -> DataFrame:
 
 def job_click_engagement(funnel: Funnel, distinct: Distinct = exact) -> DataFrame:
     """Click depth of every clicked job."""
-    clicked = funnel.clicked().filter("clicks > 0")
+    # As above: one stored roll-up for counts and quartiles.
+    grain = ["opening_uid", "visitor_id", "time_to_click_secs"]
+    clicked = tally(funnel.clicked().filter("clicks > 0"), grain, clicks=F.sum("clicks"), timed_clicks=F.sum("timed_clicks"))
+    clicked = kept(clicked, "click-times")
     totals = tally(
         clicked,
         "opening_uid",
@@ -452,8 +458,7 @@ def job_click_engagement(funnel: Funnel, distinct: Distinct = exact) -> DataFram
         unique_clickers=distinct("visitor_id"),
         avg_time_to_click=_mean_click_time(2),
     )
-    quantiles = funnel.quartiles(clicked, "opening_uid", "timed_clicks")
-    return totals.join(quantiles, "opening_uid", "left")
+    return totals.join(quartiles_of(clicked, "opening_uid", "timed_clicks"), "opening_uid", "left")
 
 
 def search_to_click_conversion(funnel: Funnel) -> DataFrame:

@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every run relies on. Joins are left to the planner: a side is
 # broadcast only when its measured size is below autoBroadcastJoinThreshold,
@@ -54,6 +54,13 @@ def expect_shuffles_of(spark: SparkSession, gigabytes: float) -> SparkSession:
     return spark
 
 
+def kept(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written once to the shared scratch folder and read from there: for results that are needed several times."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder in the shared checkpoint location.
 
