@@ -64,7 +64,7 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup.marked(spark, table(spark, folder, "documents"), length=400).drop("spans")
+    return suffix_dedup.marked(spark, table(spark, folder, "documents"), length=400, with_text=True).drop("spans")
 
 
 def dated_captures(pages: DataFrame) -> DataFrame:

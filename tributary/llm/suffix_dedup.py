@@ -479,8 +479,13 @@ def cleaned(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_con
 RESULT = "text_key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin: long, end: long>>"
 
 
-def marked(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans of each document."""
+def marked(
+    spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS, with_text: bool = False
+) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans of each document.
+
+    With `with_text` also `text`, what is left of it, without the bytes of characters that were cut through.
+    """
     shape = Shape(length)
     texts = distinct_texts(docs)
     windows = windows_per_text(spark, docs, texts, DISTINCT, length, most_contexts)
@@ -491,16 +496,21 @@ def marked(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_cont
             data = utf8(batch.column(1))
             spans = [spans_of(len(t), w, shape) for t, w in zip(data, batch.column(2).to_pylist())]
             kept = [without(t, s) for t, s in zip(data, spans)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(list(map(len, data)), pa.int64()),
-                 pa.array([len(t) - len(k) for t, k in zip(data, kept)], pa.int64()),
-                 pa.array(list(map(len, spans)), pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
-                 pa.array([[{"begin": a, "end": b} for a, b in s] for s in spans], kind)],
-                names=["text_key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
-            )
+            columns = [
+                batch.column(0), pa.array(list(map(len, data)), pa.int64()),
+                pa.array([len(t) - len(k) for t, k in zip(data, kept)], pa.int64()),
+                pa.array(list(map(len, spans)), pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
+                pa.array([[{"begin": a, "end": b} for a, b in s] for s in spans], kind),
+            ]
+            names = ["text_key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
+            if with_text:
+                columns.append(pa.array([k.decode(errors="ignore") for k in kept], pa.string()))
+                names.append("text")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     windows = windows.withColumnRenamed("text_key", DISTINCT)
-    results = _joined(texts, windows, DISTINCT).select(DISTINCT, "text", "windows").mapInArrow(measure, RESULT)
+    results = _joined(texts, windows, DISTINCT).select(DISTINCT, "text", "windows")
+    results = results.mapInArrow(measure, RESULT + ", text string" * with_text)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("text_key"))
     return join_grouped(rows, results, ["text_key"], "inner").drop("text_key")
