@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tributary.llm import components, jaccard
+from tributary.llm.text import hashed_words
 
 SCHEMA = "doc_id long, text string"
 
@@ -89,3 +90,39 @@ def test_pairs_of_blocks_are_told_apart_by_their_numbers(spark):
     assert found.columns[:5] == ["search", "c", "d", "i", "j"]
     for r in found.groupBy("search", "c", "d", "i", "j").agg({"side": "max", "id": "count"}).collect():
         assert r["max(side)"] == int((r.c, r.i) != (r.d, r.j))
+
+
+def edited_copies(count, edits, length=120, seed=11):
+    """Texts that differ from one original by some words each: many pairs are a little below the limit."""
+    pick = random.Random(seed)
+    words = [f"w{i}" for i in range(length)]
+    rows = []
+    for i in range(count):
+        own = list(words)
+        for place in pick.sample(range(length), pick.choice(edits)):
+            own[place] = f"x{i}-{place}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("most_members", [3000, 20])
+def test_many_pairs_a_little_below_the_limit(spark, most_members):
+    rows = edited_copies(150, [0, 1, 2, 3])
+    found = jaccard.linked(spark, spark.createDataFrame(rows, SCHEMA), words=3, percent=90, most_members=most_members)
+    want = {r[0]: r for r in brute.linked(rows, 3, 90)}
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in want.values()}
+
+
+def test_verified_search_emits_a_forest_of_true_links():
+    rows = edited_copies(200, [0, 1, 2, 3, 4])
+    sets = [jaccard.shingle_set(hashes, 3) for _, hashes in hashed_words([t.encode() for _, t in rows], True)]
+    ids, sizes = np.arange(200), np.array(list(map(len, sets)))
+    points = np.array([jaccard.point(s) for s in sets], np.int32)
+    found = list(jaccard.bucket_pairs(ids, sizes, points, ids.copy(), np.zeros(200, int), 90, True, sets))
+    linked = {(a, b) for a in range(200) for b in range(a) if 190 * len(np.intersect1d(sets[a], sets[b])) >= 90 * (sizes[a] + sizes[b])}
+    assert all((max(p), min(p)) in linked for p in found) and len(found) < 200 < len(linked)
+    root = list(range(200))
+    for a, b in found:
+        old, new = root[a], root[b]
+        root = [new if r == old else r for r in root]
+    assert all(root[a] == root[b] for a, b in linked)

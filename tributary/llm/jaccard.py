@@ -9,11 +9,13 @@ coordinates are the numbers per group. An R-tree over the points finds partners:
 point's coordinates and a node's upper corner bounds the overlap with everything below the
 node. Pairs whose own bound passes are verified on their complete sets.
 
-A bucket does not emit all its pairs: it emits a spanning forest of them, one per partner not yet reached. If
-verification breaks a tree of it, the bucket's pairs between different components are emitted in a second
-round, so no link between components is lost. Buckets with equal members are searched
-once. A bucket of more than `most_members` is cut into blocks (by size of the sets and by hash),
-and every pair of blocks that can hold a link is searched by a task of its own.
+A bucket does not emit all its pairs: it emits a spanning forest of them, one per partner not yet reached. What
+forests connect is a cluster; every pair whose bound passes lies in one. If verification refuses an edge of a
+cluster, its classes are searched once more with their complete sets at hand: pairs are verified
+in the task, only true links join labels, and again a forest of them is all that is emitted.
+So what leaves a task is never more than its members, and no link between components is lost. Buckets with equal
+members are searched once. A bucket or cluster of more than `most_members` is cut into blocks (by size of the sets
+and by hash), and every pair of blocks that can hold a link is searched by a task of its own.
 
 A set is empty for a null text or one without words, and linked with nothing. Rows with null or
 repeated ids are documents of their own; a component's id is the smallest non-null id in
@@ -42,6 +44,10 @@ LEAF = 32
 SMALL = 12
 # Members that one task searches as one tree.
 MOST_MEMBERS = 3000
+# Where complete sets are at hand, so many shingles count as a member.
+SHINGLES_A_MEMBER = 1024
+# Partners whose sets are compared at once.
+COMPARED = 64
 # What names a pair of blocks of a large bucket: the classes of sizes, and a block of each.
 BLOCKS = ["c", "d", "i", "j"]
 
@@ -132,11 +138,19 @@ class Tree:
         return nodes[(100 + p) * bound >= p * (size + self.sizes[nodes])]
 
 
-def bucket_pairs(ids, sizes, points, labels, sides, percent: int, forest: bool) -> Iterator[tuple[int, int]]:
+def overlaps(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of `others` shares with `own`; all sorted and without repeats."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    begins = np.cumsum([0, *map(len, others[:-1])])
+    return np.add.reduceat(own[at] == flat, begins, dtype=np.int64)
+
+
+def bucket_pairs(ids, sizes, points, labels, sides, percent: int, forest: bool, sets: list[np.ndarray] | None = None) -> Iterator[tuple[int, int]]:
     """Candidate pairs of one bucket between different labels (and sides, if there are two).
 
     As a forest, pairs found join their labels, and later rows skip what is joined. Without it
-    all pairs come once.
+    all pairs come once. With `sets` only true links come.
     """
     tree = Tree(sizes, points, percent)
     place = np.empty(len(ids), np.int64)
@@ -151,16 +165,23 @@ def bucket_pairs(ids, sizes, points, labels, sides, percent: int, forest: bool)
         found = tree.partners(int(sizes[row]), points[row], own_labels, own_labels[at])
         if two:
             found = found[own_sides[found] != own_sides[at]]
-        if not forest:
+        if not forest or sets is not None:
+            # Each pair is looked at from its smaller end.
             found = found[own_ids[found] > own_ids[at]]
-        for other in found:
-            if forest:
-                if own_labels[other] == own_labels[at]:
-                    continue
-                own_labels[own_labels == own_labels[other]] = own_labels[at]
-                alone -= 1
-            a, b = int(ids[row]), int(own_ids[other])
-            yield (a, b) if a < b else (b, a)
+        while len(found):
+            some, found = (found, found[:0]) if sets is None else (found[:COMPARED], found[COMPARED:])
+            if sets is not None:
+                both = overlaps(sets[row], [sets[tree.rows[o]] for o in some])
+                some = some[(100 + percent) * both >= percent * (sizes[row] + tree.sizes[some])]
+            for other in some:
+                if forest:
+                    if own_labels[other] == own_labels[at]:
+                        continue
+                    own_labels[own_labels == own_labels[other]] = own_labels[at]
+                    alone -= 1
+                a, b = int(ids[row]), int(own_ids[other])
+                yield (a, b) if a < b else (b, a)
+            found = found[own_labels[found] != own_labels[at]]
 
 
 def _set_rows(docs: DataFrame, words: int, percent: int | None) -> DataFrame:
@@ -219,6 +240,9 @@ def _buckets(spark: SparkSession, classes: DataFrame, percent: int) -> DataFrame
 
 
 def _searches(spark: SparkSession, buckets: DataFrame, percent: int, most_members: int) -> DataFrame:
+    # `members` is the sum of the weights of a bucket's rows, 1 each if there is no such column.
+    if "weight" not in buckets.columns:
+        buckets = buckets.withColumn("weight", F.lit(1))
     """search, c, d, i, j, side, id, n, members: what is searched together; large buckets as pairs of blocks (classes c, d, blocks i, j)."""
     whole = buckets.filter(F.col("members") <= most_members).select(
         F.col("bucket").alias("search"), *(F.lit(0).cast("long").alias(x) for x in BLOCKS), F.lit(0).alias("side"), "id", "n", "members"
@@ -229,7 +253,7 @@ def _searches(spark: SparkSession, buckets: DataFrame, percent: int, most_member
     # Similar sets lie in the same or in neighbouring classes of sizes.
     step = float(np.log(100 / percent)) + 1e-9
     large = large.withColumn("class", F.floor(F.log("n") / step))
-    blocks = large.groupBy("bucket", "class").agg(F.ceil(F.count(F.lit(1)) / (most_members / 2)).alias("blocks"))
+    blocks = large.groupBy("bucket", "class").agg(F.ceil(F.sum("weight") / (most_members / 2)).alias("blocks"))
     up = blocks.select("bucket", (F.col("class") - 1).alias("class"), F.col("blocks").alias("above"))
     down = blocks.select("bucket", (F.col("class") + 1).alias("class"), F.col("blocks").alias("beneath"))
     counts = blocks.join(up, ["bucket", "class"], "left").join(down, ["bucket", "class"], "left")
@@ -248,11 +272,18 @@ def _searches(spark: SparkSession, buckets: DataFrame, percent: int, most_member
     )
 
 
-def _candidates(searches: DataFrame, classes: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Distinct pairs a < b of all searches; `searches` may carry the labels of known components."""
+def _candidates(searches: DataFrame, classes: DataFrame, percent: int, sets: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs a < b of all searches; `searches` may carry the labels of known components.
+
+    With `sets` the pairs are true links, else pairs whose bound passes: a forest of them, in small buckets all.
+    """
     if "label" not in searches.columns:
         searches = searches.withColumn("label", F.col("id"))
-    rows = searches.join(classes.select("id", "point"), "id").select("search", *BLOCKS, "side", "id", "n", "members", "label", "point")
+    verify = sets is not None
+    rows = searches.join(classes.select("id", "point"), "id")
+    if verify:
+        rows = rows.join(sets, "id")
+    rows = rows.select("search", *BLOCKS, "side", "id", "n", "members", "label", "point", *(["shingles"] if verify else []))
     by = ["search", *BLOCKS]
 
     def search(batches) -> Iterator[pa.RecordBatch]:
@@ -265,10 +296,12 @@ def _candidates(searches: DataFrame, classes: DataFrame, percent: int, forest: b
             edges = np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1
             points = unpacked_points(rows.column("point").to_pylist())
             ids, sizes, labels, sides, members = (column(c) for c in ("id", "n", "label", "side", "members"))
+            complete = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()] if verify else None
             for a, b in zip([0, *edges], [*edges, len(ids)]):
                 if b - a > 1:
-                    tree = forest and members[a] > SMALL
-                    yield from bucket_pairs(ids[a:b], sizes[a:b], points[a:b], labels[a:b], sides[a:b].astype(np.int64), percent, tree)
+                    own = complete[a:b] if verify else None
+                    tree = verify or members[a] > SMALL
+                    yield from bucket_pairs(ids[a:b], sizes[a:b], points[a:b], labels[a:b], sides[a:b].astype(np.int64), percent, tree, own)
 
         def flush(rows: pa.Table):
             for pair in find(rows):
@@ -350,30 +383,26 @@ def class_components(spark: SparkSession, docs: DataFrame, words: int, percent:
     importable(spark)
     classes = _classes(spark, docs, words, percent)
     buckets = _buckets(spark, classes, percent)
-    searches = _searches(spark, buckets, percent, most_members)
-    pairs = stored(spark, _candidates(searches, classes, percent, forest=True), "pairs")
+    pairs = stored(spark, _candidates(_searches(spark, buckets, percent, most_members), classes, percent), "pairs")
     sets = _sets_of(spark, docs, classes, pairs, words)
     verified = stored(spark, _verified(pairs, sets, percent), "verified")
-    links = verified.filter("linked").select("a", "b")
-    known = components(spark, links)
-    if not verified.filter("NOT linked").isEmpty():
-        # Only classes with a candidate partner matter, and only searches that emitted a forest.
-        ends = verified.select(F.col("a").alias("id")).unionAll(verified.select(F.col("b").alias("id"))).distinct()
-        labelled = (
-            searches.filter(F.col("members") > SMALL)
-            .join(ends, "id")
-            .join(known.select(F.col("node").alias("id"), "root"), "id", "left")
-            .withColumn("label", F.coalesce("root", "id"))
-            .drop("root")
-        )
-        more = _candidates(labelled, classes, percent, forest=False)
-        more = stored(spark, more.join(verified.select("a", "b"), ["a", "b"], "left_anti"), "more-pairs")
+    known = components(spark, verified.filter("linked").select("a", "b"))
+    refused = verified.filter("NOT linked").select(F.col("a").alias("node"))
+    if not refused.isEmpty():
+        # Clusters with a refused edge, as buckets of their classes.
+        clusters = stored(spark, components(spark, pairs), "clusters")
+        broken = clusters.join(refused.distinct(), "node").select("root").distinct()
+        rows = join_grouped(clusters, broken, ["root"], "left_semi").select(F.col("root").alias("bucket"), F.col("node").alias("id"))
+        weight = F.greatest(F.lit(1), F.ceil(F.col("n") / SHINGLES_A_MEMBER))
+        rows = stored(spark, rows.join(classes.select("id", "n"), "id").withColumn("weight", weight), "broken-clusters")
+        size = rows.groupBy("bucket").agg(F.sum("weight").alias("members"))
+        again = _searches(spark, join_grouped(rows, size, ["bucket"], "inner"), percent, most_members)
+        labels = known.select(F.col("node").alias("id"), F.col("root").alias("label"))
+        again = again.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        more = stored(spark, _candidates(again, classes, percent, sets), "more-links")
         if not more.isEmpty():
-            again = stored(spark, _verified(more, sets, percent).filter("linked").select("a", "b"), "more-links")
-            if not again.isEmpty():
-                # The stars found so far stand for their links.
-                stars = known.select(F.col("node").alias("a"), F.col("root").alias("b"))
-                known = components(spark, stars.unionAll(again))
+            # The stars found so far stand for their links.
+            known = components(spark, known.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more))
     rooted = classes.select("set_key", "id", "least").join(known.select(F.col("node").alias("id"), "root"), "id", "left")
     rooted = rooted.withColumn("component", F.coalesce("root", "id")).drop("root")
     least = rooted.groupBy("component").agg(F.min("least").alias("first"))
