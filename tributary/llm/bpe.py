@@ -34,7 +34,7 @@ WINDOW = 16
 CHUNK_BYTES = 512
 # Entries of one generation of a worker's two caches.
 CHUNKS_KEPT = 8_000
-WORDS_KEPT = 400_000
+WORDS_KEPT = 200_000
 BLANKS = b" \t\n\r\x0b\x0c"
 
 # How byte-level BPE writes the bytes that are not printable Latin-1 characters: from 256 on, in order.
@@ -83,7 +83,7 @@ class TwoGenerations(dict):
 class Encoder:
     """Token ids of whole texts as little-endian 32-bit integers."""
 
-    def __init__(self, path: str, chunk_bytes: int = CHUNK_BYTES) -> None:
+    def __init__(self, path: str, chunk_bytes: int = CHUNK_BYTES, words_kept: int = WORDS_KEPT) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -100,7 +100,7 @@ class Encoder:
         self.direct = all(self._plain(w.encode()) == self._library(w) for w in plain)
         self.marks = {m.encode(): self._library(m) for m in ".,;:!?" if self._library(f"word{m}") == self._library("word") + self._library(m)}
         self.chunk_bytes = chunk_bytes
-        self.words = TwoGenerations(self._word, WORDS_KEPT)
+        self.words = TwoGenerations(self._word, words_kept)
         self.chunks = TwoGenerations(self._chunk, CHUNKS_KEPT)
 
     def _library(self, text: str) -> bytes:
@@ -180,9 +180,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, words_kept: int = WORDS_KEPT) -> Encoder:
     """One encoder per worker process and tokenizer, so that tasks share its caches."""
-    return Encoder(path)
+    return Encoder(path, words_kept=words_kept)
 
 
 def slices(texts: list[bytes], limit: int = 4 << 20):

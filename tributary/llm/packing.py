@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.bpe import encoder, slices
+from tributary.llm.bpe import WORDS_KEPT, encoder, slices
 from tributary.llm.storage import importable, stored, utf8
 
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -83,7 +83,9 @@ def plan(histogram: dict[int, int], capacity: int) -> list[Combination]:
     return combinations
 
 
-def pieces(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int, closing_id: int) -> DataFrame:
+def pieces(
+    spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int, closing_id: int, words_kept: int = WORDS_KEPT
+) -> DataFrame:
     """Stored pieces of all documents, numbered per task and length."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -92,7 +94,7 @@ def pieces(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int,
     closing = np.array([closing_id], "<u4").tobytes()
 
     def cut(batches) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
+        own = encoder(tokenizer, words_kept)
         # Names the attempt; rows of attempts that fail are never committed.
         task = uuid.uuid4().hex
         seen = np.zeros(capacity + 1, np.int64)
@@ -117,9 +119,14 @@ def pieces(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int,
     return stored(spark, made, "pieces")
 
 
-def packed(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = 4096, closing_id: int = 1) -> DataFrame:
-    """Every piece with the sequence it is in and its place there (columns of PACKED)."""
-    rows = pieces(spark, docs, tokenizer, capacity, closing_id)
+def packed(
+    spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = 4096, closing_id: int = 1, words_kept: int = WORDS_KEPT
+) -> DataFrame:
+    """Every piece with the sequence it is in and its place there (columns of PACKED).
+
+    `words_kept` bounds a worker's cache: more words take more memory and less time.
+    """
+    rows = pieces(spark, docs, tokenizer, capacity, closing_id, words_kept)
     per_task = rows.groupBy("length", "task").agg(F.max("place").alias("last"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     per_task = per_task.select("length", "task", F.coalesce(F.sum(F.col("last") + 1).over(before), F.lit(0)).alias("before"), "last")

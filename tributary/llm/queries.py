@@ -26,7 +26,7 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return packing.packed(spark, docs, TOKENIZER, capacity=4096, closing_id=1)
+    return packing.packed(spark, docs, TOKENIZER, capacity=4096, closing_id=1, words_kept=400_000)
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
