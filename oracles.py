@@ -14,7 +14,7 @@ WEEK_START = "1998-06-01"
 LAST_DAY = "1998-06-30"
 LOW_CTR = 33.0
 LEAST_SEEN = 10
-FEW_CLICKS = 2500
+FEW_CLICKS = 0.2
 
 
 def rnd(expr: str, digits: int) -> str:
@@ -418,6 +418,7 @@ _BRONZE = {
 
 _INGESTION = {
     "csv_batch_scan": f"SELECT {_IMPRESSION_TEXT}, event_ts, collector_ts, is_bot, time_to_click_secs FROM raw_clicks",
+    "csv_root_setting": f"SELECT {_IMPRESSION_TEXT}, event_ts, collector_ts, is_bot, time_to_click_secs FROM raw_clicks",
     "csv_inferred_read": "SELECT CAST(visitor_id AS INT) AS visitor_id, name, country, primary_skill, hourly_rate, "
     "job_success_score, member_since, top_rated, is_verified FROM raw_freelancers",
     "csv_reordered_columns": f"SELECT {_text('client_uid')}, company_name, country, industry, payment_verified, "
@@ -719,7 +720,7 @@ _QUESTIONS = {
     f"WHERE impressions >= {LEAST_SEEN} AND ctr_pct < {LOW_CTR}",
     "q_queries_by_clicks": "SELECT search_query, clicks, impressions FROM s_search_query_performance",
     "q_queries_without_clicks": "SELECT search_query, search_sessions FROM s_search_query_performance "
-    f"WHERE clicks <= {FEW_CLICKS}",
+    f"WHERE clicks <= {FEW_CLICKS} * (SELECT SUM(clicks) FROM s_search_query_performance)",
     "q_queries_by_ctr": "SELECT search_query, ctr_pct FROM s_search_query_performance",
     "q_categories_by_ctr": "SELECT category, ctr_pct FROM s_category_performance",
     "q_budget_by_category": "SELECT category, avg_budget_amount FROM dim_category",

@@ -6,7 +6,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tributary.operators import keyed
 from tributary.operators.keyed import first_per_key, latest_per_key
+from tributary.operators.rollup import same_key
 
 SCHEMA = "k int, seq int, name string"
 changes = st.lists(
@@ -48,3 +50,14 @@ def test_first_per_key_keeps_all_columns(spark):
     got = first_per_key(df, ["k"], [F.col("seq").asc_nulls_last()])
     assert got.columns == ["k", "seq", "name"]
     assert sorted(tuple(r) for r in got.collect()) == [(1, 1, "c"), (2, None, "a")]
+
+
+def test_inner_names_may_be_taken(spark):
+    """Columns named like the ones the operators add for themselves."""
+    left = spark.createDataFrame([(1, "a", 5, 6), (2, None, 7, 8)], "k int, _spread string, _rank int, _other_key int")
+    right = spark.createDataFrame([(1, 10), (2, 20)], "k int, __spread int")
+    joined = keyed.join_grouped(left, right, ["k"]).orderBy("k").collect()
+    assert [tuple(r) for r in joined] == [(1, "a", 5, 6, 10), (2, None, 7, 8, 20)]
+    assert keyed.latest_per_key(left.unionAll(left), ["k"], "_rank").orderBy("k").collect() == left.orderBy("k").collect()
+    both = same_key(left, right, "k")
+    assert sorted(both.columns) == ["__spread", "_other_key", "_rank", "_spread", "k"] and both.count() == 2

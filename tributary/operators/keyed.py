@@ -6,14 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def unused_name(wish: str, *frames: DataFrame) -> str:
+    """`wish`, with underscores in front until none of the tables has such a column."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while wish.lower() in taken:
+        wish = f"_{wish}"
+    return wish
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of every key in the given order; all columns kept.
 
     `row_number() = 1` is planned with a partial group limit before the shuffle,
     so a hot key sends one row per map task, not all of its rows.
     """
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.filter("_rank = 1").drop("_rank")
+    rank = unused_name("_rank", df)
+    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.filter(F.col(rank) == 1).drop(rank)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], sequence: str, ties: list[str] | None = None) -> DataFrame:
@@ -36,8 +45,6 @@ def join_grouped(rows: DataFrame, grouped: DataFrame, keys: list[str], how: str
     its partner's hot key would stay in one task. The hash as a further join key
     gives the (small) grouped table a shuffle of its own.
     """
-    spread = F.xxhash64(*keys)
-    joined = rows.withColumn("_spread", spread).join(
-        grouped.withColumn("_spread", spread), [*keys, "_spread"], how
-    )
-    return joined.drop("_spread")
+    spread, name = F.xxhash64(*keys), unused_name("_spread", rows, grouped)
+    joined = rows.withColumn(name, spread).join(grouped.withColumn(name, spread), [*keys, name], how)
+    return joined.drop(name)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.scalars import percent
+from tributary.operators.keyed import unused_name
 
 
 def tally(df: DataFrame, by: str | Column | list[str], **measures: Column) -> DataFrame:
@@ -25,5 +26,6 @@ def with_ctr(shown: DataFrame, clicked: DataFrame, key: str) -> DataFrame:
 
 def same_key(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join on a key where NULL equals NULL; the key is kept once."""
-    other = right.withColumnRenamed(key, "_other_key")
-    return left.join(other, F.col(key).eqNullSafe(F.col("_other_key")), how).drop("_other_key")
+    name = unused_name("_other_key", left, right)
+    other = right.withColumnRenamed(key, name)
+    return left.join(other, F.col(key).eqNullSafe(F.col(name)), how).drop(name)

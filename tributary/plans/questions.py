@@ -71,9 +71,12 @@ def queries_by_clicks(queries: DataFrame) -> DataFrame:
     return queries.select("search_query", "clicks", "impressions").orderBy(F.desc("clicks"), "search_query")
 
 
-def queries_without_clicks(queries: DataFrame, most_clicks: int = 0) -> DataFrame:
-    """Search terms that led to no click, or to `most_clicks` at most."""
-    unclicked = queries.filter(F.col("clicks") <= most_clicks).select("search_query", "search_sessions")
+def queries_without_clicks(queries: DataFrame, most_share: float = 0) -> DataFrame:
+    """Search terms that led to no click, or to at most that share of all clicks."""
+    few = F.col("clicks") == 0
+    if most_share:
+        few = F.col("clicks") <= most_share * queries.agg(F.sum("clicks")).scalar()
+    unclicked = queries.filter(few).select("search_query", "search_sessions")
     return unclicked.orderBy(F.desc("search_sessions"), "search_query")
 
 

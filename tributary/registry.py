@@ -45,7 +45,8 @@ WEEK_START = "1998-06-01"
 LAST_DAY = "1998-06-30"
 LOW_CTR = 33.0
 LEAST_SEEN = 10
-FEW_CLICKS = 2500
+# Of all clicks; a search term has about a fifth.
+FEW_CLICKS = 0.2
 # Standard error of approx_count_distinct as it is called.
 APPROXIMATION = 0.05
 
@@ -191,6 +192,17 @@ def _csv_batch_scan(m: Market) -> DataFrame:
     return _without_lineage(landing.read_batch(m.spark, "click_events", m.land(lake, "click_events")))
 
 
+@_register("csv_root_setting")
+def _csv_root_setting(m: Market) -> DataFrame:
+    """The landing folder named by the session setting instead of an argument."""
+    lake = m.lake("csv-root")
+    m.spark.conf.set(landing.ROOT_SETTING, m.land(lake, "click_events"))
+    try:
+        return _without_lineage(landing.read_batch(m.spark, "click_events"))
+    finally:
+        m.spark.conf.unset(landing.ROOT_SETTING)
+
+
 @_register("csv_inferred_read")
 def _csv_inferred_read(m: Market) -> DataFrame:
     """Types found in the first drop of files and kept; the stream reads later drops with them."""
