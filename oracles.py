@@ -207,6 +207,13 @@ CTES: dict[str, str] = {
         LEFT JOIN (SELECT CAST(event_ts AS DATE) AS event_date, COUNT(event_id) AS clicks,
             {rnd('AVG(time_to_click_secs)', 1)} AS avg_time_to_click_secs FROM clicks GROUP BY 1) c
             ON i.event_date = c.event_date""",
+    "distinct_by_period": " UNION ALL ".join(
+        f"SELECT '{grain}' AS grain, CAST(date_trunc('{grain}', s.event_ts) AS DATE) AS period_start, "
+        "COUNT(DISTINCT i.visitor_id) AS unique_visitors, COUNT(DISTINCT i.search_guid) AS search_sessions, "
+        "COUNT(DISTINCT opening_uid) AS unique_jobs_shown "
+        "FROM impressions i LEFT JOIN searches s ON i.search_guid = s.search_guid GROUP BY 1, 2"
+        for grain in ("day", "week", "month")
+    ),
     # marts, second family
     "s_dim_job_openings": """
         SELECT opening_uid, client_uid, title, category, budget_type, numeric_budget_amount, is_active, posted_at
@@ -825,7 +832,7 @@ _STORED = {
 
 
 def oracle_sql() -> dict[str, str]:
-    plain = {name: f"SELECT * FROM {name}" for name in [*_MARTS, *_STAR, *_REPORTS]}
+    plain = {name: f"SELECT * FROM {name}" for name in [*_MARTS, *_STAR, *_REPORTS, "distinct_by_period"]}
     feeds = {"scd1_customer_orders": _LATEST_ORDER, "scd1_customer_orders_stream": _LATEST_ORDER}
     groups = [
         plain, feeds, _BRONZE, _INGESTION, _SILVER, _QUALITY, _TABLES, _METRICS, _DASHBOARDS, _QUESTIONS,

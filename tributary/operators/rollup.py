@@ -10,8 +10,10 @@ from tributary.operators.keyed import unused_name
 
 
 def tally(df: DataFrame, by: str | Column | list[str], **measures: Column) -> DataFrame:
-    """Aggregate with named measures: `tally(df, "day", clicks=F.count("id"))`."""
+    """Aggregate with named measures: `tally(df, "day", clicks=F.count("id"))`; without measures the distinct keys."""
     keys = by if isinstance(by, list) else [by]
+    if not measures:
+        return df.select(*keys).distinct()
     return df.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
 
 

@@ -20,6 +20,7 @@ from tributary.plans import (
     dashboards,
     marts_exact,
     marts_funnel,
+    periods,
     quality_reports,
     questions,
     reports,
@@ -603,6 +604,7 @@ def _approximation_error(build):
 _add("", {name: _over_silver(build) for name, build in marts_exact.MARTS.items()})
 _add("", {name: _over_silver(build) for name, build in marts_funnel.DIMENSIONS.items()})
 _add("", {name: _over_funnel(build) for name, build in marts_funnel.EXACT_ONLY.items()})
+_register("distinct_by_period")(lambda m: periods.by_period(periods.daily_states(m.silver)[0]))
 _register("s_fact_search_funnel")(lambda m: m.fact)
 for _name, _build in marts_funnel.WITH_DISTINCT.items():
     has_quantiles = _name in ("s_job_performance_ctr", "s_job_click_engagement")
