@@ -53,9 +53,10 @@ CTES: dict[str, str] = {
         FROM orders""",
     "raw_impressions": f"""
         SELECT {_EVENT_ID} AS event_id, {_SEARCHER} AS visitor_id, l_orderkey AS search_guid,
-            l_partkey AS opening_uid, l_linenumber AS position, {_SEARCH_TS} AS event_ts,
+            CASE WHEN l_partkey % 53 = 7 THEN l_partkey + 1 ELSE l_partkey END AS opening_uid,
+            l_linenumber AS position, {_SEARCH_TS} AS event_ts,
             l_shipdate AS collector_ts, {_IS_BOT} AS is_bot
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_partkey % 53 <> 7""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "raw_clicks": f"""
         SELECT {_EVENT_ID} AS event_id, {_SEARCHER} AS visitor_id, l_orderkey AS search_guid,
             CASE WHEN l_orderkey % 97 = 3 THEN NULL ELSE l_partkey END AS opening_uid,

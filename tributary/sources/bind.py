@@ -58,10 +58,10 @@ class RawTables:
 
     @cached_property
     def impression_events(self) -> DataFrame:
-        """Some jobs have clicks but no impression that was kept, as in a feed with gaps."""
-        return self._shown().filter("l_partkey % 53 <> 7").selectExpr(
+        """Every line item. Some are shown under the next job's id, so that jobs have clicks but no impression, as in a feed with gaps."""
+        return self._shown().selectExpr(
             *self._EVENT,
-            "l_partkey AS opening_uid",
+            "CASE WHEN l_partkey % 53 = 7 THEN l_partkey + 1 ELSE l_partkey END AS opening_uid",
             "l_linenumber AS position",
             "search_ts AS event_ts",
             "l_shipdate AS collector_ts",
