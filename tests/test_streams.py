@@ -235,7 +235,7 @@ def test_incomplete_base_is_not_read(lake, spark):
     with pytest.raises(ValueError, match="no change"):
         target.current()
     target.apply(spark.createDataFrame([(1, 1)], "k int, seq int"), 0)
-    (Path(target.path) / "base" / "batch_id=0").mkdir(parents=True)
+    (Path(target.path) / "manifest" / "version=0").mkdir(parents=True)
     assert target.current().count() == 1
 
 

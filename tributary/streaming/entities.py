@@ -1,8 +1,8 @@
 """Silver entity tables: current state kept from a change stream.
 
-A micro-batch adds one delta partition with the newest row per key of that batch;
-the current state is the newest row per key over all deltas. So a batch costs what
-it holds and never rewrites the table. `compact` folds the deltas into a base.
+A micro-batch adds one delta partition with the newest row per key of that batch, so it
+costs what it holds. `compact` merges the deltas into a keyed table, where only the buckets
+of changed keys are written again, and removes what the last versions do not name.
 """
 
 from __future__ import annotations
@@ -10,67 +10,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary.operators.keyed import latest_per_key
 from tributary.plans import silver
 from tributary.schemas import INGESTED_AT, SOURCE_FILE
+from tributary.sources.keyed_table import BUCKETS, KEPT_VERSIONS, KeyedTable
 from tributary.sources.tables import BATCH, Lake
 from tributary.streaming import bronze
 
 
-
 class CurrentState:
     """Newest row per key of a stream of changes, stored below one folder."""
 
-    def __init__(self, lake: Lake, path: str, keys: list[str], sequence: str, ties: list[str]):
-        self.spark = lake.spark
+    def __init__(self, lake: Lake, path: str, keys: list[str], sequence: str, ties: list[str], buckets: int = BUCKETS):
         self.path = path
-        self.keys = keys
-        self.sequence = sequence
-        self.ties = ties
-
-    def _newest(self, df: DataFrame) -> DataFrame:
-        return latest_per_key(df, self.keys, self.sequence, self.ties)
+        self.table = KeyedTable(lake.spark, path, keys, sequence, ties, buckets)
 
     def apply(self, df: DataFrame, batch: int) -> None:
         """Store one micro-batch; repeating it replaces it."""
-        self._newest(df).write.mode("overwrite").parquet(f"{self.path}/delta/{BATCH}={batch}")
-
-    def _folders(self, kind: str) -> dict[int, str]:
-        """Complete partitions of a kind by number."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")
-        fs = root.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not fs.exists(root):
-            return {}
-        found = {}
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if "=" in name and fs.exists(done):
-                found[int(name.split("=")[1])] = status.getPath().toString()
-        return found
+        newest = latest_per_key(df, self.table.keys, self.table.sequence, self.table.ties)
+        newest.write.mode("overwrite").parquet(f"{self.path}/delta/{BATCH}={batch}")
 
-    def current(self) -> DataFrame:
-        """The newest base and the deltas after it, one row per key."""
-        bases, deltas = self._folders("base"), self._folders("delta")
-        through = max(bases, default=-1)
+    def _pending(self) -> tuple[int, DataFrame | None]:
+        """The last complete delta and the rows of all that no version holds yet."""
+        known, deltas = self.table.manifest(), self.table.numbered("delta")
+        through = known.version if known else -1
         paths = [p for n, p in sorted(deltas.items()) if n > through]
-        if bases and not paths:
-            return self.spark.read.parquet(bases[through])
-        if bases:
-            paths.append(bases[through])
-        if not paths:
-            raise ValueError(f"no change was stored below {self.path}")
-        return self._newest(self.spark.read.parquet(*paths))
-
-    def compact(self) -> None:
-        """Fold all complete deltas into a new base; older files stay as they are."""
-        through = max(self._folders("delta"), default=-1)
-        if through > max(self._folders("base"), default=-1):
-            self.current().write.mode("overwrite").parquet(f"{self.path}/base/{BATCH}={through}")
+        rows = self.table.spark.read
+        if known:
+            rows = rows.schema(known.schema)
+        return max(deltas, default=-1), rows.parquet(*paths) if paths else None
+
+    def current(self) -> DataFrame:
+        """One row per key: the newest version and the deltas after it."""
+        return self.table.read(self._pending()[1])
+
+    def compact(self, keep: int = KEPT_VERSIONS) -> None:
+        """Merge all complete deltas into a new version; keep the files of the last `keep` versions."""
+        through, rows = self._pending()
+        if rows is not None:
+            self.table.merge(rows, through)
+        oldest = self.table.remove_old(keep)
+        for number, path in self.table.numbered("delta").items():
+            if number <= oldest:
+                self.table.remove(path)
 
 
 # Entity table: key and cleaning step.
