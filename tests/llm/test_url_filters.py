@@ -45,9 +45,14 @@ def brute(captures, events):
     return out
 
 
-def decided(spark, captures, events, **options):
-    out = url_filters.decided(spark.createDataFrame(captures, CAPTURES), spark.createDataFrame(events, EVENTS), **options)
-    return [(r.id, r[-1].list, r[-1].pattern, r[-1].since, r[-1].kept) for r in out.collect()]
+def decided(spark, captures, events, times=False, **options):
+    kinds = [kind.replace(" date", " timestamp") if times else kind for kind in (CAPTURES, EVENTS)]
+    out = url_filters.decided(spark.createDataFrame(captures, kinds[0]), spark.createDataFrame(events, kinds[1]), **options)
+
+    def since(value):
+        return value if times or value is None else value.date()
+
+    return [(r.id, r[-1].list, r[-1].pattern, since(r[-1].since), r[-1].kept) for r in out.collect()]
 
 
 def test_equals_brute_force(spark):
@@ -73,3 +78,39 @@ def test_without_lists_or_captures(spark):
     rows = [(1, "http://other.org/", day(1), None)]
     assert decided(spark, rows, []) == [(1, None, None, None, True)]
     assert decided(spark, [], [("block", "other.org", day(1), "add")]) == []
+
+
+def test_times_within_a_day(spark):
+    def at(number, hour, minute=0):
+        return datetime.datetime(2024, 1, number, hour, minute)
+
+    events = [
+        ("block", "other.org", at(2, 18), "add"),
+        ("block", "other.org", at(2, 20), "remove"),
+        ("block", "other.org", at(3, 7), "add"),
+        ("block", "other.org", at(3, 7), "remove"),
+        ("adult", "x.other.org", at(2, 18, 30), "add"),
+        ("adult", "other.org:80", at(1, 0), "add"),
+    ]
+    captures = [(n, f"http://{host}other.org:80/p", when, None) for n, (host, when) in enumerate(
+        (host, at(d, h, m)) for host in ("", "x.") for d in (1, 2, 3, 4) for h in (0, 9, 17, 18, 20, 23) for m in (0, 30)
+    )]
+    want = sorted(brute(captures, events), key=str)
+    assert len({w[1] for w in want}) == 3
+    for days in (1, 30):
+        assert sorted(decided(spark, captures, events, times=True, slice_days=days), key=str) == want
+
+
+def test_random_times(spark):
+    random.seed(4)
+    base = datetime.datetime(2024, 1, 1)
+
+    def when():
+        return base + datetime.timedelta(minutes=random.choice([0, 1, 59, 60, 24 * 60, 31 * 24 * 60]) * random.randint(0, 3))
+
+    hosts = ["a.example.com", "example.com", "other.org"]
+    events = [(random.choice(["block", "allow"]), random.choice(hosts), when(), random.choice(["add", "add", "remove"])) for _ in range(60)]
+    captures = [(i, f"http://{random.choice(hosts)}/", when(), None) for i in range(200)]
+    want = sorted(brute(captures, events), key=str)
+    for days in (1, 30):
+        assert sorted(decided(spark, captures, events, times=True, slice_days=days), key=str) == want

@@ -100,7 +100,7 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     found = F.col(rows.columns[-1])
     return rows.select(
         "page_id", "url", "fetched_on",
-        found["list"].alias("list"), found["pattern"].alias("pattern"), found["since"].alias("since"), found["kept"].alias("kept"),
+        found["list"].alias("list"), found["pattern"].alias("pattern"), found["since"].cast("date").alias("since"), found["kept"].alias("kept"),
     )
 
 

@@ -7,8 +7,9 @@ and AQE may split it further. A URL is looked up under its host, every parent do
 host with each leading part of its path, as deep as any pattern of the lists.
 
 Of the active entries the one with the longest pattern decides, `allow` before other lists at equal
-length, then the list that sorts first; a capture without one is kept. An event counts from its own time on. Of events
-of one list and pattern at the same time `remove` counts. Events with a null or unknown action,
+length, then the list that sorts first; a capture without one is kept. An event counts from its own instant on, a date
+from its midnight in the session's time zone, so a capture of 09:00 does not meet an entry added at 18:00 that day. Of
+events of one list and pattern at the same instant `remove` counts. Patterns have no port: one with a port matches nothing. Events with a null or unknown action,
 pattern, list or time are ignored; a null, empty or unreadable URL and a null time match nothing.
 Repeated captures are decided alike. Empty lists keep everything, no captures give no rows.
 """
@@ -40,7 +41,7 @@ def intervals(events: DataFrame) -> DataFrame:
     known = events.select(
         F.col("list").cast("string").alias("list"),
         F.regexp_replace(F.lower(F.col("pattern").cast("string")), "/+$", "").alias("pattern"),
-        F.col("at").cast("date").alias("at"),
+        F.col("at").cast("timestamp").alias("at"),
         F.col("action").cast("string").alias("action"),
     ).filter("list IS NOT NULL AND pattern <> '' AND at IS NOT NULL AND action IN ('add', 'remove')")
     # One event per time: `remove` sorts last.
@@ -69,14 +70,15 @@ def lookups(url: Column, host_parts: int, path_parts: int) -> Column:
     )
 
 
-def _slice(day: Column, days: int) -> Column:
-    return F.floor(F.unix_date(day) / days)
+def _slice(at: Column, days: int) -> Column:
+    """The number of the slice that holds an instant; slices begin at fixed instants whatever the time zone."""
+    return F.floor(F.unix_seconds(at) / (86_400 * days))
 
 
 def decided(captures: DataFrame, events: DataFrame, url: str = "url", at: str = "fetched_on", slice_days: int = SLICE_DAYS) -> DataFrame:
-    """`captures` and a struct as last column: list, pattern, since (null without entry), kept."""
+    """`captures` and a struct as last column: list, pattern, since (a timestamp; null without entry), kept."""
     valid = intervals(events)
-    seen = captures.select(F.col(url).cast("string").alias("u"), F.col(at).cast("date").alias("d"))
+    seen = captures.select(F.col(url).cast("string").alias("u"), F.col(at).cast("timestamp").alias("d"))
     asked = seen.filter("u IS NOT NULL AND d IS NOT NULL").distinct()
     # Three numbers: how deep patterns are, and the time the captures span.
     slash = F.instr("pattern", "/") > 0
@@ -84,10 +86,12 @@ def decided(captures: DataFrame, events: DataFrame, url: str = "url", at: str =
     depth = valid.agg(
         F.max(F.size(F.split(host_part, r"\."))).alias("host"), F.max(F.when(slash, F.size(F.split("pattern", "/")) - 1)).alias("path")
     ).first()
-    span = asked.agg(F.min("d").alias("first"), F.max("d").alias("last")).first()
+    span = asked.agg(F.unix_micros(F.min("d")).alias("first"), F.unix_micros(F.max("d")).alias("last")).first()
     # Only time in which something was captured is cut into slices.
-    begin = F.greatest(F.col("since"), F.lit(span["first"]).cast("date"))
-    end = F.least(F.coalesce(F.date_sub("until", 1), F.lit(span["last"]).cast("date")), F.lit(span["last"]).cast("date"))
+    first, last = (F.timestamp_micros(F.lit(span[name]).cast("bigint")) for name in ("first", "last"))
+    begin = F.greatest(F.col("since"), first)
+    # The slice in which an interval ends may hold captures before its end; the range check tells them apart.
+    end = F.least(F.coalesce(F.col("until"), last), last)
     sliced = (
         valid.withColumn("begin", begin)
         .withColumn("end", end)
@@ -108,7 +112,7 @@ def decided(captures: DataFrame, events: DataFrame, url: str = "url", at: str =
         F.coalesce(F.col("entry")["list"] == ALLOW, F.lit(True)).alias("kept"),
     )
     found = best.select(F.col("u").alias(left), F.col("d").alias(right), decision.alias(name))
-    rows = captures.withColumn(left, F.col(url).cast("string")).withColumn(right, F.col(at).cast("date"))
-    none = F.struct(F.lit(None).cast("string").alias("list"), F.lit(None).cast("string").alias("pattern"), F.lit(None).cast("date").alias("since"), F.lit(True).alias("kept"))
+    rows = captures.withColumn(left, F.col(url).cast("string")).withColumn(right, F.col(at).cast("timestamp"))
+    none = F.struct(F.lit(None).cast("string").alias("list"), F.lit(None).cast("string").alias("pattern"), F.lit(None).cast("timestamp").alias("since"), F.lit(True).alias("kept"))
     joined = rows.join(found, [left, right], "left")
     return joined.select(*captures.columns, F.coalesce(name, none).alias(name))
