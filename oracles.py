@@ -827,6 +827,7 @@ _STORED = {
     "medallion_s_job_performance_ctr": f"SELECT * REPLACE ({_text('opening_uid client_uid')}) FROM s_job_performance_ctr",
     "medallion_s_daily_metrics": "SELECT * FROM s_daily_metrics",
     "medallion_s_sublocation_performance": "SELECT * FROM s_sublocation_performance",
+    "incremental_fact_search_events": f"SELECT * REPLACE ({_text('opening_uid visitor_id search_guid')}) FROM fact_search_events",
     "medallion_fact_search_events": f"SELECT * REPLACE ({_text('opening_uid visitor_id search_guid')}) FROM fact_search_events",
     "medallion_client_opportunities": f"SELECT * REPLACE ({_text('client_uid opening_uid')}) FROM client_opportunities",
 }

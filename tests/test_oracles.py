@@ -24,7 +24,7 @@ p_job_performance p_search_query_performance p_position_ctr p_category_performan
 p_sublocation_performance p_daily_metrics s_fact_search_funnel s_job_performance_ctr
 s_impression_position_ctr s_category_performance s_daily_metrics s_visitor_engagement
 s_job_click_engagement s_search_to_click_conversion s_hourly_activity dim_client dim_date
-fact_search_events client_posting_performance client_category_benchmark client_opportunities
+fact_search_events incremental_fact_search_events client_posting_performance client_category_benchmark client_opportunities
 mv_clickstream_by_industry mv_client_portfolio mv_search_funnel ins_time_to_click ins_client_activity
 cli_category_benchmark q_week_traffic q_featured_click_speed q_client_spend_vs_ctr
 q_demand_against_posting_mix q_behaviour_by_hourly_rate gov_masked_fact gov_recent_access

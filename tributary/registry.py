@@ -33,7 +33,7 @@ from tributary.session import apply_settings, scratch_dir
 from tributary.sources import landing
 from tributary.sources.bind import RawTables
 from tributary.sources.tables import Lake
-from tributary.streaming import bronze, entities, events, refresh
+from tributary.streaming import bronze, days, entities, events, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -554,6 +554,30 @@ _add(
 )
 
 
+@_register("incremental_fact_search_events")
+def _incremental_fact(m: Market) -> DataFrame:
+    """The fact after two landings: late clicks and impressions rebuild the days of their searches alone."""
+    lake = m.lake("by-days")
+    root = lake.path("raw", "landing")
+    late = F.xxhash64("event_id") % 4 == 0
+    for second in (False, True):
+        for name in days.EVENTS:
+            rows = getattr(m.raw, name)
+            # The second landing brings late events of searches that the first one held, and of new ones.
+            new = late if name != "search_events" else F.xxhash64("search_guid") % 16 == 0
+            landing.write_landing(rows.filter(new == F.lit(second)), name, root)
+        bronze.ingest(lake, list(days.EVENTS), root)
+        for query in [events.start(lake, name) for name in days.EVENTS]:
+            query.awaitTermination()
+        days.refresh_days(lake, lambda known: _stored_events(known, m))
+    return _naive(days.read_day_table(lake, "fact_search_events", _stored_events(lake, m)))
+
+
+def _stored_events(lake: Lake, m: Market) -> silver.SilverTables:
+    stored = [events.read_events(lake, name) for name in days.EVENTS]
+    return silver.SilverTables(*stored, m.silver.jobs, m.silver.clients, m.silver.freelancers)
+
+
 _register("client_picker")(lambda m: dashboards.client_picker(m.silver.clients))
 
 

@@ -49,6 +49,18 @@ class Lake:
         folder, system = self._folder(f"{path}/_SUCCESS")
         return system.exists(folder)
 
+    def numbers(self, path: str) -> list[int]:
+        """The numbers of the complete folders `<name>=<number>` below a folder, in ascending order."""
+        folder, system = self._folder(path)
+        if not system.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in system.listStatus(folder)]
+        return sorted(int(n.split("=")[1]) for n in names if "=" in n and self.complete(f"{path}/{n}"))
+
+    def remove(self, path: str) -> None:
+        folder, system = self._folder(path)
+        system.delete(folder, True)
+
     def read(self, layer: str, table: str) -> DataFrame:
         """Snapshot of a table, without the numbers of the batches that wrote it."""
         return self.spark.read.parquet(self.path(layer, table)).drop(BATCH)

@@ -9,16 +9,13 @@ from tributary.plans import marts_exact, marts_funnel, reports, star
 from tributary.plans.silver import DAILY_MART_RULES, JOB_MART_RULES, SilverTables
 from tributary.schemas import BRONZE_COMMENTS, GOLD_COMMENTS, RAW
 from tributary.sources.tables import Lake
-from tributary.streaming import bronze, entities, events
+from tributary.streaming import bronze, days, entities, events
 
 MART_RULES: dict[str, list[Rule]] = {
     "p_job_performance": JOB_MART_RULES,
     "p_daily_metrics": DAILY_MART_RULES,
 }
 
-# Questions about a period read the days they need of the impression fact.
-PARTITIONS = {"fact_search_events": ["event_date"]}
-
 
 def refresh_silver(lake: Lake, root: str | None = None) -> SilverTables:
     """Take in new files, validate new events and update the entities."""
@@ -46,18 +43,19 @@ def silver_tables(lake: Lake) -> SilverTables:
 
 
 def _store(lake: Lake, table: str, df: DataFrame, run: int) -> DataFrame:
-    rules, partition_by = MART_RULES.get(table), PARTITIONS.get(table)
+    rules = MART_RULES.get(table)
     if not rules:
-        return lake.materialize(df, "gold", table, partition_by)
+        return lake.materialize(df, "gold", table)
     seen = Observation()
-    stored = lake.materialize(enforce(df, rules, seen), "gold", table, partition_by)
+    stored = lake.materialize(enforce(df, rules, seen), "gold", table)
     events.write_log(lake, f"gold.{table}", run, rules, seen.get)
     return stored
 
 
 def refresh_gold(lake: Lake, silver: SilverTables, run: int = 0) -> dict[str, DataFrame]:
-    """Recompute star schema, marts and reports; each reads stored tables."""
-    gold: dict[str, DataFrame] = {}
+    """Bring fact and cells up to date, by days; recompute dimensions, marts and reports. Each reads stored tables."""
+    days.refresh_days(lake, silver_tables)
+    gold = {table: days.read_day_table(lake, table, silver) for table in days.DAY_TABLES}
     per_silver = {
         **star.TABLES,
         **marts_exact.MARTS,
@@ -65,9 +63,9 @@ def refresh_gold(lake: Lake, silver: SilverTables, run: int = 0) -> dict[str, Da
         "s_fact_search_funnel": marts_funnel.funnel_fact,
     }
     for table, build in per_silver.items():
+        if table in days.DAY_TABLES:
+            continue
         gold[table] = _store(lake, table, build(silver), run)
-    cells = marts_funnel.Funnel(silver).cells(by_time=True, by_position=True)
-    gold["funnel_cells"] = _store(lake, "funnel_cells", cells, run)
     funnel = marts_funnel.Funnel(silver, gold["funnel_cells"])
     for table, build in marts_funnel.EXACT_ONLY.items():
         gold[table] = _store(lake, table, build(funnel), run)
