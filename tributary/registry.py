@@ -559,12 +559,14 @@ def _incremental_fact(m: Market) -> DataFrame:
     """The fact after two landings: late clicks and impressions rebuild the days of their searches alone."""
     lake = m.lake("by-days")
     root = lake.path("raw", "landing")
-    late = F.xxhash64("event_id") % 4 == 0
+    # What comes late belongs to searches of the last months.
+    recent = F.to_date("event_ts") >= F.lit("2001-06-01").cast("date")
+    late = recent & (F.xxhash64("event_id") % 4 == 0)
     for second in (False, True):
         for name in days.EVENTS:
             rows = getattr(m.raw, name)
             # The second landing brings late events of searches that the first one held, and of new ones.
-            new = late if name != "search_events" else F.xxhash64("search_guid") % 16 == 0
+            new = late if name != "search_events" else recent & (F.xxhash64("search_guid") % 16 == 0)
             landing.write_landing(rows.filter(new == F.lit(second)), name, root)
         bronze.ingest(lake, list(days.EVENTS), root)
         for query in [events.start(lake, name) for name in days.EVENTS]:
