@@ -80,3 +80,14 @@ def test_query_rows(spark):
         want.append((doc, len(ids), hashlib.sha256(data).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), ids))
     assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
     assert bpe.encoded(spark, docs.limit(0), PATH).collect() == []
+
+
+def test_words_with_closing_symbols_get_the_ids_of_the_library():
+    own = bpe.Encoder(PATH)
+    assert own.closed
+    symbols = ["!!", "$$$", ".%%%", "'", "'s", "'s.", "<|endoftext|>", "…", "̸", "9.", "-"]
+    for head in ("word", "Réenre", "équeèê", "don't", "ß", "слово", "İ", "a9", "<|endoftext", "À̈", ""):
+        for tail in symbols:
+            for more in ("", *symbols):
+                word = head + tail + more
+                assert own.words[word.encode()] == own._library(word), word

@@ -42,6 +42,9 @@ BYTE_CHARACTERS = {
     b: 256 + i for i, b in enumerate(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE))
 }
 
+# ASCII characters that are neither letters nor digits nor blanks.
+SYMBOLS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -99,6 +102,7 @@ class Encoder:
         plain = [w for w in ("the", "Largest", "naïve", "ÜNDER", "øre", "A", "é", "straße") if self._plain(w.encode()) is not None]
         self.direct = all(self._plain(w.encode()) == self._library(w) for w in plain)
         self.marks = {m.encode(): self._library(m) for m in ".,;:!?" if self._library(f"word{m}") == self._library("word") + self._library(m)}
+        self.closed = self.direct and self._closes()
         self.chunk_bytes = chunk_bytes
         self.words = TwoGenerations(self._word, words_kept)
         self.chunks = TwoGenerations(self._chunk, CHUNKS_KEPT)
@@ -106,6 +110,17 @@ class Encoder:
     def _library(self, text: str) -> bytes:
         return b"".join(map(self.packed, self.tokenizer.encode(text, add_special_tokens=False).ids))
 
+    def _closes(self) -> bool:
+        """Whether symbols behind a word of Latin letters never change its ids, nor it theirs."""
+        symbols = SYMBOLS.decode()
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            head = token.content.strip().rstrip(symbols)
+            if not head or head.isalpha():
+                return False
+        tails = [*symbols, *(a + b for a in symbols for b in symbols)]
+        apart = {tail: self._library(tail) for tail in tails}
+        return all(self._library(w + tail) == self._library(w) + ids for w in ("word", "Öé") for tail, ids in apart.items())
+
     def _plain(self, word: bytes) -> bytes | None:
         """Ids of a word of Latin letters, from the library's BPE model; None for any other word.
 
@@ -123,7 +138,14 @@ class Encoder:
 
     def _word(self, word: bytes) -> bytes:
         """Ids of a word (a run without blanks)."""
-        # The closing mark first, so that a word is known with and without it.
+        # Closing symbols first, so that letters are known with and without them.
+        if self.closed:
+            letters = word.rstrip(SYMBOLS)
+            if 0 < len(letters) < len(word):
+                text = letters.decode().lower()
+                if text.isalpha() and (text.isascii() or max(text) < "\u0250"):
+                    return self.words[letters] + self.words[word[len(letters) :]]
+        # A closing mark behind other words, likewise.
         mark = self.marks.get(word[-1:])
         if mark and len(word) > 1 and word[-2:-1].isalpha():
             return self.words[word[:-1]] + mark
