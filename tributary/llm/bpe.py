@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.storage import importable, utf8
+from tributary.llm.storage import importable, keeping, tidy, utf8
 from tributary.llm.text import mix, powers, prefix_hash
 
 # Bytes that decide about a cut, and the mean length of a chunk.
@@ -201,9 +201,13 @@ class Encoder:
         return self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
 
 
+KEEPER = "bpe"
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str, words_kept: int = WORDS_KEPT) -> Encoder:
     """One encoder per worker process and tokenizer, so that tasks share its caches."""
+    keeping(KEEPER, encoder.cache_clear)
     return Encoder(path, words_kept=words_kept)
 
 
@@ -242,4 +246,4 @@ def encoded(spark: SparkSession, docs: DataFrame, tokenizer: str, with_ids: bool
 
     importable(spark)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(encode, ENCODED + ", ids array<long>" * with_ids)
+    return rows.mapInArrow(tidy(encode, KEEPER), ENCODED + ", ids array<long>" * with_ids)

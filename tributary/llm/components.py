@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.storage import stored
+from tributary.llm.storage import stored, tidy
 from tributary.operators.keyed import join_grouped
 
 # Nodes that a task holds while it shortens its own edges.
@@ -45,7 +45,7 @@ def shortened(edges: DataFrame, most_nodes: int = MOST_NODES) -> DataFrame:
         if parent:
             yield stars()
 
-    return edges.select("u", "v").mapInArrow(merge, "u long, v long")
+    return edges.select("u", "v").mapInArrow(tidy(merge), "u long, v long")
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.storage import free_name, importable, join_path, open_folder, stored, utf8
+from tributary.llm.storage import free_name, importable, join_path, open_folder, stored, tidy, utf8
 from tributary.operators.keyed import join_grouped
 from tributary.session import scratch_dir
 
@@ -177,8 +177,8 @@ def groups(spark: SparkSession, docs: DataFrame, table_bytes: int = TABLE_BYTES,
         yield from _emit(found, lambda e: (hashlib.sha256(e[0]).digest(), *e[1:]), final)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    merged = rows.mapInArrow(combine, "content binary, top long, ties long, size long")
-    return merged.repartition(F.xxhash64("content")).mapInArrow(finish, "digest binary, top long, ties long, size long")
+    merged = rows.mapInArrow(tidy(combine), "content binary, top long, ties long, size long")
+    return merged.repartition(F.xxhash64("content")).mapInArrow(tidy(finish), "digest binary, top long, ties long, size long")
 
 
 def with_digest(docs: DataFrame, name: str) -> DataFrame:
@@ -191,7 +191,7 @@ def with_digest(docs: DataFrame, name: str) -> DataFrame:
             found = [hashlib.sha256(normalised(t)).digest() for t in utf8(batch.column(place))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(digest, schema)
+    return docs.mapInArrow(tidy(digest), schema)
 
 
 def decided(spark: SparkSession, docs: DataFrame, table_bytes: int = TABLE_BYTES, fanout: int = FANOUT) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm.components import components
-from tributary.llm.storage import free_name, importable, stored, utf8
+from tributary.llm.storage import free_name, importable, stored, tidy, utf8
 from tributary.llm.text import hashed_words, shingle_hashes
 from tributary.operators.keyed import join_grouped
 
@@ -212,7 +212,7 @@ def _set_rows(docs: DataFrame, words: int, percent: int | None) -> DataFrame:
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("text_key"), text.alias("text"))
-    return source.mapInArrow(find, "doc_id long, text_key binary, set_key binary, n long" + ", firsts array<long>, point binary" * full)
+    return source.mapInArrow(tidy(find), "doc_id long, text_key binary, set_key binary, n long" + ", firsts array<long>, point binary" * full)
 
 
 def _classes(spark: SparkSession, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -331,7 +331,7 @@ def _candidates(searches: DataFrame, classes: DataFrame, percent: int, sets: Dat
         if held:
             yield from flush(pa.Table.from_batches(held))
 
-    return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(search, "a long, b long").distinct()
+    return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(tidy(search), "a long, b long").distinct()
 
 
 def _sets_of(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
@@ -354,7 +354,7 @@ def _sets_of(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Da
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["id", "shingles"])
 
-    return stored(spark, texts.join(wanted, "text_key").select("id", "text").mapInArrow(find, "id long, shingles binary"), "sets")
+    return stored(spark, texts.join(wanted, "text_key").select("id", "text").mapInArrow(tidy(find), "id long, shingles binary"), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -375,7 +375,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     joined = pairs.join(right, "b").join(left, "a")
-    return joined.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long, linked boolean")
+    return joined.select("a", "b", "left", "right").mapInArrow(tidy(compare), "a long, b long, linked boolean")
 
 
 def class_components(spark: SparkSession, docs: DataFrame, words: int, percent: int, most_members: int = MOST_MEMBERS) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.storage import free_name, importable, join_path, open_folder, stored
+from tributary.llm.storage import free_name, importable, join_path, keeping, open_folder, stored, tidy
 from tributary.llm.text import mix
 from tributary.session import scratch_dir
 
@@ -147,11 +147,19 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
     learned = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     rows = learned.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidy(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 # Parts that this process keeps, by path; once full, others are read each time.
 _kept: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+KEEPER = "language"
+
+
+def keep(key: str, part: tuple[np.ndarray, np.ndarray], size: int) -> None:
+    """Keep a part if there is room for it."""
+    if sum(h.nbytes + r.nbytes for h, r in _kept.values()) + size <= CACHE_BYTES:
+        _kept[key] = part
+        keeping(KEEPER, _kept.clear)
 
 
 class Shelf:
@@ -171,8 +179,7 @@ class Shelf:
         with files.open_input_stream(join_path(path, name), compression=None) as source:
             data = source.read()
         found = np.frombuffer(data, np.uint64, size), np.frombuffer(data, np.float32, offset=8 * size).reshape(size, self.width)
-        if sum(h.nbytes + r.nbytes for h, r in _kept.values()) + len(data) <= CACHE_BYTES:
-            _kept[key] = found
+        keep(key, found, len(data))
         return found
 
     def hits(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -253,8 +260,8 @@ def shelved(rows: DataFrame, count: int, width: int, build: Callable[[pa.Table],
             yield put(now, held)
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    placed = rows.mapInArrow(place, f"part int, {schema}").repartition("part").sortWithinPartitions("part")
-    found = placed.mapInArrow(write, "part int, name string, size long").collect()
+    placed = rows.mapInArrow(tidy(place), f"part int, {schema}").repartition("part").sortWithinPartitions("part")
+    found = placed.mapInArrow(tidy(write), "part int, name string, size long").collect()
     return Shelf(folder, bits, width, {r["part"]: (r["name"], r["size"]) for r in found})
 
 
@@ -469,7 +476,7 @@ def train(docs: DataFrame) -> Model:
                 )
 
     texts = rows.select(F.col("lang").cast("string"), F.col("text").cast("string"))
-    measured = stored(spark, texts.mapInArrow(measure, "place long, n long, entropy double"), "language-entropies")
+    measured = stored(spark, texts.mapInArrow(tidy(measure, KEEPER), "place long, n long, entropy double"), "language-entropies")
     model.calibrate(measured.filter("n > 0"))
     return model
 
@@ -497,4 +504,4 @@ def identified(spark: SparkSession, docs: DataFrame, model: Model, name: str = "
     from pyspark.sql import types as T
 
     struct = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    return docs.mapInArrow(predict, T.StructType([*docs.schema.fields, T.StructField(own_name, struct)]))
+    return docs.mapInArrow(tidy(predict, KEEPER), T.StructType([*docs.schema.fields, T.StructField(own_name, struct)]))

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.bpe import WORDS_KEPT, encoder, slices
-from tributary.llm.storage import importable, stored, utf8
+from tributary.llm.bpe import KEEPER, WORDS_KEPT, encoder, slices
+from tributary.llm.storage import importable, stored, tidy, utf8
 
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -115,7 +115,7 @@ def pieces(
 
     importable(spark)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    made = rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, task string, place long")
+    made = rows.mapInArrow(tidy(cut, KEEPER), "doc_id long, piece int, start long, length long, ids_crc32 long, task string, place long")
     return stored(spark, made, "pieces")
 
 
@@ -173,4 +173,4 @@ def packed(
             )
 
     numbered = rows.join(per_task.drop("last"), ["length", "task"]).withColumn("number", F.col("before") + F.col("place"))
-    return numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "number").mapInArrow(assign, PACKED)
+    return numbered.select("doc_id", "piece", "start", "length", "ids_crc32", "number").mapInArrow(tidy(assign, KEEPER), PACKED)

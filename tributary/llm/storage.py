@@ -71,6 +71,41 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+# What this worker keeps between tasks: by operator, how to drop it.
+_drops: dict[str, Callable[[], None]] = {}
+
+
+def keeping(name: str, drop: Callable[[], None]) -> None:
+    """Say that the operator `name` keeps something in this worker between its tasks."""
+    _drops[name] = drop
+
+
+def begin_task(keeps: str | None) -> None:
+    for name in [n for n in _drops if n != keeps]:
+        _drops.pop(name)()
+
+
+def end_task() -> None:
+    pa.default_memory_pool().release_unused()
+
+
+def tidy(work: Callable, keeps: str | None = None) -> Callable:
+    """`work` for `mapInArrow`, by which a worker holds one operator's cache at a time.
+
+    Workers outlive stages: at the start what operators other than `keeps` kept is dropped, at the end
+    Arrow's free memory goes back to the machine.
+    """
+
+    def run(batches):
+        begin_task(keeps)
+        try:
+            yield from work(batches)
+        finally:
+            end_task()
+
+    return run
+
+
 def summed(rows: DataFrame, size: int, part: Callable[[pa.RecordBatch], np.ndarray], kind: str = "double") -> np.ndarray:
     """The sum of `part`, an array of `size` numbers, over all batches of `rows`; each task sends one such array."""
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.storage import free_name, importable, stored, utf8
+from tributary.llm.storage import free_name, importable, stored, tidy, utf8
 from tributary.llm.text import batches_of_texts, mix, powers, prefix_hash
 from tributary.operators.keyed import join_grouped
 
@@ -222,7 +222,7 @@ def _anchor_table(spark: SparkSession, docs: DataFrame, shape: Shape) -> DataFra
                     names=["text_key", "anchors", "contexts", "places"],
                 )
 
-    return stored(spark, _keyed(docs).mapInArrow(find, ANCHORS), "anchors")
+    return stored(spark, _keyed(docs).mapInArrow(tidy(find), ANCHORS), "anchors")
 
 
 def _joined(texts: DataFrame, others: DataFrame, key: str) -> DataFrame:
@@ -265,7 +265,7 @@ def _fetched(texts: DataFrame, wanted: DataFrame, shape: Shape, key: str) -> Dat
         if held:
             yield batch_of(held)
 
-    return _joined(texts, per_text, key).mapInArrow(cut, MEMBERS)
+    return _joined(texts, per_text, key).mapInArrow(tidy(cut), MEMBERS)
 
 
 def _sorted_collections(members: DataFrame, key: list[str], shape: Shape) -> DataFrame:
@@ -303,7 +303,7 @@ def _sorted_collections(members: DataFrame, key: list[str], shape: Shape) -> Dat
                 held.append(tuple(row))
         yield from finish(held)
 
-    return members.repartition(*key).sortWithinPartitions(*key).mapInArrow(search, FOUND)
+    return members.repartition(*key).sortWithinPartitions(*key).mapInArrow(tidy(search), FOUND)
 
 
 def _cores(members: DataFrame, shape: Shape) -> DataFrame:
@@ -334,7 +334,7 @@ def _cores(members: DataFrame, shape: Shape) -> DataFrame:
                 names=["anchor", "context", "first", "last", "core"],
             )
 
-    return members.mapInArrow(cut, "anchor long, context long, first int, last int, core binary")
+    return members.mapInArrow(tidy(cut), "anchor long, context long, first int, last int, core binary")
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
@@ -473,7 +473,7 @@ def cleaned(spark: SparkSession, docs: DataFrame, length: int = LENGTH, most_con
             out = [pa.array(texts, pa.string()) if n == place else batch.column(n) for n in range(len(columns))]
             yield pa.RecordBatch.from_arrays(out, names=columns)
 
-    return joined.mapInArrow(apply, docs.schema)
+    return joined.mapInArrow(tidy(apply), docs.schema)
 
 
 RESULT = "text_key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<begin: long, end: long>>"
@@ -510,7 +510,7 @@ def marked(
 
     windows = windows.withColumnRenamed("text_key", DISTINCT)
     results = _joined(texts, windows, DISTINCT).select(DISTINCT, "text", "windows")
-    results = results.mapInArrow(measure, RESULT + ", text string" * with_text)
+    results = results.mapInArrow(tidy(measure), RESULT + ", text string" * with_text)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("text_key"))
     return join_grouped(rows, results, ["text_key"], "inner").drop("text_key")
