@@ -260,8 +260,8 @@ def shelved(rows: DataFrame, count: int, width: int, build: Callable[[pa.Table],
             yield put(now, held)
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    placed = rows.mapInArrow(tidy(place), f"part int, {schema}").repartition("part").sortWithinPartitions("part")
-    found = placed.mapInArrow(tidy(write), "part int, name string, size long").collect()
+    placed = rows.mapInArrow(tidy(place, KEEPER), f"part int, {schema}").repartition("part").sortWithinPartitions("part")
+    found = placed.mapInArrow(tidy(write, KEEPER), "part int, name string, size long").collect()
     return Shelf(folder, bits, width, {r["part"]: (r["name"], r["size"]) for r in found})
 
 
