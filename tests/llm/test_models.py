@@ -160,6 +160,29 @@ def test_rules_without_labels_or_rows(spark):
     assert quality_rules.judged(spark, docs.limit(0), labels).collect() == []
 
 
+def test_rules_learn_from_every_row(spark):
+    """The threshold is the quantile of all rows labelled good, and each tree draws from all rows."""
+    random_ = np.random.default_rng(8)
+    texts = [" ".join("x" * n for n in random_.integers(1, 12, 60)) for _ in range(9000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    labels = spark.range(9000).selectExpr("id AS doc_id", "1 AS quality")
+    found = quality_rules.judged(spark, docs, labels, lost_good=0.05).collect()
+    good = sorted(r.anomaly for r in found if not r.base_failed)
+    assert len(good) > 8500
+    assert {r.threshold for r in found} == {good[int(np.ceil(0.95 * len(good)))]}
+
+    rows = quality_rules.measured(docs, 50, 50).filter("NOT base_failed")
+    trees = quality_rules.drawn(rows, 100, 256, 1)
+    once = quality_rules.drawn(rows.coalesce(1), 100, 256, 1)
+    assert [len(t) for t in trees] == [256] * 100 and all(np.array_equal(a, b) for a, b in zip(trees, once))
+
+
+def test_nth_smallest_is_exact(spark):
+    values = np.random.default_rng(9).choice([0.1, 0.1 + 1e-16, 0.3, 0.30000000000000004, 0.7, 0.9], 500).tolist()
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [quality_rules.nth_smallest(rows, "v", n, 3) for n in (0, 250, 499)] == [sorted(values)[n] for n in (0, 250, 499)]
+
+
 def test_paths_are_shorter_for_rows_apart():
     rows = np.random.default_rng(5).normal(size=(500, 3))
     forest = quality_rules.Forest(np.vstack([rows, [[9, 9, 9]]]), 60, 128, 1)

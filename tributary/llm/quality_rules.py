@@ -1,9 +1,9 @@
 """Rule statistics of texts, and an isolation forest over them.
 
-The statistics of a text are counted over all of it. The forest is fitted on a bounded sample of
-documents (`sample_rows`, those with the smallest hash of id and text): each tree splits a
-subsample at random places of random statistics until its rows are alone, and the path length to a
-row, averaged over trees, says how easily it is set apart. Labelled rows give the threshold:
+The statistics of a text are counted over all of it, once. Each tree of the forest draws `subsample` rows from
+all documents that pass the base rules (those with its smallest hashes of id, text and tree) and
+splits them at random places of random statistics until they are alone; the path length to a
+row, averaged over trees, says how easily it is set apart. All labelled rows give the threshold:
 the score above which at most `lost_good` of the rows labelled good lie.
 
 A null text has no words: its counts are 0, and with fewer than `least_words` words it fails
@@ -17,10 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.storage import importable, spread, thinned, utf8
+from tributary.llm.storage import importable, stored, utf8
 from tributary.llm.text import SPACE, batches_of_texts, prefix_hash, shingle_hashes, span_hashes, word_spans
 
 SYMBOLS = np.zeros(256, dtype=bool)
@@ -107,11 +107,21 @@ class Forest:
 
     def __init__(self, rows: np.ndarray, trees: int, subsample: int, seed: int) -> None:
         random = np.random.default_rng(seed)
-        self.subsample = min(subsample, len(rows))
+        size = min(subsample, len(rows))
+        self._plant([rows[random.choice(len(rows), size, replace=False)] for _ in range(trees)], random)
+
+    @classmethod
+    def over(cls, samples: list[np.ndarray], seed: int) -> Forest:
+        """A tree over each of the samples."""
+        forest = cls.__new__(cls)
+        forest._plant(samples, np.random.default_rng(seed))
+        return forest
+
+    def _plant(self, samples: list[np.ndarray], random: np.random.Generator) -> None:
+        self.subsample = max(len(s) for s in samples)
         self.depth = max(1, int(np.ceil(np.log2(max(2, self.subsample)))))
         self.trees = []
-        for _ in range(trees):
-            chosen = rows[random.choice(len(rows), self.subsample, replace=False)]
+        for chosen in samples:
             feature, split, left, right, path = [], [], [], [], []
 
             def grow(own: np.ndarray, depth: int) -> int:
@@ -153,47 +163,98 @@ def base_failed(counts: np.ndarray, least_words: int, most_repeated: int) -> np.
     return (words < least_words) | (100 * repeats > most_repeated * words)
 
 
-def measured(rows: DataFrame, least_words: int, most_repeated: int) -> DataFrame:
-    """Rows that pass the base rules, `text` replaced by the array of its FEATURES."""
-    others = [c for c in rows.columns if c != "text"]
+def measured(docs: DataFrame, least_words: int, most_repeated: int) -> DataFrame:
+    """doc_id, draw (hash of id and text), COUNTS, base_failed and features of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def measure(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, features = statistics(utf8(batch.column("text")))
-            passed = np.flatnonzero(~base_failed(counts, least_words, most_repeated))
-            found = pa.array(list(features[passed]), pa.list_(pa.float64()))
-            own = [batch.column(c).take(pa.array(passed)) for c in others]
-            yield pa.RecordBatch.from_arrays([*own, found], names=[*others, "features"])
+            failed = base_failed(counts, least_words, most_repeated)
+            found = pa.array(list(features), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("draw"), *(pa.array(c) for c in counts.T), pa.array(failed), found],
+                names=["doc_id", "draw", *COUNTS, "base_failed", "features"],
+            )
+
+    counted = ", ".join(f"{c} long" for c in COUNTS)
+    drawable = rows.withColumn("draw", F.xxhash64("doc_id", "text"))
+    return drawable.mapInArrow(measure, f"doc_id long, draw long, {counted}, base_failed boolean, features array<double>")
+
+
+def features_of(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(measure, f"{schema}, features array<double>")
+def mixed(numbers: np.ndarray) -> np.ndarray:
+    """Hashes of 64-bit numbers."""
+    x = numbers + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def fitted(docs, labels, base: tuple[int, int], sample_rows: int, trees: int, subsample: int, lost_good: float, seed: int):
-    """The forest over the sample and the threshold from labelled rows; None without any row.
+def drawn(rows: DataFrame, trees: int, subsample: int, seed: int) -> list[np.ndarray]:
+    """For every tree the features of the `subsample` rows with the smallest hashes of tree and `draw`; all if there are fewer.
 
-    Both samples are bounded: `sample_rows` documents for the forest, as many labelled ones for
-    the threshold. Only documents that pass the base rules count.
+    A task sends at most so many rows for a tree; the driver sees the chosen ones.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    by = ["doc_id", "text"]
-    named = thinned(rows, by, sample_rows).withColumn("spread", spread(by)[0])
-    sample = measured(named, *base).orderBy("spread", "doc_id").limit(sample_rows).collect()
-    if not sample:
-        return None
-    forest = Forest(np.array([r["features"] for r in sample]), trees, subsample, seed)
+    salts = mixed(np.arange(trees, dtype=np.uint64) + np.uint64(seed) * np.uint64(1 << 32))[:, None]
+
+    def draw(batches) -> Iterator[pa.RecordBatch]:
+        keys, found = np.zeros((trees, 0), np.int64), np.zeros((trees, 0, len(FEATURES)))
+        for batch in batches:
+            own = mixed(batch.column("draw").to_numpy(zero_copy_only=False).view(np.uint64)[None, :] ^ salts)
+            keys = np.concatenate([keys, (own >> np.uint64(1)).astype(np.int64)], axis=1)
+            features = features_of(batch)
+            found = np.concatenate([found, np.broadcast_to(features, (trees, *features.shape))], axis=1)
+            if keys.shape[1] > subsample:
+                least = np.argpartition(keys, subsample - 1, axis=1)[:, :subsample]
+                keys, found = np.take_along_axis(keys, least, 1), np.take_along_axis(found, least[:, :, None], 1)
+        if keys.size:
+            tree = np.repeat(np.arange(trees, dtype=np.int32), keys.shape[1])
+            listed = pa.array(list(found.reshape(-1, len(FEATURES))), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(keys.ravel()), listed], names=["tree", "key", "features"])
+
+    candidates = rows.mapInArrow(draw, "tree int, key long, features array<double>")
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy("key", "features"))
+    chosen = candidates.withColumn("rank", rank).filter(F.col("rank") <= subsample)
+    samples: list[list] = [[] for _ in range(trees)]
+    for r in sorted(chosen.collect(), key=lambda r: (r["tree"], r["rank"])):
+        samples[r["tree"]].append(r["features"])
+    return [np.array(s) for s in samples if s]
+
+
+def nth_smallest(values: DataFrame, column: str, rank: int, bands: int = 4096) -> float:
+    """The value of a rank (from 0) among all rows.
+
+    The range of values is cut into bands, of which the driver sees the counts; the band that holds the rank is cut
+    again until its values are equal.
+    """
+    value = F.col(column)
+    low, high = values.agg(F.min(value), F.max(value)).first()
+    while low < high:
+        band = F.least(F.floor((value - F.lit(low)) / F.lit((high - low) / bands)), F.lit(bands - 1))
+        inside = values.filter((value >= F.lit(low)) & (value <= F.lit(high)))
+        counts = inside.groupBy(band.alias("band")).agg(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+        for r in sorted(counts.collect(), key=lambda r: r["band"]):
+            if rank < r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            rank -= r["n"]
+    return low
+
+
+def threshold_of(spark: SparkSession, scores: DataFrame, labels: DataFrame, lost_good: float) -> float:
+    """The score above which at most `lost_good` of all rows labelled good lie; 1 without any."""
     known = (
         labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").alias("quality"))
     )
-    chosen = thinned(known, ["doc_id"], sample_rows).orderBy(*spread(["doc_id"])).limit(sample_rows)
-    # At most `sample_rows` ids and numbers go to every task; the texts are not shuffled.
-    labelled = measured(rows.join(F.broadcast(chosen), "doc_id"), *base).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).collect()
-    scores = forest.score(np.array([r["features"] for r in labelled]).reshape(-1, len(FEATURES)))
-    good = np.sort(scores[[r["quality"] == 1 for r in labelled]]) if labelled else np.zeros(0)
-    threshold = float(good[min(len(good) - 1, int(np.ceil((1 - lost_good) * len(good))))]) if len(good) else 1.0
-    return forest, threshold
+    good = stored(spark, scores.filter("NOT base_failed").join(known.filter("quality = 1"), "doc_id").select("anomaly"), "good-scores")
+    count = good.count()
+    return nth_smallest(good, "anomaly", min(count - 1, int(np.ceil((1 - lost_good) * count)))) if count else 1.0
 
 
 def judged(
@@ -202,30 +263,26 @@ def judged(
     labels: DataFrame,
     least_words: int = 50,
     most_repeated: int = 50,
-    sample_rows: int = 8000,
     trees: int = 100,
     subsample: int = 256,
     lost_good: float = 0.002,
     seed: int = 1,
 ) -> DataFrame:
     """doc_id, COUNTS, base_failed, anomaly (score of the forest), threshold, kept."""
-    importable(spark)
-    model = spark.sparkContext.broadcast(fitted(docs, labels, (least_words, most_repeated), sample_rows, trees, subsample, lost_good, seed))
+    rows = stored(importable(spark), measured(docs, least_words, most_repeated), "rule-statistics")
+    samples = drawn(rows.filter("NOT base_failed").select("draw", "features"), trees, subsample, seed)
+    model = spark.sparkContext.broadcast(Forest.over(samples, seed) if samples else None)
+    others = ["doc_id", *COUNTS, "base_failed"]
 
-    def judge(batches) -> Iterator[pa.RecordBatch]:
+    def score(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, features = statistics(utf8(batch.column(1)))
-            if not len(counts):
-                continue
-            failed = base_failed(counts, least_words, most_repeated)
-            forest, threshold = model.value or (None, 1.0)
-            score = forest.score(features) if forest else np.zeros(len(counts))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c) for c in counts.T), pa.array(failed), pa.array(score),
-                 pa.array(np.full(len(score), threshold)), pa.array(~failed & (score <= threshold))],
-                names=["doc_id", *COUNTS, "base_failed", "anomaly", "threshold", "kept"],
-            )
+            forest = model.value
+            scores = forest.score(features_of(batch)) if forest else np.zeros(batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(scores)], names=[*others, "anomaly"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     counted = ", ".join(f"{c} long" for c in COUNTS)
-    return rows.mapInArrow(judge, f"doc_id long, {counted}, base_failed boolean, anomaly double, threshold double, kept boolean")
+    scored = rows.mapInArrow(score, f"doc_id long, {counted}, base_failed boolean, anomaly double")
+    scored = stored(spark, scored, "rule-scores")
+    threshold = threshold_of(spark, scored, labels, lost_good)
+    kept = ~F.col("base_failed") & (F.col("anomaly") <= F.lit(threshold))
+    return scored.select(*others, "anomaly", F.lit(threshold).alias("threshold"), kept.alias("kept"))
