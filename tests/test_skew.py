@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from small import click, rows, search, shown, tables
 
-from tributary import registry
+from tributary import registry, session
 from tributary.operators.quantiles import band_of, weighted_quantiles
 from tributary.plans import marts_exact, star
 from tributary.plans.marts_funnel import Funnel, funnel_fact
@@ -175,3 +175,20 @@ def test_marts_with_quartiles_read_events_once(spark):
         plan = registry.queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
         assert len(re.findall(r"(?<!Reused)Exchange ", plan)) <= shuffles
         assert len(re.findall(r"Scan parquet [^\n]*lineitem", plan)) <= scans
+
+
+def test_shuffles_are_cut_by_the_size_of_the_tables(spark, tmp_path, monkeypatch):
+    """Larger tables get more partitions, not larger ones; a number that is large enough stays."""
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(initial, None)
+    spark.range(20_000).write.parquet(f"{tmp_path}/lineitem.parquet")
+    stored = sum(f.stat().st_size for f in tmp_path.glob("lineitem.parquet/*"))
+    monkeypatch.setattr(session, "PARTITION_MB", 1 / 1024)
+    try:
+        registry.Market(spark, str(tmp_path))
+        cut = int(spark.conf.get(initial))
+        assert cut >= 2 * stored / 1024 > 100
+        session.expect_shuffles_of(spark, 1e-6)
+        assert int(spark.conf.get(initial)) == cut
+    finally:
+        spark.conf.unset(initial) if before is None else spark.conf.set(initial, before)
