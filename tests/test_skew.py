@@ -182,7 +182,7 @@ def test_shuffles_are_cut_by_the_size_of_the_tables(spark, tmp_path, monkeypatch
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     before = spark.conf.get(initial, None)
     spark.range(20_000).write.parquet(f"{tmp_path}/lineitem.parquet")
-    stored = sum(f.stat().st_size for f in tmp_path.glob("lineitem.parquet/*"))
+    stored = sum(f.stat().st_size for f in tmp_path.glob("lineitem.parquet/*.parquet"))
     monkeypatch.setattr(session, "PARTITION_MB", 1 / 1024)
     try:
         registry.Market(spark, str(tmp_path))
