@@ -7,6 +7,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from small import by, rows
 
 from tributary.plans import marts_exact, quality_reports, silver
@@ -124,6 +125,33 @@ def test_rescued_values_are_built_for_rows_that_have_some(spark, landed):
     assert [got[g][RESCUED] for g in ("h1", "h2", "h3", "h4")] == ['{"seen":"1"}', None, '{"page":"z"}', None]
 
 
+def test_landing_files_are_compressed_and_bounded(lake, spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "ROWS_PER_FILE", 10)
+    others = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in RAW["clients"].fields[2:]]
+    made = spark.range(25).selectExpr("concat('CL_', id) AS client_uid", "'a, b' AS company_name", *others)
+    landing.write_landing(made, "clients", str(tmp_path), files=1)
+    assert len(list((tmp_path / "clients").glob("*.csv.gz"))) == 3
+    bronze.ingest(lake, ["clients"], str(tmp_path))
+    found = rows(lake.read("bronze", "clients").select("client_uid", "company_name", RESCUED))
+    assert {r["client_uid"] for r in found} == {f"CL_{i}" for i in range(25)} and len(found) == 25
+    assert all(r["company_name"] == "a, b" and r[RESCUED] is None for r in found)
+
+
+def test_folders_of_a_table_are_listed_by_few_tasks(lake, spark):
+    path = lake.path("gold", "by_days")
+    spark.range(100).withColumn("d", F.col("id")).repartition(2, "d").write.partitionBy("d").parquet(path)
+    context = spark.sparkContext
+    context.setJobGroup("listing", "folders of a table")
+    try:
+        table = spark.read.schema("id long, d long").parquet(path)
+        tracker = context.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+        assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 32
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert table.count() == 100
+
+
 def test_jobs_do_not_grow_with_files(lake, spark, landed):
     """Two thousand files, in any of three column orders, take as many jobs as twenty."""
     orders = ["client_uid,company_name,country", "company_name,client_uid,country", "extra,country,client_uid"]
