@@ -137,6 +137,14 @@ def test_landing_files_are_compressed_and_bounded(lake, spark, tmp_path, monkeyp
     assert all(r["company_name"] == "a, b" and r[RESCUED] is None for r in found)
 
 
+def test_layers_are_zstd_and_the_sessions_codec_stays(lake, spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/own")
+    assert not list(tmp_path.glob("own/*.zstd.parquet")) and list(tmp_path.glob("own/*.parquet"))
+    lake.materialize(spark.range(10), "gold", "compressed")
+    layer = list(Path(lake.path("gold", "compressed").removeprefix("file:")).glob("*.parquet"))
+    assert layer and all(f.name.endswith(".zstd.parquet") for f in layer)
+
+
 def test_folders_of_a_table_are_listed_by_few_tasks(lake, spark):
     path = lake.path("gold", "by_days")
     spark.range(100).withColumn("d", F.col("id")).repartition(2, "d").write.partitionBy("d").parquet(path)
