@@ -107,3 +107,26 @@ def test_without_rows(lake, add):
     _same_as_whole_run(lake)
     assert add([_search("g1", 1)]) == [date(2024, 3, 1)]
     _same_as_whole_run(lake)
+
+
+def test_event_tables_are_not_broadcast_by_the_size_of_their_files(lake, spark):
+    """Zstd files of a few megabytes hold rows that the driver could not hold at scale."""
+    guid = "concat('g', id) AS search_guid"
+    events = {"search_events": (SEARCHES, 300_000), "impression_events": (IMPRESSIONS, 1), "click_events": (CLICKS, 1)}
+    for name, (schema, count) in events.items():
+        rows = spark.range(count).selectExpr("'v' AS visitor_id", guid)
+        rows = spark.createDataFrame([], schema).unionByName(rows, allowMissingColumns=True).coalesce(1)
+        rows.write.option("compression", "zstd").parquet(f"{lake.path('silver', name)}/{BATCH}=0")
+    plans = []
+
+    def tables(known):
+        silver = _tables(known)
+        joined = silver.impressions.join(silver.searches.select("search_guid", "event_ts"), "search_guid", "left")
+        plans.append(joined._jdf.queryExecution().sparkPlan().toString())
+        return silver
+
+    before = spark.conf.getAll
+    days.refresh_days(lake, tables)
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+    assert spark.conf.getAll == before
+    _same_as_whole_run(lake)
