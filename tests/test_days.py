@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date, datetime
 from pathlib import Path
 
@@ -130,3 +131,18 @@ def test_event_tables_are_not_broadcast_by_the_size_of_their_files(lake, spark):
     assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
     assert spark.conf.getAll == before
     _same_as_whole_run(lake)
+
+
+def test_shuffles_and_stored_rows_go_when_the_days_are_written(add, spark):
+    def left():
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {p for folder in folders for p in Path(folder).rglob("shuffle_*.data")}
+
+    before = left()
+    add([_search("g1", 1)], [_shown("i1", "g1")], [_clicked("c1", "g1")])
+    add(impressions=[_shown("i2", "g1", "k")])
+    until = time.time() + 20
+    while left() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not left() - before
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).rglob("day-rows-*"))
