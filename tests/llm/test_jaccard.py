@@ -49,6 +49,23 @@ def test_one_row_of_each_component_stays(spark):
             assert [rows[i][0] for i in stay] == [min(known)]
 
 
+def test_texts_are_hashed_once(spark):
+    rows = [(i, text) for i, (_, text) in enumerate(near_copies(5))]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame(rows, SCHEMA).mapInArrow(counted, SCHEMA)
+    assert 0 < len(jaccard.representatives(spark, docs, 3, 80).collect()) < len(rows)
+    # For the sets, for the complete sets of candidates, and for the rows that stay.
+    assert read.value <= 3 * len(rows)
+    plan = jaccard.linked(spark, docs, 3, 80)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan
+
+
 def test_tree_finds_every_partner_that_the_bound_allows():
     random_ = np.random.default_rng(5)
     sets = [np.unique(random_.integers(0, 2**63, n, dtype=np.uint64)) for n in random_.integers(5, 400, 60)]

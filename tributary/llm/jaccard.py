@@ -184,11 +184,10 @@ def bucket_pairs(ids, sizes, points, labels, sides, percent: int, forest: bool,
             found = found[own_labels[found] != own_labels[at]]
 
 
-def _set_rows(docs: DataFrame, words: int, percent: int | None) -> DataFrame:
-    """doc_id, text_key, set_key, n and, with a percentage, first shingles and point of each document."""
-    full = percent is not None
-    names = ["doc_id", "text_key", "set_key", "n"] + ["firsts", "point"] * full
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64()] + [pa.list_(pa.int64()), pa.binary()] * full
+def _set_rows(spark: SparkSession, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, text_key, set_key, n, first shingles and point of each document; stored, as all texts are read and hashed for it."""
+    names = ["doc_id", "text_key", "set_key", "n", "firsts", "point"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
 
     def find(batches) -> Iterator[pa.RecordBatch]:
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -198,12 +197,10 @@ def _set_rows(docs: DataFrame, words: int, percent: int | None) -> DataFrame:
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows, held = [], 0
             for i, hashes, lengths in hashed_words(utf8(batch.column(2)), fold_case=True, lengths=True):
-                own, firsts = leading(hashes, lengths, words, percent) if full else (shingle_set(hashes, words), ())
-                row = (ids[i], keys[i], xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None, len(own))
-                if full:
-                    row += (firsts.view(np.int64), packed_point(point(own)))
-                    held += len(firsts)
-                rows.append(row)
+                own, firsts = leading(hashes, lengths, words, percent)
+                key = xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None
+                rows.append((ids[i], keys[i], key, len(own), firsts.view(np.int64), packed_point(point(own))))
+                held += len(firsts)
                 if held > 1 << 20:
                     yield batch_of(rows)
                     rows, held = [], 0
@@ -212,13 +209,13 @@ def _set_rows(docs: DataFrame, words: int, percent: int | None) -> DataFrame:
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("text_key"), text.alias("text"))
-    return source.mapInArrow(tidy(find), "doc_id long, text_key binary, set_key binary, n long" + ", firsts array<long>, point binary" * full)
+    kind = "doc_id long, text_key binary, set_key binary, n long, firsts array<long>, point binary"
+    return stored(spark, source.mapInArrow(tidy(find), kind), "set-rows")
 
 
-def _classes(spark: SparkSession, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Distinct non-empty sets, numbered by `id` and stored, with their smallest document."""
-    rows = _set_rows(docs, words, percent).filter("n > 0")
-    one = rows.groupBy("set_key").agg(
+def _classes(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Distinct non-empty sets of `_set_rows`, numbered by `id` and stored, with their smallest document."""
+    one = rows.filter("n > 0").groupBy("set_key").agg(
         F.first("n").alias("n"), F.first("firsts").alias("firsts"), F.first("point").alias("point"),
         F.min("text_key").alias("text_key"), F.min("doc_id").alias("least"),
     )
@@ -378,10 +375,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "left", "right").mapInArrow(tidy(compare), "a long, b long, linked boolean")
 
 
-def class_components(spark: SparkSession, docs: DataFrame, words: int, percent: int, most_members: int = MOST_MEMBERS) -> DataFrame:
-    """set_key, component (id of the smallest class in it), least (smallest document) of every class."""
-    importable(spark)
-    classes = _classes(spark, docs, words, percent)
+def class_components(
+    spark: SparkSession, docs: DataFrame, set_rows: DataFrame, words: int, percent: int, most_members: int = MOST_MEMBERS
+) -> DataFrame:
+    """set_key, component (id of the smallest class in it), least (smallest document) of every class; `set_rows` are those of `docs`."""
+    classes = _classes(spark, set_rows)
     buckets = _buckets(spark, classes, percent)
     pairs = stored(spark, _candidates(_searches(spark, buckets, percent, most_members), classes, percent), "pairs")
     sets = _sets_of(spark, docs, classes, pairs, words)
@@ -411,8 +409,9 @@ def class_components(spark: SparkSession, docs: DataFrame, words: int, percent:
 
 def linked(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80, most_members: int = MOST_MEMBERS) -> DataFrame:
     """doc_id, n_shingles, component_id of each document."""
-    found = class_components(spark, docs, words, percent, most_members)
-    rows = _set_rows(docs, words, None).select("doc_id", "n", "set_key")
+    rows = _set_rows(importable(spark), docs, words, percent)
+    found = class_components(spark, docs, rows, words, percent, most_members)
+    rows = rows.select("doc_id", "n", "set_key")
     joined = join_grouped(rows, found, ["set_key"])
     # An empty set is a component of its own.
     own = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("least"))
@@ -426,8 +425,9 @@ def representatives(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     its text, and of rows equal in both one. What goes is a small stored table of ids and
     digests, so Spark can broadcast it if its size allows; the texts need not be shuffled for it.
     """
-    found = stored(spark, class_components(spark, docs, words, percent), "components")
-    rows = _set_rows(docs, words, None).select("doc_id", "text_key", "set_key")
+    rows = _set_rows(importable(spark), docs, words, percent)
+    found = stored(spark, class_components(spark, docs, rows, words, percent), "components")
+    rows = rows.select("doc_id", "text_key", "set_key")
     named = join_grouped(rows, found.select("set_key", "component"), ["set_key"], "inner").select("component", "doc_id", "text_key")
     # Only components of several documents can lose one.
     own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
